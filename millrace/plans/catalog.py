@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from millrace.plans import (  # noqa: F401  (importing a module registers its queries)
     aggregating,
+    databases,
+    files,
     filtering,
     incidents,
     joining,
+    layouts,
+    nested,
     projecting,
+    quarantine,
     retail,
     zones,
 )
