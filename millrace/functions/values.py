@@ -16,9 +16,14 @@ def money(amount: Column | str) -> Column:
     return column.cast("decimal(18,2)")
 
 
+def grand_total(total: Column | str) -> Column:
+    """Sum of amounts or of totals, in a width that databases can store."""
+    return F.sum(total).cast("decimal(28,2)")
+
+
 def mean(total: Column, count: Column) -> Column:
     """Half-up average with two decimals from an exact total and a count."""
-    return F.round(total / count, 2)
+    return F.round(total / count, 2).cast("decimal(18,2)")
 
 
 def value_tier(amount: Column | str, high: float = HIGH_VALUE, medium: float = MEDIUM_VALUE) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.layout import hot_hashes, is_hot, row_salt
+from millrace.operators.layout import hot_spread, with_buckets, with_salt
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
 
@@ -54,15 +54,17 @@ def join_copartitioned(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} join cannot repeat rows of the right side")
-    hashes = hot_hashes(left, left_key, share=1 / partitions) if partitions > 1 else []
-    if not hashes:
+    spread = hot_spread(left, left_key, partitions=partitions)
+    if spread is None:
         return left.repartition(partitions, left_key).join(
             right.repartition(partitions, right_key), F.col(left_key) == F.col(right_key), how
         )
-    hot = is_hot([left_key], hashes)
-    salted = left.withColumn("left_salt", F.when(hot, row_salt(left, partitions)).otherwise(F.lit(0)))
-    every_salt = F.when(is_hot([right_key], hashes), F.sequence(F.lit(0), F.lit(partitions - 1)))
-    copied = right.withColumn("right_salt", F.explode(F.coalesce(every_salt, F.array(F.lit(0)))))
+    salted = with_salt(left, spread, left_key).withColumnRenamed("salt", "left_salt")
+    copied = (
+        with_buckets(right, spread, right_key)
+        .withColumn("right_salt", F.explode(F.sequence(F.lit(0), F.col("buckets") - 1)))
+        .drop("buckets")
+    )
     return (
         salted.repartition(partitions, left_key, "left_salt")
         .join(

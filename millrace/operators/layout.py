@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+MAX_HOT_KEYS = 10_000
+
 
 def read_width(df: DataFrame) -> int:
     """Number of partitions of a plan without shuffles, such as a scan; runs no job."""
@@ -22,28 +24,42 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_hashes(df: DataFrame, *keys: str, share: float) -> list[int]:
-    """Hashes of the key values that hold more than ``share`` of the rows.
+def hot_spread(df: DataFrame, *keys: str, partitions: int) -> DataFrame | None:
+    """Key values too large for one of ``partitions``, and over how many buckets to spread each.
 
-    One pass with a sketch of fixed size per task; at most ``1 / share`` values return.
-    The sketch only steers how rows are spread, never which rows are kept.
+    One pass with a sketch of fixed size per task. The table has a row ``hot_hash,
+    buckets`` per value that holds more than twice an average partition, so never more
+    than ``partitions / 2`` or ``MAX_HOT_KEYS`` rows; ``None`` means that no value does.
+    It only steers how rows are spread, never which rows are kept.
     """
+    share = max(2 / partitions, 1 / MAX_HOT_KEYS)
+    if share >= 1:
+        return None
     wanted = math.ceil(1 / share)
-    tracked = 8 * wanted
     row = df.select(F.xxhash64(*keys).alias("key")).agg(
-        F.call_function("approx_top_k", F.col("key"), F.lit(wanted), F.lit(tracked)).alias("top"),
+        F.call_function("approx_top_k", F.col("key"), F.lit(wanted), F.lit(8 * wanted)).alias("top"),
         F.count("*").alias("rows"),
     ).first()
-    return [entry["item"] for entry in row["top"] if entry["count"] > share * row["rows"]]
+    hot = [
+        (entry["item"], 2 * math.ceil(entry["count"] * partitions / row["rows"]))
+        for entry in row["top"]
+        if entry["count"] > share * row["rows"]
+    ]
+    if not hot:
+        return None
+    return df.sparkSession.createDataFrame(hot, "hot_hash BIGINT, buckets INT")
 
 
-def is_hot(keys: list[str] | tuple[str, ...], hashes: list[int]) -> Column:
-    return F.xxhash64(*keys).isin(hashes)
+def with_buckets(df: DataFrame, spread: DataFrame, *keys: str) -> DataFrame:
+    """``df`` with the number of ``buckets`` of each row's key, 1 for ordinary keys."""
+    marked = df.join(F.broadcast(spread), F.xxhash64(*keys) == F.col("hot_hash"), "left")
+    return marked.withColumn("buckets", F.coalesce("buckets", F.lit(1))).drop("hot_hash")
 
 
-def row_salt(df: DataFrame, buckets: int) -> Column:
-    """A bucket number that depends on the row alone, so a retried task repeats it."""
-    return F.pmod(F.xxhash64(*df.columns), F.lit(buckets)).cast("int")
+def with_salt(df: DataFrame, spread: DataFrame, *keys: str) -> DataFrame:
+    """``df`` with a ``salt`` below ``buckets`` that depends on the row alone, so a retried task repeats it."""
+    salt = F.pmod(F.xxhash64(*df.columns), F.col("buckets")).cast("int")
+    return with_buckets(df, spread, *keys).withColumn("salt", salt).drop("buckets")
 
 
 def round_robin(df: DataFrame, partitions: int) -> DataFrame:
@@ -53,11 +69,10 @@ def round_robin(df: DataFrame, partitions: int) -> DataFrame:
 
 def by_hash(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
     """Equal keys in one partition, except keys too large for one, whose rows are spread."""
-    hashes = hot_hashes(df, *keys, share=1 / partitions) if partitions > 1 else []
-    if not hashes:
+    spread = hot_spread(df, *keys, partitions=partitions)
+    if spread is None:
         return df.repartition(partitions, *keys)
-    salt = F.when(is_hot(keys, hashes), row_salt(df, partitions)).otherwise(F.lit(0))
-    return df.repartition(partitions, *keys, salt)
+    return with_salt(df, spread, *keys).repartition(partitions, *keys, "salt").drop("salt")
 
 
 def by_range(df: DataFrame, partitions: int, key: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.values import money
 from millrace.operators.aggregates import distinct_totals
-from millrace.operators.layout import by_hash, by_range, merged, partition_stats, read_width, round_robin
+from millrace.operators.layout import by_hash, by_range, merged, partition_stats, read_width, round_robin, shuffle_width
 from millrace.operators.reuse import persisted, write_each
 from millrace.plans.registry import query
 from millrace.plans.sqltext import exact_sum
@@ -15,7 +15,7 @@ from millrace.session import scoped_session, scratch_path
 from millrace.sources.files import read_csv
 from millrace.sources.tables import Tables
 
-# The smallest widths used; larger inputs get as many as they have splits.
+# The smallest widths used; a session with a larger shuffle width gets that.
 LAYOUT_WIDTH, SHUFFLE_WIDTH, READ_SPLIT = 14, 3, "64m"
 
 
@@ -34,8 +34,8 @@ def _lines(t: Tables) -> DataFrame:
     return t.lineitem.select("l_orderkey", "l_suppkey", "l_extendedprice")
 
 
-def _width(lines: DataFrame) -> int:
-    return max(LAYOUT_WIDTH, read_width(lines))
+def _width(t: Tables) -> int:
+    return max(LAYOUT_WIDTH, shuffle_width(t.spark))
 
 
 @query(_TOTALS_SQL)
@@ -46,27 +46,24 @@ def lay_read_split(t: Tables) -> DataFrame:
 
 @query(_TOTALS_SQL)
 def lay_shuffle_width(t: Tables) -> DataFrame:
-    width = max(SHUFFLE_WIDTH, read_width(_lines(t)))
+    width = max(SHUFFLE_WIDTH, shuffle_width(t.spark))
     spark = scoped_session(t.spark, {"spark.sql.shuffle.partitions": str(width)})
     return supplier_totals(_lines(t.on(spark)))
 
 
 @query(_TOTALS_SQL)
 def lay_round_robin(t: Tables) -> DataFrame:
-    lines = _lines(t)
-    return supplier_totals(round_robin(lines, _width(lines)))
+    return supplier_totals(round_robin(_lines(t), _width(t)))
 
 
 @query(_TOTALS_SQL)
 def lay_hash(t: Tables) -> DataFrame:
-    lines = _lines(t)
-    return supplier_totals(by_hash(lines, _width(lines), "l_suppkey"))
+    return supplier_totals(by_hash(_lines(t), _width(t), "l_suppkey"))
 
 
 @query(_TOTALS_SQL)
 def lay_range(t: Tables) -> DataFrame:
-    lines = _lines(t)
-    return supplier_totals(by_range(lines, _width(lines), "l_suppkey"))
+    return supplier_totals(by_range(_lines(t), _width(t), "l_suppkey"))
 
 
 @query(_TOTALS_SQL)
