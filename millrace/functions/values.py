@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 # The labels and limits of the two reports.
 HIGH_VALUE, MEDIUM_VALUE = 500, 100
 FAST_LIMIT, NORMAL_LIMIT = 3, 10
 
+# Wide enough for any total, and a width that databases can store.
+TOTAL_TYPE = "decimal(28,2)"
 
-def money(amount: Column | str) -> Column:
-    """An amount with two decimals as an exact number, so sums do not depend on row order."""
-    column = F.col(amount) if isinstance(amount, str) else amount
-    return column.cast("decimal(18,2)")
 
+def exact_total(df: DataFrame, amount: str) -> Column:
+    """Sum of an amount with two decimals as an exact number that does not depend on row order.
 
-def grand_total(total: Column | str) -> Column:
-    """Sum of amounts or of totals, in a width that databases can store."""
-    return F.sum(total).cast("decimal(28,2)")
+    Doubles are summed as whole cents, several times faster than as decimals. A sum
+    beyond the range of a long raises under ANSI mode, which is Spark's default.
+    """
+    column = F.col(amount)
+    if isinstance(df.schema[amount].dataType, (DoubleType, FloatType)):
+        cents = F.sum(F.rint(column * 100).cast("bigint"))
+        return (cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(TOTAL_TYPE)
+    return F.sum(column).cast(TOTAL_TYPE)
 
 
 def mean(total: Column, count: Column) -> Column:

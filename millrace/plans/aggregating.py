@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.values import money
+from millrace.functions.values import exact_total, mean
 from millrace.operators.aggregates import average_of, totals
 from millrace.operators.sets import difference, intersection, union_distinct
 from millrace.plans.registry import query
@@ -40,7 +40,7 @@ def agg_count_distinct(t: Tables) -> DataFrame:
 
 @query(f"SELECT l_suppkey, {exact_sum('l_extendedprice')} AS total FROM lineitem GROUP BY l_suppkey")
 def agg_sum(t: Tables) -> DataFrame:
-    return t.lineitem.groupBy("l_suppkey").agg(F.sum(money("l_extendedprice")).cast("double").alias("total"))
+    return t.lineitem.groupBy("l_suppkey").agg(exact_total(t.lineitem, "l_extendedprice").cast("double").alias("total"))
 
 
 @query(f"SELECT o_orderpriority, {half_up_mean('o_totalprice')} AS avg_price FROM orders GROUP BY o_orderpriority")
@@ -52,7 +52,7 @@ def agg_avg_round(t: Tables) -> DataFrame:
 
 @query(f"SELECT event_type, {largest('value')} AS max_value FROM events GROUP BY event_type")
 def agg_max_round(t: Tables) -> DataFrame:
-    return t.events.groupBy("event_type").agg(F.round(F.max(money("value")), 2).cast("double").alias("max_value"))
+    return t.events.groupBy("event_type").agg(F.round(F.max("value"), 2).alias("max_value"))
 
 
 @query("""
@@ -75,11 +75,10 @@ def agg_min_max(t: Tables) -> DataFrame:
     FROM lineitem GROUP BY l_returnflag, l_linestatus
 """)
 def agg_multi(t: Tables) -> DataFrame:
-    price = money("l_extendedprice")
     return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(
         F.count("*").alias("n_lines"),
-        F.round(F.sum(price) / F.count(price), 2).cast("double").alias("avg_price"),
-        F.round(F.max(price), 2).cast("double").alias("max_price"),
+        mean(exact_total(t.lineitem, "l_extendedprice"), F.count("l_extendedprice")).cast("double").alias("avg_price"),
+        F.round(F.max("l_extendedprice"), 2).alias("max_price"),
     )
 
 

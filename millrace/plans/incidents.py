@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.values import FAST_LIMIT, NORMAL_LIMIT, mean, money, response_speed
+from millrace.functions.values import FAST_LIMIT, NORMAL_LIMIT, exact_total, mean, response_speed
 from millrace.plans.registry import query
 from millrace.plans.sqltext import half_up_mean, largest
 from millrace.sources.tables import Tables
@@ -17,18 +17,20 @@ from millrace.sources.tables import Tables
 class Incidents:
     """An incident table and the names of its columns.
 
-    ``number`` identifies a row and completes every order. ``delay`` has two decimals;
-    averages are taken over exact numbers.
+    ``number`` identifies a row and completes every order. Where delays have no more than
+    two decimals, ``exact`` takes averages over exact numbers, free of the order of rows.
     """
 
     rows: DataFrame
     number: str
     kind: str
     delay: str
+    exact: bool = False
 
     def _mean_delay(self) -> Column:
-        exact = money(self.delay)
-        return mean(F.sum(exact), F.count(exact))
+        if self.exact:
+            return mean(exact_total(self.rows, self.delay), F.count(self.delay))
+        return F.round(F.avg(self.delay), 2)
 
     def _of(self, *kinds: str) -> DataFrame:
         return self.rows.filter(F.col(self.kind).isin(*kinds))
@@ -80,7 +82,7 @@ class Incidents:
             .agg(
                 F.count("*").alias("n"),
                 self._mean_delay().alias("avg_delay"),
-                F.round(F.max(money(self.delay)), 2).alias("max_delay"),
+                F.round(F.max(self.delay), 2).alias("max_delay"),
             )
             .orderBy(F.desc("avg_delay"), group)
         )
@@ -95,7 +97,7 @@ class Incidents:
 
 
 def of_events(t: Tables) -> Incidents:
-    return Incidents(t.events, number="event_id", kind="event_type", delay="value")
+    return Incidents(t.events, number="event_id", kind="event_type", delay="value", exact=True)
 
 
 def _as_doubles(df: DataFrame, **names: str) -> DataFrame:

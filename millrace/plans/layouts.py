@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.values import money
+from millrace.functions.values import exact_total
 from millrace.operators.aggregates import distinct_totals
 from millrace.operators.layout import by_hash, by_range, merged, partition_stats, read_width, round_robin, shuffle_width
 from millrace.operators.reuse import persisted, write_each
@@ -21,7 +21,7 @@ LAYOUT_WIDTH, SHUFFLE_WIDTH, READ_SPLIT = 14, 3, "64m"
 
 def supplier_totals(lines: DataFrame) -> DataFrame:
     return lines.groupBy("l_suppkey").agg(
-        F.count("*").alias("n_lines"), F.sum(money("l_extendedprice")).cast("double").alias("total")
+        F.count("*").alias("n_lines"), exact_total(lines, "l_extendedprice").cast("double").alias("total")
     )
 
 

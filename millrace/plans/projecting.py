@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import proper_name, report_line
 from millrace.functions.udfs import proper_name_udf, register_proper_name
-from millrace.functions.values import money, value_tier
+from millrace.functions.values import value_tier
 from millrace.plans.registry import query
 from millrace.session import scoped_session
 from millrace.sources.tables import Tables
@@ -116,7 +116,7 @@ def scl_case_two(t: Tables) -> DataFrame:
     FROM orders
 """)
 def scl_case_multi(t: Tables) -> DataFrame:
-    tier = value_tier(money("o_totalprice"), ORDER_HIGH, ORDER_MEDIUM)
+    tier = value_tier("o_totalprice", ORDER_HIGH, ORDER_MEDIUM)
     return t.orders.select("o_orderkey", tier.alias("value_tier"))
 
 

@@ -14,4 +14,4 @@ def half_up_mean(column: str) -> str:
 
 
 def largest(column: str) -> str:
-    return f"CAST(MAX(CAST({column} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"ROUND(MAX({column}), 2)"
