@@ -9,9 +9,10 @@ from millrace.sources.files import CORRUPT_COLUMN
 
 
 def valid_records(parsed: DataFrame, corrupt: str = CORRUPT_COLUMN) -> DataFrame:
+    """The records that parsed, without the column for broken text."""
     return parsed.filter(F.col(corrupt).isNull()).drop(corrupt)
 
 
 def malformed_records(parsed: DataFrame, corrupt: str = CORRUPT_COLUMN) -> DataFrame:
-    """The raw text of broken records; ``parsed`` must be persisted (see ``read_json_lines``)."""
+    """The raw text of broken records."""
     return parsed.filter(F.col(corrupt).isNotNull()).select(corrupt)

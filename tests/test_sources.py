@@ -164,13 +164,31 @@ def test_dropmalformed_and_failfast(spark, broken):
         read_json_lines(spark, broken, RECORD_SCHEMA, mode="FAILFAST").collect()
 
 
-def test_corrupt_column_alone_needs_a_kept_result(spark, broken):
+def test_the_same_records_are_broken_whatever_is_selected(spark, broken):
     records = read_json_lines(spark, broken, CHECKED_SCHEMA)
-    with pytest.raises(Exception, match="CORRUPT_RECORD"):
-        malformed_records(records).collect()
-    with persisted(records) as kept:
-        assert malformed_records(kept).count() == 3
-        assert valid_records(kept).columns == ["id", "name", "details"]
+    assert malformed_records(records).count() == 3
+    assert valid_records(records).columns == ["id", "name", "details"]
+    for columns in (["name"], ["id"], ["details.address.city"]):
+        assert valid_records(records).select(*columns).count() == 2
+        assert len(valid_records(records).select(*columns).collect()) == 2
+    dropped = read_json_lines(spark, broken, RECORD_SCHEMA, mode="DROPMALFORMED")
+    assert len(dropped.select("name").collect()) == 2
+
+
+def test_lines_are_parsed_once(spark, broken, plan):
+    valid = valid_records(read_json_lines(spark, broken, CHECKED_SCHEMA)).select("id", "details.age")
+    assert plan(valid).count("from_json") == 1
+
+
+def test_reading_agrees_with_the_kept_result_of_the_spark_reader(spark, broken, rows):
+    kept = spark.read.schema(CHECKED_SCHEMA).json(broken, columnNameOfCorruptRecord="_corrupt_record")
+    with persisted(kept):
+        assert rows(read_json_lines(spark, broken, CHECKED_SCHEMA)) == rows(kept)
+
+
+def test_unknown_mode(spark, broken):
+    with pytest.raises(ValueError):
+        read_json_lines(spark, broken, RECORD_SCHEMA, mode="LENIENT")
 
 
 def test_quarantine(spark, broken, tmp_path, rows):
