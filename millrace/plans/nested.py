@@ -10,20 +10,9 @@ from pyspark.sql import functions as F
 from millrace.plans.registry import query
 from millrace.session import scratch_path
 from millrace.sources.files import read_json_documents
+from millrace.sources.schemas import EMPLOYEES
 from millrace.sources.tables import Tables
 
-# The field names of the employee documents.
-EMPLOYEE_SCHEMA = """
-    EmployeeID BIGINT,
-    Name STRUCT<First: STRING, Last: STRING>,
-    ContactInfo STRUCT<Email: STRING, Phone: STRING,
-        Address: STRUCT<Street: STRING, City: STRING, State: STRING, ZipCode: STRING,
-                        PreviousAddresses: ARRAY<STRING>>>,
-    Department STRING,
-    Salary DOUBLE
-"""
-
-
 def flatten_employees(employees: DataFrame) -> DataFrame:
     """One flat row per employee."""
     return employees.select(
@@ -103,7 +92,7 @@ def employees(t: Tables) -> DataFrame:
     """The documents, written as multi-line JSON and read back with the nested schema."""
     path = scratch_path(t.spark, "employees")
     write_json_arrays(employee_rows(t), path)
-    return read_json_documents(t.spark, path, EMPLOYEE_SCHEMA)
+    return read_json_documents(t.spark, path, EMPLOYEES)
 
 
 _PEOPLE = "customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey"

@@ -10,24 +10,27 @@ from millrace.operators.reuse import persisted
 from millrace.plans.registry import query
 from millrace.session import scratch_path
 from millrace.sources.files import CORRUPT_COLUMN, read_json_lines, read_lines
+from millrace.sources.schemas import CHECKED_PEOPLE, PEOPLE
 from millrace.sources.tables import Tables
 
-# The field names of the records.
-RECORD_SCHEMA = "id BIGINT, name STRING, details STRUCT<age: INT, address: STRUCT<street: STRING, city: STRING>>"
-CHECKED_SCHEMA = f"{RECORD_SCHEMA}, {CORRUPT_COLUMN} STRING"
+
+def with_city(records: DataFrame) -> DataFrame:
+    return records.withColumn("city", F.col("details.address.city"))
 
 
 def city_counts(valid: DataFrame) -> DataFrame:
-    cities = valid.select(F.col("details.address.city").alias("city"))
-    return cities.groupBy("city").count().orderBy(F.desc("count"), "city")
+    """Valid records per ``city``, most frequent first."""
+    return valid.groupBy("city").count().orderBy(F.desc("count"), "city")
 
 
 def quarantine(records: DataFrame, log: str, report: str) -> None:
-    """Split records read in ``PERMISSIVE`` mode: cities of the valid ones, text of the others.
+    """Split the records of ``read_json_lines``: cities of the valid ones, text of the others.
 
-    The records feed both outputs, so they are parsed once and released afterwards.
+    Both outputs come from one parse. Only the two columns they need are kept for that,
+    and they are released afterwards.
     """
-    with persisted(records) as kept:
+    needed = with_city(records).select("city", CORRUPT_COLUMN)
+    with persisted(needed) as kept:
         malformed_records(kept).write.mode("overwrite").text(log)
         city_counts(valid_records(kept)).write.mode("overwrite").parquet(report)
 
@@ -75,7 +78,7 @@ _VALID = f"o_orderstatus <> 'P' AND NOT ({_MISTYPED})"
     FROM orders
 """)
 def src_json_permissive(t: Tables) -> DataFrame:
-    records = read_json_lines(t.spark, record_files(t), CHECKED_SCHEMA)
+    records = read_json_lines(t.spark, record_files(t), CHECKED_PEOPLE)
     return records.select("id", F.col("details.address.city").alias("city"), F.col(CORRUPT_COLUMN).alias("raw_text"))
 
 
@@ -84,7 +87,7 @@ def src_json_permissive(t: Tables) -> DataFrame:
            o_orderpriority AS city FROM orders WHERE {_VALID}
 """)
 def src_json_dropmalformed(t: Tables) -> DataFrame:
-    records = read_json_lines(t.spark, record_files(t), RECORD_SCHEMA, mode="DROPMALFORMED")
+    records = read_json_lines(t.spark, record_files(t), PEOPLE, mode="DROPMALFORMED")
     return records.select("id", "name", F.col("details.age").alias("age"), F.col("details.address.city").alias("city"))
 
 
@@ -98,7 +101,7 @@ def src_json_dropmalformed(t: Tables) -> DataFrame:
 def job_quarantine(t: Tables) -> DataFrame:
     """Both outputs of the job: counts per city, and each line of the error log."""
     log, report = scratch_path(t.spark, "log"), scratch_path(t.spark, "report")
-    quarantine(read_json_lines(t.spark, record_files(t), CHECKED_SCHEMA), log, report)
+    quarantine(read_json_lines(t.spark, record_files(t), CHECKED_PEOPLE), log, report)
     counts = t.spark.read.parquet(report).select(
         F.lit("valid").alias("kind"), F.col("city").alias("label"), F.col("count").alias("n")
     )

@@ -88,3 +88,11 @@ def test_python_appears_only_in_udf_queries(spark, folder, plan):
 
 def test_line_flow_is_one_stage(spark, folder, plan):
     assert "Exchange" not in plan(QUERIES["rdd_lines"](spark, folder))
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_no_plan_forms_all_pairs_or_leaves_the_jvm(spark, folder, plan, name):
+    text = plan(QUERIES[name](spark, folder))
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    if not name.startswith("udf_"):
+        assert "Python" not in text and "InPandas" not in text

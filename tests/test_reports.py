@@ -5,12 +5,17 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from millrace.operators.aggregates import distinct_totals
+from millrace.operators.joins import unmatched
 from millrace.plans.databases import load_and_verify
 from millrace.plans.incidents import Incidents
 from millrace.plans.retail import customer_report, order_detail, row_counts, sales_summary
 from millrace.plans.zones import kind_mix
+from millrace.sources.files import read_csv
 from millrace.sources.jdbc import Database
+from millrace.sources.schemas import FIRE_CALLS, TAXI_ZONES, YELLOW_TAXI
 
 
 def money(text):
@@ -141,3 +146,37 @@ def test_kind_mix_skips_nulls_and_the_unwanted_area(spark):
     )
     found = [tuple(row) for row in kind_mix(df, "area", "kind", "EW", ["Y", "B"]).collect()]
     assert found == [("N", "Y", 2), ("N", "B", 1), ("S", "B", 1)]
+
+
+def test_incidents_of_a_fire_calls_file(spark, tmp_path):
+    names = [field.name for field in StructType.fromDDL(FIRE_CALLS)]
+
+    def line(**values):
+        return ",".join(str(values.get(name, "")) for name in names)
+
+    path = tmp_path / "calls.csv"
+    path.write_text("\n".join([
+        ",".join(names),
+        line(CallNumber=1, CallType="Structure Fire", Battalion="B02", Neighborhood="Dock", Delay=2.95, ALSUnit="true"),
+        line(CallNumber=2, CallType="Structure Fire", Battalion="B02", Neighborhood="Hill", Delay=4.7, ALSUnit="false"),
+        line(CallNumber=3, CallType="Medical Incident", Battalion="B03", Neighborhood="Hill", CallDate="01/11/2002"),
+    ]))
+    calls = Incidents(read_csv(spark, str(path), FIRE_CALLS), number="CallNumber", kind="CallType", delay="Delay")
+    assert calls.kinds().first().n_types == 2
+    assert [tuple(row) for row in calls.delays_of("Structure Fire", "Battalion").collect()] == [("B02", 2, 3.83, 4.7)]
+    assert calls.of_kind("Medical Incident", ["CallDate"]).first().CallDate == "01/11/2002"
+
+
+def test_trips_and_zones(spark, tmp_path):
+    trip = "1,2022-10-01 00:03:41,2022-10-01 00:18:39,1.0,1.7,1.0,N,{zone},4,2,9.5,3,0.5,2.65,0,0.3,{total},2.5,0"
+    path = tmp_path / "trips.csv"
+    path.write_text("\n".join(["header", trip.format(zone=1, total=15.95), trip.format(zone=1, total=0.1),
+                               trip.format(zone=1, total=0.1), trip.format(zone=2, total=4.05)]))
+    trips = read_csv(spark, str(path), YELLOW_TAXI)
+    zones = spark.createDataFrame([(1, "N", "Dock", "Y"), (2, "N", "Hill", "Y"), (3, "S", "Vale", "B")], TAXI_ZONES)
+    assert trips.select(F.date_format("lpep_pickup_datetime", "yyyy-MM-dd HH:mm:ss")).first()[0] == "2022-10-01 00:03:41"
+    joined = trips.join(zones, trips["PULocationID"] == zones["LocationID"], "inner")
+    assert joined.select("Zone", "total_amount").orderBy("total_amount").first() == ("Dock", 0.1)
+    assert [row.Zone for row in unmatched(zones, trips, "LocationID", "PULocationID").collect()] == ["Vale"]
+    totals = {row.PULocationID: row.total for row in distinct_totals(trips, "PULocationID", "total_amount").collect()}
+    assert totals == {1: money("16.05"), 2: money("4.05")}

@@ -6,12 +6,11 @@ from pyspark.sql.types import StringType
 
 from millrace.operators.quality import malformed_records, valid_records
 from millrace.operators.reuse import persisted
-from millrace.plans.nested import EMPLOYEE_SCHEMA, flatten_employees, previous_addresses, write_json_arrays
-from millrace.plans.quarantine import CHECKED_SCHEMA, RECORD_SCHEMA, city_counts, quarantine
+from millrace.plans.nested import flatten_employees, previous_addresses, write_json_arrays
+from millrace.plans.quarantine import city_counts, quarantine, with_city
 from millrace.sources.files import read_csv, read_json_documents, read_json_lines, read_lines
-
-ZONES = "LocationID INT, Borough STRING, Zone STRING, ServiceZone STRING"
-
+from millrace.sources.schemas import CHECKED_PEOPLE, PEOPLE, TAXI_BASES, TAXI_ZONES
+from millrace.sources.schemas import EMPLOYEES as EMPLOYEES_DDL
 
 @pytest.fixture
 def zones(tmp_path):
@@ -27,7 +26,7 @@ def zones(tmp_path):
 
 
 def test_schema_binds_by_position_and_bad_fields_become_null(spark, zones):
-    df = read_csv(spark, zones, ZONES)
+    df = read_csv(spark, zones, TAXI_ZONES)
     assert df.columns == ["LocationID", "Borough", "Zone", "ServiceZone"]
     found = {row.Zone: (row.LocationID, row.ServiceZone) for row in df.collect()}
     assert found == {
@@ -85,7 +84,7 @@ EMPLOYEES = [
 def employees(spark, tmp_path):
     path = tmp_path / "employees.json"
     path.write_text(json.dumps(EMPLOYEES, indent=2))
-    return read_json_documents(spark, str(path), EMPLOYEE_SCHEMA)
+    return read_json_documents(spark, str(path), EMPLOYEES_DDL)
 
 
 def test_nested_documents(employees):
@@ -107,10 +106,24 @@ def test_sql_and_dataframe_access_agree(spark, employees, rows):
     assert rows(by_sql) == rows(previous_addresses(employees))
 
 
+def test_names_with_spaces(spark, tmp_path):
+    path = tmp_path / "bases.json"
+    base = {"License Number": "B1", "Entity Name": "Quick", "Type of Base": "Livery", "Telephone Number": 5551234567,
+            "Address": {"Street": "Elm", "City": "Troy"}, "GeoLocation": {"Latitude": "1.5"}}
+    path.write_text(json.dumps([base], indent=1))
+    bases = read_json_documents(spark, str(path), TAXI_BASES)
+    by_frame = bases.select("`Entity Name`", F.col("`Type of Base`"), "Address.City", "GeoLocation.Latitude").first()
+    by_sql = spark.sql(
+        "SELECT `Entity Name`, `Type of Base`, Address.City AS City, GeoLocation.Latitude AS Latitude FROM {b}", b=bases
+    ).first()
+    assert tuple(by_frame) == tuple(by_sql) == ("Quick", "Livery", "Troy", "1.5")
+    assert bases.first()["Telephone Number"] == 5551234567
+
+
 def test_multiline_option_is_required(spark, tmp_path):
     path = tmp_path / "pretty.json"
     path.write_text(json.dumps(EMPLOYEES, indent=2))
-    assert spark.read.schema(EMPLOYEE_SCHEMA).json(str(path)).filter("EmployeeID IS NOT NULL").count() == 0
+    assert spark.read.schema(EMPLOYEES_DDL).json(str(path)).filter("EmployeeID IS NOT NULL").count() == 0
 
 
 def test_json_arrays_are_bounded_by_the_batch(spark, tmp_path, rows):
@@ -147,7 +160,7 @@ def broken(tmp_path):
 
 def test_permissive_keeps_every_record(spark, broken):
     found = [(r.id, r.name, r.details is not None, r._corrupt_record)
-             for r in read_json_lines(spark, broken, CHECKED_SCHEMA).collect()]
+             for r in read_json_lines(spark, broken, CHECKED_PEOPLE).collect()]
     assert found == [
         (1, "A", True, None),
         (None, "B", False, BROKEN[1]),
@@ -158,43 +171,43 @@ def test_permissive_keeps_every_record(spark, broken):
 
 
 def test_dropmalformed_and_failfast(spark, broken):
-    kept = read_json_lines(spark, broken, RECORD_SCHEMA, mode="DROPMALFORMED").collect()
+    kept = read_json_lines(spark, broken, PEOPLE, mode="DROPMALFORMED").collect()
     assert [(r.id, r.name) for r in kept] == [(1, "A"), (None, "noid")]
     with pytest.raises(Exception, match="MALFORMED"):
-        read_json_lines(spark, broken, RECORD_SCHEMA, mode="FAILFAST").collect()
+        read_json_lines(spark, broken, PEOPLE, mode="FAILFAST").collect()
 
 
 def test_the_same_records_are_broken_whatever_is_selected(spark, broken):
-    records = read_json_lines(spark, broken, CHECKED_SCHEMA)
+    records = read_json_lines(spark, broken, CHECKED_PEOPLE)
     assert malformed_records(records).count() == 3
     assert valid_records(records).columns == ["id", "name", "details"]
     for columns in (["name"], ["id"], ["details.address.city"]):
         assert valid_records(records).select(*columns).count() == 2
         assert len(valid_records(records).select(*columns).collect()) == 2
-    dropped = read_json_lines(spark, broken, RECORD_SCHEMA, mode="DROPMALFORMED")
+    dropped = read_json_lines(spark, broken, PEOPLE, mode="DROPMALFORMED")
     assert len(dropped.select("name").collect()) == 2
 
 
 def test_lines_are_parsed_once(spark, broken, plan):
-    valid = valid_records(read_json_lines(spark, broken, CHECKED_SCHEMA)).select("id", "details.age")
+    valid = valid_records(read_json_lines(spark, broken, CHECKED_PEOPLE)).select("id", "details.age")
     assert plan(valid).count("from_json") == 1
 
 
 def test_reading_agrees_with_the_kept_result_of_the_spark_reader(spark, broken, rows):
-    kept = spark.read.schema(CHECKED_SCHEMA).json(broken, columnNameOfCorruptRecord="_corrupt_record")
+    kept = spark.read.schema(CHECKED_PEOPLE).json(broken, columnNameOfCorruptRecord="_corrupt_record")
     with persisted(kept):
-        assert rows(read_json_lines(spark, broken, CHECKED_SCHEMA)) == rows(kept)
+        assert rows(read_json_lines(spark, broken, CHECKED_PEOPLE)) == rows(kept)
 
 
 def test_unknown_mode(spark, broken):
     with pytest.raises(ValueError):
-        read_json_lines(spark, broken, RECORD_SCHEMA, mode="LENIENT")
+        read_json_lines(spark, broken, PEOPLE, mode="LENIENT")
 
 
-def test_quarantine(spark, broken, tmp_path, rows):
+def test_quarantine(spark, broken, tmp_path, rows, plan):
     log, report = str(tmp_path / "log"), str(tmp_path / "report")
-    records = read_json_lines(spark, broken, CHECKED_SCHEMA)
+    records = read_json_lines(spark, broken, CHECKED_PEOPLE)
     quarantine(records, log, report)
     assert sorted(r.value for r in spark.read.text(log).collect()) == sorted([BROKEN[1], BROKEN[2], BROKEN[3]])
-    assert rows(spark.read.parquet(report)) == rows(city_counts(valid_records(records)))
-    assert not records.is_cached
+    assert rows(spark.read.parquet(report)) == rows(city_counts(with_city(valid_records(records))))
+    assert "InMemoryTableScan" not in plan(with_city(records).select("city", "_corrupt_record"))
