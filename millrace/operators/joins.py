@@ -51,6 +51,7 @@ def join_copartitioned(
     Spark does not split a partitioning the user asked for, so a hot key of ``left`` is
     spread here: its rows take a salt and the matching ``right`` rows exist once per salt.
     That keeps results whole for joins in which every left row finds its own partners.
+    Give the larger input as ``left``; the keys must have different names.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} join cannot repeat rows of the right side")
@@ -59,20 +60,20 @@ def join_copartitioned(
         return left.repartition(partitions, left_key).join(
             right.repartition(partitions, right_key), F.col(left_key) == F.col(right_key), how
         )
-    salted = with_salt(left, spread, left_key).withColumnRenamed("salt", "left_salt")
+    salted = with_salt(left, spread, left_key).withColumnRenamed("_salt", "_left_salt")
     copied = (
         with_buckets(right, spread, right_key)
-        .withColumn("right_salt", F.explode(F.sequence(F.lit(0), F.col("buckets") - 1)))
-        .drop("buckets")
+        .withColumn("_right_salt", F.explode(F.sequence(F.lit(0), F.col("_buckets") - 1)))
+        .drop("_buckets")
     )
     return (
-        salted.repartition(partitions, left_key, "left_salt")
+        salted.repartition(partitions, left_key, "_left_salt")
         .join(
-            copied.repartition(partitions, right_key, "right_salt"),
-            (F.col(left_key) == F.col(right_key)) & (F.col("left_salt") == F.col("right_salt")),
+            copied.repartition(partitions, right_key, "_right_salt"),
+            (F.col(left_key) == F.col(right_key)) & (F.col("_left_salt") == F.col("_right_salt")),
             how,
         )
-        .drop("left_salt", "right_salt")
+        .drop("_left_salt", "_right_salt")
     )
 
 

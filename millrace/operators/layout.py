@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_HOT_KEYS = 10_000
@@ -27,8 +27,8 @@ def shuffle_width(spark: SparkSession) -> int:
 def hot_spread(df: DataFrame, *keys: str, partitions: int) -> DataFrame | None:
     """Key values too large for one of ``partitions``, and over how many buckets to spread each.
 
-    One pass with a sketch of fixed size per task. The table has a row ``hot_hash,
-    buckets`` per value that holds more than twice an average partition, so never more
+    One pass with a sketch of fixed size per task. The table has a row ``_hot_hash,
+    _buckets`` per value that holds more than twice an average partition, so never more
     than ``partitions / 2`` or ``MAX_HOT_KEYS`` rows; ``None`` means that no value does.
     It only steers how rows are spread, never which rows are kept.
     """
@@ -47,19 +47,29 @@ def hot_spread(df: DataFrame, *keys: str, partitions: int) -> DataFrame | None:
     ]
     if not hot:
         return None
-    return df.sparkSession.createDataFrame(hot, "hot_hash BIGINT, buckets INT")
+    return df.sparkSession.createDataFrame(hot, "_hot_hash BIGINT, _buckets INT")
 
 
 def with_buckets(df: DataFrame, spread: DataFrame, *keys: str) -> DataFrame:
-    """``df`` with the number of ``buckets`` of each row's key, 1 for ordinary keys."""
-    marked = df.join(F.broadcast(spread), F.xxhash64(*keys) == F.col("hot_hash"), "left")
-    return marked.withColumn("buckets", F.coalesce("buckets", F.lit(1))).drop("hot_hash")
+    """``df`` with the number of ``_buckets`` of each row's key, 1 for ordinary keys."""
+    marked = df.join(F.broadcast(spread), F.xxhash64(*keys) == F.col("_hot_hash"), "left")
+    return marked.withColumn("_buckets", F.coalesce("_buckets", F.lit(1))).drop("_hot_hash")
+
+
+def row_mark(df: DataFrame) -> Column:
+    """A number that tells rows with equal keys apart.
+
+    It is made of the row and its input partition: copies of a row in different
+    partitions differ too, and a task that runs again gives the same numbers.
+    """
+    return F.xxhash64(*(F.col(f"`{name}`") for name in df.columns), F.spark_partition_id())
 
 
 def with_salt(df: DataFrame, spread: DataFrame, *keys: str) -> DataFrame:
-    """``df`` with a ``salt`` below ``buckets`` that depends on the row alone, so a retried task repeats it."""
-    salt = F.pmod(F.xxhash64(*df.columns), F.col("buckets")).cast("int")
-    return with_buckets(df, spread, *keys).withColumn("salt", salt).drop("buckets")
+    """``df`` with a ``_salt`` below the number of buckets of its key."""
+    marked = with_buckets(df.withColumn("_row_mark", row_mark(df)), spread, *keys)
+    salt = F.pmod("_row_mark", F.col("_buckets")).cast("int")
+    return marked.withColumn("_salt", salt).drop("_row_mark", "_buckets")
 
 
 def round_robin(df: DataFrame, partitions: int) -> DataFrame:
@@ -72,12 +82,21 @@ def by_hash(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
     spread = hot_spread(df, *keys, partitions=partitions)
     if spread is None:
         return df.repartition(partitions, *keys)
-    return with_salt(df, spread, *keys).repartition(partitions, *keys, "salt").drop("salt")
+    return with_salt(df, spread, *keys).repartition(partitions, *keys, "_salt").drop("_salt")
 
 
 def by_range(df: DataFrame, partitions: int, key: str) -> DataFrame:
     """Contiguous, ordered key ranges; the rows of one large key may fill several of them."""
-    return df.repartitionByRange(partitions, F.col(key), F.xxhash64(*df.columns))
+    return df.withColumn("_row_mark", row_mark(df)).repartitionByRange(partitions, key, "_row_mark").drop("_row_mark")
+
+
+def in_order(df: DataFrame, *keys: Column | str) -> DataFrame:
+    """A global sort in which the rows of one large key can be divided among tasks.
+
+    A sort gives each task a range of its keys. Rows equal in all of them come in no
+    particular order, so a further key is free to divide them.
+    """
+    return df.withColumn("_row_mark", row_mark(df)).orderBy(*keys, "_row_mark").drop("_row_mark")
 
 
 def merged(df: DataFrame, partitions: int) -> DataFrame:

@@ -12,12 +12,12 @@ def union_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def intersection(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows in both inputs, once each; null equals null."""
-    return _where(left, right, F.col("in_left") & F.col("in_right"))
+    return _where(left, right, F.col("_in_left") & F.col("_in_right"))
 
 
 def difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of ``left`` not in ``right``, once each; null equals null."""
-    return _where(left, right, F.col("in_left") & ~F.col("in_right"))
+    return _where(left, right, F.col("_in_left") & ~F.col("_in_right"))
 
 
 def _where(left: DataFrame, right: DataFrame, keep: Column) -> DataFrame:
@@ -26,9 +26,9 @@ def _where(left: DataFrame, right: DataFrame, keep: Column) -> DataFrame:
     This is one shuffle of rows already reduced to distinct ones. ``intersect`` and
     ``subtract`` join on null-safe keys, which cost a second shuffle of each side.
     """
-    both = left.withColumn("from_left", F.lit(True)).union(right.withColumn("from_left", F.lit(False)))
+    both = left.withColumn("_from_left", F.lit(True)).union(right.withColumn("_from_left", F.lit(False)))
     columns = [F.col(f"`{name}`") for name in left.columns]
     grouped = both.groupBy(*columns).agg(
-        F.bool_or("from_left").alias("in_left"), F.bool_or(~F.col("from_left")).alias("in_right")
+        F.bool_or("_from_left").alias("_in_left"), F.bool_or(~F.col("_from_left")).alias("_in_right")
     )
     return grouped.filter(keep).select(*columns)

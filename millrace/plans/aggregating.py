@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.values import exact_total, mean
 from millrace.operators.aggregates import average_of, totals
+from millrace.operators.layout import in_order
 from millrace.operators.sets import difference, intersection, union_distinct
 from millrace.plans.registry import query
 from millrace.plans.sqltext import exact_sum, half_up_mean, largest
@@ -103,10 +104,6 @@ def agg_drop_duplicates(t: Tables) -> DataFrame:
     return t.documents.select("text", "lang").dropDuplicates()
 
 
-# A sort places rows by ranges of its whole key. Every order below ends in a unique
-# column, so rows that share the leading value can still be divided among tasks.
-
-
 @query("SELECT o_custkey, COUNT(*) AS n_orders FROM orders GROUP BY o_custkey ORDER BY n_orders DESC, o_custkey")
 def ord_desc(t: Tables) -> DataFrame:
     return (
@@ -116,7 +113,7 @@ def ord_desc(t: Tables) -> DataFrame:
 
 @query("SELECT p_name, p_partkey, p_retailprice FROM part ORDER BY p_name, p_partkey")
 def ord_asc(t: Tables) -> DataFrame:
-    return t.part.select("p_name", "p_partkey", "p_retailprice").orderBy("p_name", "p_partkey")
+    return in_order(t.part.select("p_name", "p_partkey", "p_retailprice"), "p_name", "p_partkey")
 
 
 @query("""
@@ -124,9 +121,8 @@ def ord_asc(t: Tables) -> DataFrame:
     ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey
 """)
 def ord_multi(t: Tables) -> DataFrame:
-    return t.orders.select("o_orderpriority", "o_totalprice", "o_orderkey").orderBy(
-        F.asc("o_orderpriority"), F.desc("o_totalprice"), F.asc("o_orderkey")
-    )
+    orders = t.orders.select("o_orderpriority", "o_totalprice", "o_orderkey")
+    return in_order(orders, F.asc("o_orderpriority"), F.desc("o_totalprice"), F.asc("o_orderkey"))
 
 
 @query("SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 25")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.text import proper_name, report_line
 from millrace.functions.udfs import proper_name_udf, register_proper_name
 from millrace.functions.values import value_tier
+from millrace.operators.layout import in_order
 from millrace.plans.registry import query
 from millrace.session import scoped_session
 from millrace.sources.tables import Tables
@@ -94,12 +95,12 @@ def src_temp_view(t: Tables) -> DataFrame:
     FROM part WHERE p_brand = 'Brand#7'
 """)
 def sql_then_df(t: Tables) -> DataFrame:
-    return (
+    coded = (
         t.spark.sql("SELECT * FROM {part} WHERE p_brand = 'Brand#7'", part=t.part)
         .withColumn("type_code", F.when(F.col("p_type") == "PROMO", "PR").otherwise("OT"))
-        .orderBy("p_name", "p_partkey")
         .select("p_name", "p_type", "type_code")
     )
+    return in_order(coded, "p_name")
 
 
 @query("SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN 'Credit' ELSE 'Debt' END AS balance_kind FROM customer")

@@ -6,10 +6,12 @@ from millrace.operators.layout import (
     by_hash,
     by_range,
     hot_spread,
+    in_order,
     merged,
     partition_stats,
     read_width,
     round_robin,
+    row_mark,
     rows_of_partition,
 )
 
@@ -122,3 +124,43 @@ def test_pair_totals_do_not_overflow(spark):
 def test_measured_bytes_grow_with_the_rows(even):
     assert 0 < measured_bytes(even.limit(100)) < measured_bytes(even)
     assert measured_bytes(even.limit(0)) == 0
+
+
+@pytest.fixture
+def copies(spark):
+    """A third of the rows are copies of one row, in several input partitions."""
+    return spark.range(0, 9000, numPartitions=12).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("v"),
+    )
+
+
+def largest_partition(df):
+    return max(row["record_count"] for row in partition_stats(df, "k").collect())
+
+
+def test_copies_of_one_row_are_divided(spark, copies, rows):
+    for laid in (by_hash(copies, 8, "k"), by_range(copies, 8, "k")):
+        assert largest_partition(laid) < 2500
+        assert rows(laid) == rows(copies)
+
+
+def test_sort_divides_copies_of_one_row(spark, copies):
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        ordered = in_order(copies, "k")
+        assert largest_partition(ordered) < 2500
+        assert largest_partition(copies.orderBy("k")) >= 3000
+        keys = [row.k for row in ordered.collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert keys == sorted(keys) and len(keys) == 9000
+
+
+def test_marks_are_the_same_when_a_task_runs_again(copies, rows):
+    marked = copies.withColumn("mark", row_mark(copies))
+    assert rows(marked) == rows(marked)
+    assert marked.select("mark").distinct().count() == 6000 + 12
