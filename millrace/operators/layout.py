@@ -104,10 +104,15 @@ def merged(df: DataFrame, partitions: int) -> DataFrame:
     return df.coalesce(partitions)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with the ``partition_number`` each row lies in, counted from 0."""
+    return df.withColumn("partition_number", F.spark_partition_id())
+
+
 def partition_stats(df: DataFrame, column: str) -> DataFrame:
     """Rows, lowest and highest ``column`` value of every non-empty partition."""
     return (
-        df.select(F.spark_partition_id().alias("partition_number"), F.col(column).alias("value"))
+        numbered(df.select(F.col(column).alias("value")))
         .groupBy("partition_number")
         .agg(
             F.count("*").alias("record_count"),
@@ -119,7 +124,5 @@ def partition_stats(df: DataFrame, column: str) -> DataFrame:
 
 
 def rows_of_partition(df: DataFrame, number: int) -> DataFrame:
-    """The rows that lie in one physical partition, counted from 0."""
-    return df.withColumn("partition_number", F.spark_partition_id()).filter(
-        F.col("partition_number") == number
-    )
+    """The rows that lie in one physical partition."""
+    return numbered(df).filter(F.col("partition_number") == number)

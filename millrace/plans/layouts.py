@@ -7,7 +7,16 @@ from pyspark.sql import functions as F
 
 from millrace.functions.values import exact_total
 from millrace.operators.aggregates import distinct_totals
-from millrace.operators.layout import by_hash, by_range, merged, partition_stats, read_width, round_robin, shuffle_width
+from millrace.operators.layout import (
+    by_hash,
+    by_range,
+    merged,
+    numbered,
+    partition_stats,
+    read_width,
+    round_robin,
+    shuffle_width,
+)
 from millrace.operators.reuse import persisted, write_each
 from millrace.plans.registry import query
 from millrace.plans.sqltext import exact_sum
@@ -66,6 +75,16 @@ def lay_range(t: Tables) -> DataFrame:
     return supplier_totals(by_range(_lines(t), _width(t), "l_suppkey"))
 
 
+@query("SELECT COUNT(*) AS n_rows, TRUE AS third_is_part FROM lineitem")
+def flt_partition(t: Tables) -> DataFrame:
+    """A predicate on the physical partition: the third range holds some rows, the others the rest."""
+    laid = by_range(_lines(t), _width(t), "l_suppkey")
+    in_third = numbered(laid).select((F.col("partition_number") == 2).alias("in_third"))
+    return in_third.agg(
+        F.count("*").alias("n_rows"), (F.bool_or("in_third") & ~F.bool_and("in_third")).alias("third_is_part")
+    )
+
+
 @query(_TOTALS_SQL)
 def lay_coalesce(t: Tables) -> DataFrame:
     lines = _lines(t)

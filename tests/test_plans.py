@@ -25,6 +25,19 @@ def test_join_strategy(spark, folder, plan, name):
     assert STRATEGIES[name] in plan(QUERIES[name](spark, folder))
 
 
+def test_join_hints(spark, folder, plan):
+    scoped = scoped_session(spark, NO_AUTO_BROADCAST)
+    t = Tables(scoped, folder)
+    by_sql = scoped.sql(
+        "SELECT /*+ BROADCAST(c) */ o.o_orderkey FROM {o} o JOIN {c} c ON o.o_custkey = c.c_custkey",
+        o=t.orders, c=t.customer,
+    )
+    assert "BroadcastHashJoin" in plan(by_sql)
+    plain = Tables(spark, folder)
+    merged = plain.orders.hint("merge").join(plain.customer, F.col("o_custkey") == F.col("c_custkey"))
+    assert "SortMergeJoin" in plan(merged)
+
+
 def test_large_side_is_not_broadcast(spark, folder, plan):
     t = Tables(scoped_session(spark, NO_AUTO_BROADCAST), folder)
     joined = join_broadcasting(t.orders, t.customer, F.col("o_custkey") == F.col("c_custkey"), limit=100)
