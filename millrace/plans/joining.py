@@ -150,9 +150,10 @@ def join_left_isnull(t: Tables) -> DataFrame:
 
 @query("""
     SELECT p.n_key AS join_key, p.n AS left_rows, s.n AS right_rows,
-           CAST(CAST(p.n AS HUGEINT) * s.n AS DECIMAL(38,0)) AS pairs
+           CAST(CAST(p.n AS HUGEINT) * s.n AS DOUBLE) AS pairs
     FROM (SELECT l_partkey AS n_key, COUNT(*) AS n FROM lineitem GROUP BY l_partkey) p
     JOIN (SELECT l_suppkey AS n_key, COUNT(*) AS n FROM lineitem GROUP BY l_suppkey) s ON p.n_key = s.n_key
 """)
 def join_large_large(t: Tables) -> DataFrame:
-    return pair_totals(t.lineitem, t.lineitem, "l_partkey", "l_suppkey")
+    pairs = pair_totals(t.lineitem, t.lineitem, "l_partkey", "l_suppkey")
+    return pairs.withColumn("pairs", F.col("pairs").cast("double"))

@@ -20,7 +20,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLE_NAMES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        scan = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        # Kept as an attribute, so the files are listed once.
+        setattr(self, name, scan)
+        return scan
 
     def on(self, spark: SparkSession) -> Tables:
         """The same tables read through another session."""
