@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,12 +16,18 @@ _ROW_OVERHEAD = 16
 _FIELD_OVERHEAD = 8
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows in memory, from one pass over the data."""
+def fits(df: DataFrame, limit: int) -> bool:
+    """Whether the rows of ``df`` take at most ``limit`` bytes in memory.
+
+    The number of rows, which a plain Parquet scan takes from file footers, rules out
+    large inputs; only what remains is read to be measured.
+    """
     fixed = _ROW_OVERHEAD + _FIELD_OVERHEAD * len(df.columns)
+    if df.count() * fixed > limit:
+        return False
     text = F.octet_length(F.to_json(F.struct("*")))
-    row = df.select((text + fixed).cast("decimal(20,0)").alias("size")).agg(F.sum("size").alias("size")).first()
-    return int(row["size"] or 0)
+    size = df.select((text + fixed).cast("bigint").alias("size")).agg(F.sum("size").alias("size")).first()["size"]
+    return (size or 0) <= limit
 
 
 def join_broadcasting(
@@ -28,14 +37,12 @@ def join_broadcasting(
     how: str = "inner",
     limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """Broadcast ``small`` whatever Spark estimates, provided its measured size is below ``limit``.
+    """Broadcast ``small`` whatever Spark estimates, provided its measured size is within ``limit``.
 
     Above the limit the join is left to Spark, which shuffles both sides and splits
     skewed partitions.
     """
-    if measured_bytes(small) <= limit:
-        small = F.broadcast(small)
-    return large.join(small, on, how)
+    return large.join(F.broadcast(small) if fits(small, limit) else small, on, how)
 
 
 def join_copartitioned(
@@ -48,33 +55,40 @@ def join_copartitioned(
 ) -> DataFrame:
     """Join two inputs that are first hash-partitioned alike, so the join adds no shuffle.
 
-    Spark does not split a partitioning the user asked for, so a hot key of ``left`` is
-    spread here: its rows take a salt and the matching ``right`` rows exist once per salt.
-    That keeps results whole for joins in which every left row finds its own partners.
-    Give the larger input as ``left``; the keys must have different names.
+    Spark does not split a partitioning the user asked for, so hot keys are spread here:
+    the rows of a hot key take a salt, and its rows on the other side exist once per
+    salt. That keeps results whole where each row of the salted side finds its partners
+    by itself: on both sides of an inner join, on the left of the others. Semi and anti
+    joins see each key of ``right`` once. The keys must have different names.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} join cannot repeat rows of the right side")
-    spread = hot_spread(left, left_key, partitions=partitions)
-    if spread is None:
-        return left.repartition(partitions, left_key).join(
-            right.repartition(partitions, right_key), F.col(left_key) == F.col(right_key), how
-        )
-    salted = with_salt(left, spread, left_key).withColumnRenamed("_salt", "_left_salt")
-    copied = (
-        with_buckets(right, spread, right_key)
-        .withColumn("_right_salt", F.explode(F.sequence(F.lit(0), F.col("_buckets") - 1)))
-        .drop("_buckets")
-    )
-    return (
-        salted.repartition(partitions, left_key, "_left_salt")
-        .join(
-            copied.repartition(partitions, right_key, "_right_salt"),
-            (F.col(left_key) == F.col(right_key)) & (F.col("_left_salt") == F.col("_right_salt")),
-            how,
-        )
-        .drop("_left_salt", "_right_salt")
+    if how in ("left_semi", "left_anti"):
+        right = right.select(right_key).distinct()
+    left_spread = hot_spread(left, left_key, partitions=partitions)
+    right_spread = hot_spread(right, right_key, partitions=partitions) if how == "inner" else None
+    left_columns, right_columns = [left_key], [right_key]
+    if left_spread is not None:
+        left = with_salt(left, left_spread, left_key).withColumnRenamed("_salt", "_left_salt")
+    if right_spread is not None:
+        right = with_salt(right, right_spread, right_key).withColumnRenamed("_salt", "_right_salt")
+    if left_spread is not None:
+        right = _copied(right, left_spread, right_key, "_left_salt_of_copy")
+        left_columns, right_columns = [*left_columns, "_left_salt"], [*right_columns, "_left_salt_of_copy"]
+    if right_spread is not None:
+        left = _copied(left, right_spread, left_key, "_right_salt_of_copy")
+        left_columns, right_columns = [*left_columns, "_right_salt_of_copy"], [*right_columns, "_right_salt"]
+    same = reduce(and_, (F.col(one) == F.col(other) for one, other in zip(left_columns, right_columns)))
+    joined = left.repartition(partitions, *left_columns).join(
+        right.repartition(partitions, *right_columns), same, how
     )
+    return joined.drop(*left_columns[1:], *right_columns[1:])
+
+
+def _copied(df: DataFrame, spread: DataFrame, key: str, salt: str) -> DataFrame:
+    """``df`` once per salt of the other side: several times for its hot keys, once for other rows."""
+    copies = F.explode(F.sequence(F.lit(0), F.col("_buckets") - 1))
+    return with_buckets(df, spread, key).withColumn(salt, copies).drop("_buckets")
 
 
 def unmatched(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

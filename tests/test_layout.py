@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import join_copartitioned, measured_bytes, pair_totals
+from millrace.operators.joins import fits, join_copartitioned, pair_totals
 from millrace.operators.layout import (
     by_hash,
     by_range,
@@ -104,6 +104,29 @@ def test_copartitioned_join_matches_hot_to_hot(spark, hot, rows):
     assert rows(join_copartitioned(hot, other, "k", "key", 8)) == rows(expected)
 
 
+def test_salted_join_adds_no_shuffle(spark, hot, plan):
+    few = spark.range(0, 60).select(F.col("id").alias("key"))
+    for joined in (
+        join_copartitioned(hot, few, "k", "key", 8),
+        join_copartitioned(few, hot, "key", "k", 8),
+        join_copartitioned(hot, hot.toDF("key", "w"), "k", "key", 8),
+    ):
+        text = plan(joined)
+        assert text.count("Exchange hashpartitioning") == 2 and text.count("REPARTITION_BY_NUM") == 2
+
+
+def test_copartitioned_join_spreads_a_hot_right_side(spark, hot, rows):
+    few = spark.range(0, 60).select(F.col("id").alias("key"), F.concat(F.lit("n"), "id").alias("name"))
+    joined = join_copartitioned(few, hot, "key", "k", 8)
+    assert rows(joined) == rows(few.join(hot, F.col("key") == F.col("k")))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert largest_partition(join_copartitioned(few, hot, "key", "k", 8)) < 3000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def test_copartitioned_join_refuses_right_and_full(hot):
     with pytest.raises(ValueError):
         join_copartitioned(hot, hot.toDF("key", "w"), "k", "key", 8, "outer")
@@ -121,9 +144,10 @@ def test_pair_totals_do_not_overflow(spark):
     assert pair_totals(counts, counts, "k", "k").schema["pairs"].dataType.simpleString() == "decimal(38,0)"
 
 
-def test_measured_bytes_grow_with_the_rows(even):
-    assert 0 < measured_bytes(even.limit(100)) < measured_bytes(even)
-    assert measured_bytes(even.limit(0)) == 0
+def test_fits(even):
+    assert fits(even, 10_000_000) and fits(even.limit(0), 0)
+    assert not fits(even, 6000 * 30)  # more rows than the limit has room for
+    assert not fits(even, 6000 * 40)  # room for the rows, not for what they hold
 
 
 @pytest.fixture
