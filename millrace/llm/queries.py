@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, token_store
+from millrace.llm import language_id, mixing, quality, token_store
+from millrace.llm.tools import fold
 from millrace.session import scratch_path
 from millrace.sources.tables import Tables
 
@@ -17,14 +18,28 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "rate")
 
 
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = Tables(spark, folder).documents
+    held_out = fold("doc_id", 5, 0)
+    model = language_id.fit(docs.filter(~held_out))
+    return language_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_token_store(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "token-store")
     token_store.write_tokens(Tables(spark, folder).documents, path)
     return token_store.digests(token_store.read_tokens(spark, path))
 
 
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    t = Tables(spark, folder)
+    held_out = fold("doc_id", 3, 1)
+    scored = quality.scores(t.documents, t.labels.filter(~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op4_mixing, op8_token_store)
+    named = (op4_mixing, op5_language_id, op8_token_store, op10_quality)
     return {query.__name__: query for query in named}
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +33,16 @@ def raw_bytes(column: pa.Array) -> list:
 def unit(*columns: Column) -> Column:
     """A number in [0, 1) that depends on the values alone."""
     return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(float(2**53))
+
+
+def portions(batch: pa.RecordBatch, column: int, limit: int = 4 << 20):
+    """Cut a batch into slices whose strings hold about ``limit`` bytes; a longer text stands alone."""
+    sizes = [0 if n is None else n for n in pa.compute.binary_length(batch.column(column)).to_pylist()]
+    start = held = 0
+    for row, size in enumerate(sizes):
+        if held and held + size > limit:
+            yield batch.slice(start, row - start)
+            start, held = row, 0
+        held += size
+    if start < len(sizes):
+        yield batch.slice(start)
