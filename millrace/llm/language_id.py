@@ -52,24 +52,29 @@ class Pieces:
 
     def matches(self, runs: list[str]) -> tuple[np.ndarray, ...]:
         """``run, start, end, id`` of every piece that occurs in a run, by end; and the lengths of the runs."""
-        found: list[tuple[int, int, int, int]] = []
+        found: list[int] = []
         lengths = np.zeros(len(runs), dtype=np.int64)
-        of, unknown = self.of, self.unknown
+        get, unknown = self.of.get, self.unknown
+        # One number per match: run, start and end (six bits each), id (twenty bits).
         for r, run in enumerate(runs):
             text = "▁" + run
-            n = lengths[r] = len(text)
+            n = len(text)
+            lengths[r] = n
             for start in range(n):
+                head = ((r << 6) + start) << 26
+                if get(text[start], -1) < 0:
+                    found.append(head + ((start + 1) << 20) + unknown)
                 for end in range(start + 1, n + 1):
-                    piece = of.get(text[start:end])
+                    piece = get(text[start:end])
                     if piece is None:
                         break
                     if piece >= 0:
-                        found.append((r, start, end, piece))
-                if text[start] not in of or of[text[start]] < 0:
-                    found.append((r, start, start + 1, unknown))
-        table = np.array(found, dtype=np.int64).reshape(-1, 4)
-        table = table[np.argsort(table[:, 2], kind="stable")]
-        return table[:, 0], table[:, 1], table[:, 2], table[:, 3], lengths
+                        found.append(head + (end << 20) + piece)
+        packed = np.array(found, dtype=np.int64)
+        end = (packed >> 20) & 63
+        order = np.argsort(end, kind="stable")
+        packed = packed[order]
+        return packed >> 32, (packed >> 26) & 63, end[order], packed & 0xFFFFF, lengths
 
 
 def _forward(run, start, end, weight, lengths) -> np.ndarray:

@@ -175,7 +175,7 @@ def fit_network(features: np.ndarray, label: np.ndarray, kept_out: np.ndarray, e
         chance = 1.0 / (1.0 + np.exp(-np.clip(hidden @ net.second, -30, 30)))
         error = (chance - goal[:, None]) / len(inputs)
         back = (error @ net.second[:-1].T) * (1 - hidden[:, :-1] ** 2)
-        slopes = (x.T @ back + 1e-4 * net.first, hidden.T @ error + 1e-4 * net.second)
+        slopes = (x.T @ back + 2e-3 * net.first, hidden.T @ error + 2e-3 * net.second)
         for w, slope, (m, v) in zip((net.first, net.second), slopes, moments):
             m += 0.1 * (slope - m)
             v += 0.001 * (slope**2 - v)

@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language_id, mixing, quality, token_store
+from millrace.llm import language_id, mixing, quality, style_tree, token_store
 from millrace.llm.tools import fold
 from millrace.session import scratch_path
 from millrace.sources.tables import Tables
 
 
+def op2_style_tree(spark: SparkSession, folder: str) -> DataFrame:
+    found = style_tree.main_text(Tables(spark, folder).pages)
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mix = mixing.mixed(Tables(spark, folder).documents)
     return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "rate")
@@ -39,7 +44,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op4_mixing, op5_language_id, op8_token_store, op10_quality)
+    named = (op2_style_tree, op4_mixing, op5_language_id, op8_token_store, op10_quality)
     return {query.__name__: query for query in named}
 
 
