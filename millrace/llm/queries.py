@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language_id, mixing, quality, style_tree, token_store
+from millrace.llm import language_id, mixing, pivot_index, quality, style_tree, token_store
 from millrace.llm.tools import fold
 from millrace.session import scratch_path
 from millrace.sources.tables import Tables
 
 
+def op1_pivot_index(spark: SparkSession, folder: str) -> DataFrame:
+    return pivot_index.near_duplicates(Tables(spark, folder).embeddings)
+
+
 def op2_style_tree(spark: SparkSession, folder: str) -> DataFrame:
     found = style_tree.main_text(Tables(spark, folder).pages)
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -44,7 +48,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op2_style_tree, op4_mixing, op5_language_id, op8_token_store, op10_quality)
+    named = (op1_pivot_index, op2_style_tree, op4_mixing, op5_language_id, op8_token_store, op10_quality)
     return {query.__name__: query for query in named}
 
 
