@@ -9,8 +9,10 @@ over a bounded sample of labelled documents; prediction reads whole texts.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -129,6 +131,7 @@ class Model:
     prior: np.ndarray
     weights: np.ndarray
     path: str
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
 def _scaled(pieces: Pieces, probability: np.ndarray) -> np.ndarray:
@@ -176,7 +179,7 @@ def fit(train: DataFrame, path: str | None = None, sample: int = SAMPLE, rounds:
         weights = _scaled(pieces, probability)
 
         def expect(batches, weights=weights):
-            table, counts = Pieces(path), 0
+            table, counts = _pieces_of(path), 0
             for batch in batches:
                 counts = counts + expected_counts(
                     table, batch.column(1).to_pylist(), batch.column(2).to_numpy(), batch.column(0).to_numpy().astype(np.int64), weights
@@ -200,17 +203,12 @@ def fit(train: DataFrame, path: str | None = None, sample: int = SAMPLE, rounds:
 class _Scorer:
     """Sums of log-likelihoods per text; remembers a bounded number of words."""
 
-    def __init__(self, model: Model, room: int = 500_000):
+    def __init__(self, model: Model, room: int = 800_000):
         self.pieces, self.model, self.room = Pieces(model.path), model, room
-        self._forget()
-
-    def _forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.rows = np.zeros((1 << 16, len(self.model.languages) + 1))
+        self.rows = np.zeros((1 << 14, len(model.languages) + 1), np.float64)
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.place) + len(words) > self.room:
-            self._forget()
         parts = [_LETTERS.findall(word) for word in words]
         distinct = list(dict.fromkeys(run for runs in parts for run in runs))
         likely = log_likelihoods(self.pieces, distinct, self.model.weights)
@@ -228,12 +226,12 @@ class _Scorer:
 
     def __call__(self, texts: list) -> np.ndarray:
         words = [(text or "").lower().split() for text in texts]
-        # A pass over the words that are new to this portion, so that each is scored once.
+        # What is new to this portion is scored at once.
         new = set().union(*words).difference(self.place)
+        if len(self.place) + len(new) > self.room:
+            self.place.clear()
+            new = set().union(*words)
         if new:
-            if len(self.place) + len(new) > self.room:
-                self._forget()
-                new = set().union(*words)
             self._learn(list(new))
         place = self.place
         out = np.zeros((len(texts), self.rows.shape[1]))
@@ -243,6 +241,22 @@ class _Scorer:
         return out
 
 
+_SCORERS: dict[str, _Scorer] = {}
+
+
+def _scorer_of(model: Model) -> _Scorer:
+    """One scorer per worker process, so that what it remembers serves the next task too."""
+    if model.name not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[model.name] = _Scorer(model)
+    return _SCORERS[model.name]
+
+
+@lru_cache(maxsize=1)
+def _pieces_of(path: str) -> Pieces:
+    return Pieces(path)
+
+
 def predict(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
     """``key, lang_pred, score`` of every row: the likeliest language and its probability.
 
@@ -252,7 +266,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
     """
 
     def score(batches):
-        scorer = _Scorer(model)
+        scorer = _scorer_of(model)
         for batch in batches:
             for part in portions(batch, 1):
                 sums = scorer(part.column(1).to_pylist())

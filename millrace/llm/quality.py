@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tools import portions, stored, unit
+from millrace.llm.tools import Recent, portions, stored, unit
 
 #: Word buckets and length of the vectors: word vectors take 2 MB whatever the corpus.
 BUCKETS, WIDTH, NONZERO, REACH = 1 << 14, 32, 2, 2
@@ -38,11 +39,13 @@ def _index_vectors() -> tuple[np.ndarray, np.ndarray]:
 class Tokens:
     """Buckets of a text's words: letters in lower case, capitals marked, numbers by length, runs of signs."""
 
-    def __init__(self, room: int = 400_000):
-        self.memo: dict[str, bytes] = {}
-        self.room = room
+    def __init__(self, room: int = 700_000):
+        self.memo = Recent(room)
 
     def _learn(self, chunk: str) -> bytes:
+        ids = self.memo.recall(chunk)
+        if ids is not None:
+            return ids
         names = []
         for token in _TOKEN.findall(chunk):
             if token[0].isalpha():
@@ -54,20 +57,22 @@ class Tokens:
             else:
                 names.append(token)
         ids = np.array([zlib.crc32(name.encode()) % BUCKETS for name in names], dtype=np.int32).tobytes()
-        if len(self.memo) >= self.room:
-            self.memo.clear()
         if len(chunk) <= 64:
-            self.memo[chunk] = ids
+            self.memo.keep(chunk, ids)
         return ids
 
     def __call__(self, text: str | None) -> np.ndarray:
-        memo, learn = self.memo, self._learn
-        chunks = (text or "").split()
-        found = [memo.get(chunk) for chunk in chunks]
-        ids = b"".join(learn(chunk) if one is None else one for one, chunk in zip(found, chunks))
+        young, learn = self.memo.young, self._learn
+        ids = b"".join([young.get(chunk) or learn(chunk) for chunk in (text or "").split()])
         return np.frombuffer(ids, dtype=np.int32)
 
 
+@lru_cache(maxsize=1)
+def shared_tokens() -> Tokens:
+    """One per worker process, so that what it remembers serves the next task too."""
+    return Tokens()
+
+
 def add_contexts(vectors: np.ndarray, documents: list[np.ndarray], places: np.ndarray, signs: np.ndarray) -> None:
     """Add to each word the index vectors of the words at most ``REACH`` before or after it in its document."""
     ids = np.concatenate(documents).astype(np.int64) if documents else np.zeros(0, np.int64)
@@ -89,7 +94,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     places, signs = _index_vectors()
 
     def contexts(batches):
-        tokens, vectors = Tokens(), np.zeros((BUCKETS, WIDTH))
+        tokens, vectors = shared_tokens(), np.zeros((BUCKETS, WIDTH))
         for batch in batches:
             for part in portions(batch, 0, 8 << 20):
                 add_contexts(vectors, [tokens(text) for text in part.column(0).to_pylist()], places, signs)
@@ -123,7 +128,7 @@ def pooled(docs: DataFrame, vectors: np.ndarray, key: str = "doc_id") -> DataFra
     """``key, features``: the mean word vector of each whole text; zeros without words."""
 
     def pool(batches):
-        tokens = Tokens()
+        tokens = shared_tokens()
         for batch in batches:
             for part in portions(batch, 1):
                 rows = np.zeros((part.num_rows, WIDTH), np.float32)

@@ -46,3 +46,25 @@ def portions(batch: pa.RecordBatch, column: int, limit: int = 4 << 20):
         held += size
     if start < len(sizes):
         yield batch.slice(start)
+
+
+class Recent:
+    """A bounded memo: what was not used since half of the room was last filled goes."""
+
+    def __init__(self, room: int):
+        self.half = room // 2
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def recall(self, key):
+        """The value of a key that ``young`` does not have; None if it is not known."""
+        value = self.old.get(key)
+        if value is not None:
+            self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
+        if len(self.young) >= self.half:
+            self.old = dict(self.young)
+            self.young.clear()  # the same object: callers hold on to it
+        self.young[key] = value
