@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language_id, mixing, pivot_index, quality, style_tree, token_store
+from millrace.llm import language_id, mixing, pivot_index, quality, signature_tree, style_tree, token_store
 from millrace.llm.tools import fold
 from millrace.session import scratch_path
 from millrace.sources.tables import Tables
@@ -34,6 +34,10 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op7_signature_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return signature_tree.near_duplicate_groups(Tables(spark, folder).documents)
+
+
 def op8_token_store(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "token-store")
     token_store.write_tokens(Tables(spark, folder).documents, path)
@@ -48,7 +52,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_pivot_index, op2_style_tree, op4_mixing, op5_language_id, op8_token_store, op10_quality)
+    named = (op1_pivot_index, op2_style_tree, op4_mixing, op5_language_id, op7_signature_tree, op8_token_store, op10_quality)
     return {query.__name__: query for query in named}
 
 
