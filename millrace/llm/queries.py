@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language_id, mixing, pivot_index, quality, signature_tree, style_tree, token_store
+from millrace.llm import decontamination, language_id, mixing, pivot_index, quality, signature_tree, style_tree, token_store
 from millrace.llm.tools import fold
 from millrace.session import scratch_path
 from millrace.sources.tables import Tables
@@ -22,6 +22,11 @@ def op2_style_tree(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    t = Tables(spark, folder)
+    return decontamination.contaminated(t.documents, t.benchmark)
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mix = mixing.mixed(Tables(spark, folder).documents)
     return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "rate")
@@ -52,7 +57,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_pivot_index, op2_style_tree, op4_mixing, op5_language_id, op7_signature_tree, op8_token_store, op10_quality)
+    named = (op1_pivot_index, op2_style_tree, op3_decontamination, op4_mixing, op5_language_id, op7_signature_tree, op8_token_store, op10_quality)
     return {query.__name__: query for query in named}
 
 
