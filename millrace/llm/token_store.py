@@ -9,6 +9,7 @@ says how many ids come before it.
 from __future__ import annotations
 
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -18,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from millrace.llm.tools import Recent
+
 END_ID = 0
 _STORED = "doc_id long, shard int, at long, n_tokens long, ids array<int>"
 
@@ -31,39 +34,34 @@ class Encoder:
     that look like special tokens are ordinary text.
     """
 
-    def __init__(self, path: str, room: int = 700_000):
+    def __init__(self, path: str, room: int = 900_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.room = room
-        self.first: dict[str, bytes | None] = {}
-        self.later: dict[str, bytes | None] = {}
+        #: Pieces at the start of a line, and after a space; empty ids mean that the piece cannot stand alone.
+        self.first, self.later = Recent(room // 10), Recent(room)
         self.newline = self._ids("\n")
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, piece: str, memo: dict, before: str) -> bytes | None:
-        if len(self.first) + len(self.later) > self.room:
-            self.first.clear()
-            self.later.clear()
-        joined = not piece or piece[0].isspace() or piece[-1].isspace()
-        ids = None if joined else self._ids(before + piece)
-        if len(piece) <= 64:
-            memo[piece] = ids
+    def _learn(self, piece: str, memo: Recent, before: str) -> bytes:
+        ids = memo.recall(piece)
+        if ids is None:
+            joined = not piece or piece[0].isspace() or piece[-1].isspace()
+            ids = b"" if joined else self._ids(before + piece)
+            if len(piece) <= 64:
+                memo.keep(piece, ids)
         return ids
 
     def _pieces(self, text: str) -> bytes | None:
         lines = []
+        first, later = self.first.young, self.later.young
         for line in text.split("\n"):
-            memo, before, out = self.first, "", []
-            for piece in line.split(" "):
-                ids = memo.get(piece)
-                if ids is None:
-                    ids = self._learn(piece, memo, before)
-                    if ids is None:
-                        return None
-                out.append(ids)
-                memo, before = self.later, " "
+            head, *rest = line.split(" ")
+            out = [first.get(head) or self._learn(head, self.first, "")]
+            out += [later.get(piece) or self._learn(piece, self.later, " ") for piece in rest]
+            if b"" in out:
+                return None
             lines.append(b"".join(out))
         return self.newline.join(lines)
 
@@ -74,6 +72,12 @@ class Encoder:
         return self._ids(text) if ids is None else ids
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """One encoder per worker process, so that what it remembers serves the next task too."""
+    return Encoder(path)
+
+
 def encoded(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Ids of each document with the end id, in ascending order of ``key``, dealt by ranges of it.
 
@@ -83,7 +87,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, key: str
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def encode(batches):
-        encoder, shard, at = Encoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        encoder, shard, at = encoder_of(tokenizer_path), TaskContext.get().partitionId(), 0
         for batch in batches:
             # A few megabytes of ids at a time, whatever the length of the texts.
             for start in range(0, batch.num_rows, 512):
