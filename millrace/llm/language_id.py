@@ -286,3 +286,19 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
 
     rows = docs.select(F.col(key), F.col("text"))
     return rows.mapInArrow(score, f"`{key}` {rows.schema[0].dataType.simpleString()}, lang_pred string, score double")
+
+
+def identified(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, as they are, whose text has a language."""
+
+    def keep(batches):
+        scorer = _scorer_of(model)
+        for batch in batches:
+            for part in portions(batch, at):
+                sums = scorer(part.column(at).to_pylist())
+                yield part.filter(pa.array(sums[:, -1] > 0))
+
+    if not model.languages:
+        return docs.limit(0)
+    at = docs.columns.index("text")
+    return docs.mapInArrow(keep, docs.schema)

@@ -118,47 +118,68 @@ def _cuts(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["source", "size_class", "cut"])
 
 
-def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, key: str = "doc_id") -> DataFrame:
-    """``doc_id, source, size, source_size, target, rate, copies`` of every row of ``docs``.
+def with_copies(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, key: str = "doc_id") -> DataFrame:
+    """Every row of ``docs`` with ``mix``: a struct of ``size, source_size, target, rate, copies``.
 
     Null and empty texts have size 0 and no copies; null is a source of its own; rows that
-    share a key count one by one and take equal copies if equal in size. A source without words has
-    target 0. An empty table gives an empty result. Extra columns are ignored.
+    share a key count one by one and take equal copies if equal in size and source. A source
+    without words has target 0. An empty table gives an empty result. Other columns stay.
     """
     if not 0 < share <= most:
         raise ValueError("share must be above 0 and at most the copies of a document")
     base = float(share)
-    rows = stored(docs.select(F.col(key).alias("doc_id"), "source", word_count(F.col("text")).alias("size")), "mix-sizes")
-    sizes = stored(rows.groupBy("source", "size").agg(F.count("*").alias("docs")), "mix-histogram")
-    sources = sizes.groupBy("source").agg(
-        F.sum(F.col("docs") * F.col("size")).alias("words"), F.sum("docs").alias("n_docs")
-    )
+
+    def placed(columns: list[Column]) -> DataFrame:
+        inner = F.struct(F.col(key).alias("key"), F.col("source").alias("source"), word_count(F.col("text")).alias("size"))
+        return docs.select(*columns, inner.alias("mix"))
+
+    sizes = placed([]).select("mix.source", "mix.size").groupBy("source", "size").agg(F.count("*").alias("docs"))
+    sizes = stored(sizes, "mix-histogram")
+    sources = sizes.groupBy("source").agg(F.sum(F.col("docs") * F.col("size")).alias("words"), F.sum("docs").alias("n_docs"))
     state = multipliers(sizes, stored(targets(sources, weights, share, most), "mix-targets"), base, most)
+    state = state.select(F.struct("source", "words", "target", "mean", "multiplier").alias("goal"))
+
+    def rated(rows: DataFrame) -> DataFrame:
+        """Add ``bin``: where the document stands among those of its source and size class that may take one copy more."""
+        # Broadcast: one row per source.
+        rows = rows.join(F.broadcast(state), F.col("mix.source").eqNullSafe(F.col("goal.source")))
+        size = F.col("mix.size")
+        rate = F.round(_rate(F.col("goal.multiplier"), size, F.col("goal.mean"), base, most), 9)
+        rows = rows.withColumn("mix", F.col("mix").withField("rate", F.when(size > 0, rate).otherwise(0.0)))
+        whole = F.floor("mix.rate")
+        position = F.floor((unit(F.col("mix.key"), size) - F.col("mix.rate") + whole) * _BINS).cast("int")
+        return rows.withColumn(
+            "mix",
+            F.col("mix")
+            .withField("whole", whole)
+            .withField("size_class", F.when(size > 0, F.floor(F.log2(size))).otherwise(-1).cast("int"))
+            .withField("bin", F.when((whole < most) & (size > 0), position)),
+        )
 
-    rate = F.round(_rate(F.col("multiplier"), F.col("size"), F.col("mean"), base, most), 9)
-    rated = rows.alias("d").join(F.broadcast(state).alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select(
-        "d.doc_id", "d.source", "size", F.col("words").alias("source_size"), "target",
-        F.when(F.col("size") > 0, rate).otherwise(0.0).alias("rate"),
-    )
-    whole = F.floor("rate")
-    part = F.col("rate") - whole
-    rated = rated.withColumns(
-        {
-            "size_class": F.when(F.col("size") > 0, F.floor(F.log2("size"))).otherwise(-1).cast("int"),
-            "bin": F.when((whole < most) & (F.col("size") > 0), F.floor((unit("doc_id", "size") - part) * _BINS)).cast("int"),
-        }
-    )
-    bins = rated.filter("bin is not null").groupBy("source", "size_class", "bin").agg(
+    part = F.col("rate") - F.col("whole")
+    bins = rated(placed([])).select("mix.*").filter("bin is not null").groupBy("source", "size_class", "bin").agg(
         F.sum("size").alias("words"), F.sum(part * F.col("size")).alias("want")
     )
     cuts = stored(bins.groupBy("source").applyInPandas(_cuts, "source string, size_class int, cut int"), "mix-cuts")
-    extra = (F.col("bin") <= F.col("cut")).cast("int")
-    return rated.alias("r").join(
-        # Broadcast: one row per source and power of two of the size.
-        F.broadcast(cuts).alias("c"),
-        F.col("r.source").eqNullSafe(F.col("c.source")) & (F.col("r.size_class") == F.col("c.size_class")),
-        "left",
-    ).select(
-        "doc_id", "r.source", "size", "source_size", "target", "rate",
-        (whole + F.coalesce(extra, F.lit(0))).cast("int").alias("copies"),
+    # Broadcast: one row per source and power of two of the size.
+    cuts = F.broadcast(cuts.select(F.struct("source", "size_class", "cut").alias("up_to")))
+    same = F.col("mix.source").eqNullSafe(F.col("up_to.source")) & (F.col("mix.size_class") == F.col("up_to.size_class"))
+    extra = F.coalesce((F.col("mix.bin") <= F.col("up_to.cut")).cast("int"), F.lit(0))
+    result = F.struct(
+        "mix.size", F.col("goal.words").alias("source_size"), "goal.target", "mix.rate", (F.col("mix.whole") + extra).cast("int").alias("copies")
     )
+    columns = [F.col(f"`{name}`") for name in docs.columns]
+    return rated(placed(columns)).join(cuts, same, "left").select(*columns, result.alias("mix"))
+
+
+def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, key: str = "doc_id") -> DataFrame:
+    """``doc_id, source, size, source_size, target, rate, copies`` of every row of ``docs``; see ``with_copies``."""
+    rows = with_copies(docs.select(F.col(key).alias("doc_id"), "source", "text"), weights, share, most)
+    return rows.select("doc_id", "source", "mix.*")
+
+
+def repeated(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, key: str = "doc_id") -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken."""
+    rows = with_copies(docs, weights, share, most, key)
+    columns = [F.col(f"`{name}`") for name in docs.columns]
+    return rows.filter("mix.copies > 0").select(*columns, F.explode(F.array_repeat(F.lit(0), F.col("mix.copies")))).select(*columns)

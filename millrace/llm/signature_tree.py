@@ -334,3 +334,21 @@ def near_duplicate_groups(docs: DataFrame, percent: int = PERCENT, key: str = "d
     return sizes.join(members, linked, "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_component", "doc_id").alias("component_id")
     )
+
+
+def one_of_each_group(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` without those of a group but its smallest id; of rows that share an id one stays.
+
+    Rows without an id and documents without words stay.
+    """
+    groups = stored(near_duplicate_groups(docs, percent, key), "tree-groups")
+    gone = stored(groups.filter("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "tree-gone")
+    kept = join_broadcasting(docs, gone, F.col(key).cast("long") == F.col("gone_id"), "left_anti")
+    often = groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("often_id"))
+    often = stored(often, "tree-often")
+    if often.isEmpty():
+        return kept
+    same = F.col(key).cast("long") == F.col("often_id")
+    row = F.struct(*(F.col(f"`{name}`") for name in docs.columns))
+    many = join_broadcasting(kept, often, same, "left_semi").groupBy(key).agg(F.min_by(row, F.xxhash64(row)).alias("row"))
+    return join_broadcasting(kept, often, same, "left_anti").unionByName(many.select("row.*"))
