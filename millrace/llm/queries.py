@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, language_id, mixing, pivot_index, quality, signature_tree, style_tree, token_store
+from millrace.llm import context_tree, decontamination, language_id, mixing, pivot_index, quality, signature_tree, style_tree, token_store
 from millrace.llm.tools import fold
 from millrace.session import scratch_path
 from millrace.sources.tables import Tables
@@ -49,6 +49,12 @@ def op8_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return token_store.digests(token_store.read_tokens(spark, path))
 
 
+def op9_context_tree(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = fold("doc_id", 10, 0)
+    scored = context_tree.score_documents(Tables(spark, folder).documents, held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     t = Tables(spark, folder)
     held_out = fold("doc_id", 3, 1)
@@ -57,7 +63,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_pivot_index, op2_style_tree, op3_decontamination, op4_mixing, op5_language_id, op7_signature_tree, op8_token_store, op10_quality)
+    named = (op1_pivot_index, op2_style_tree, op3_decontamination, op4_mixing, op5_language_id, op7_signature_tree, op8_token_store, op9_context_tree, op10_quality)
     return {query.__name__: query for query in named}
 
 
