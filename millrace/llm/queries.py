@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import context_tree, decontamination, language_id, mixing, pivot_index, quality, signature_tree, style_tree, token_store
+from millrace.llm import context_tree, decontamination, language_id, mixing, pivot_index, quality, quotations, signature_tree, style_tree, token_store
 from millrace.llm.tools import fold
 from millrace.session import scratch_path
 from millrace.sources.tables import Tables
@@ -39,6 +39,10 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op6_quotations(spark: SparkSession, folder: str) -> DataFrame:
+    return quotations.reply_ordered(Tables(spark, folder).conversations)
+
+
 def op7_signature_tree(spark: SparkSession, folder: str) -> DataFrame:
     return signature_tree.near_duplicate_groups(Tables(spark, folder).documents)
 
@@ -63,7 +67,10 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_pivot_index, op2_style_tree, op3_decontamination, op4_mixing, op5_language_id, op7_signature_tree, op8_token_store, op9_context_tree, op10_quality)
+    named = (
+        op1_pivot_index, op2_style_tree, op3_decontamination, op4_mixing, op5_language_id, op6_quotations, op7_signature_tree,
+        op8_token_store, op9_context_tree, op10_quality,
+    )
     return {query.__name__: query for query in named}
 
 
