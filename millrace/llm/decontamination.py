@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tools import stored
+from millrace.llm.tools import stored, whole_row
 from millrace.operators.joins import join_broadcasting
 
 WORDS = 5
@@ -145,4 +145,5 @@ def contaminated(
 def without_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", **settings) -> DataFrame:
     """The rows of ``docs`` without documents that hold a passage like an item; rows without an id stay."""
     bad = stored(contaminated(docs, items, key=key, **settings).select(F.col("doc_id").alias("bad_id")).distinct(), "contaminated")
-    return join_broadcasting(docs, bad, F.col(key) == F.col("bad_id"), "left_anti")
+    rows = docs.select(whole_row(docs).alias("row"), F.col(key).alias("id"))
+    return join_broadcasting(rows, bad, F.col("id") == F.col("bad_id"), "left_anti").select("row.*")

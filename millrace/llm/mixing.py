@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.tools import WORD, stored, unit
+from millrace.llm.tools import WORD, stored, unit, whole_row
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -119,21 +119,21 @@ def _cuts(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def with_copies(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, key: str = "doc_id") -> DataFrame:
-    """Every row of ``docs`` with ``mix``: a struct of ``size, source_size, target, rate, copies``.
+    """``row, mix``: every row of ``docs`` as a struct, and a struct of ``size, source_size, target, rate, copies``.
 
     Null and empty texts have size 0 and no copies; null is a source of its own; rows that
     share a key count one by one and take equal copies if equal in size and source. A source
-    without words has target 0. An empty table gives an empty result. Other columns stay.
+    without words has target 0. An empty table gives an empty result. Rows keep all their columns.
     """
     if not 0 < share <= most:
         raise ValueError("share must be above 0 and at most the copies of a document")
     base = float(share)
 
-    def placed(columns: list[Column]) -> DataFrame:
+    def placed(*columns: Column) -> DataFrame:
         inner = F.struct(F.col(key).alias("key"), F.col("source").alias("source"), word_count(F.col("text")).alias("size"))
         return docs.select(*columns, inner.alias("mix"))
 
-    sizes = placed([]).select("mix.source", "mix.size").groupBy("source", "size").agg(F.count("*").alias("docs"))
+    sizes = placed().select("mix.source", "mix.size").groupBy("source", "size").agg(F.count("*").alias("docs"))
     sizes = stored(sizes, "mix-histogram")
     sources = sizes.groupBy("source").agg(F.sum(F.col("docs") * F.col("size")).alias("words"), F.sum("docs").alias("n_docs"))
     state = multipliers(sizes, stored(targets(sources, weights, share, most), "mix-targets"), base, most)
@@ -157,7 +157,7 @@ def with_copies(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: in
         )
 
     part = F.col("rate") - F.col("whole")
-    bins = rated(placed([])).select("mix.*").filter("bin is not null").groupBy("source", "size_class", "bin").agg(
+    bins = rated(placed()).select("mix.*").filter("bin is not null").groupBy("source", "size_class", "bin").agg(
         F.sum("size").alias("words"), F.sum(part * F.col("size")).alias("want")
     )
     cuts = stored(bins.groupBy("source").applyInPandas(_cuts, "source string, size_class int, cut int"), "mix-cuts")
@@ -168,18 +168,16 @@ def with_copies(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: in
     result = F.struct(
         "mix.size", F.col("goal.words").alias("source_size"), "goal.target", "mix.rate", (F.col("mix.whole") + extra).cast("int").alias("copies")
     )
-    columns = [F.col(f"`{name}`") for name in docs.columns]
-    return rated(placed(columns)).join(cuts, same, "left").select(*columns, result.alias("mix"))
+    return rated(placed(whole_row(docs).alias("row"))).join(cuts, same, "left").select("row", result.alias("mix"))
 
 
 def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, key: str = "doc_id") -> DataFrame:
     """``doc_id, source, size, source_size, target, rate, copies`` of every row of ``docs``; see ``with_copies``."""
     rows = with_copies(docs.select(F.col(key).alias("doc_id"), "source", "text"), weights, share, most)
-    return rows.select("doc_id", "source", "mix.*")
+    return rows.select("row.doc_id", "row.source", "mix.*")
 
 
 def repeated(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, key: str = "doc_id") -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken."""
     rows = with_copies(docs, weights, share, most, key)
-    columns = [F.col(f"`{name}`") for name in docs.columns]
-    return rows.filter("mix.copies > 0").select(*columns, F.explode(F.array_repeat(F.lit(0), F.col("mix.copies")))).select(*columns)
+    return rows.select("row", F.explode(F.array_repeat(F.lit(0), F.col("mix.copies")))).select("row.*")

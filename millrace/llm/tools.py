@@ -30,6 +30,11 @@ def raw_bytes(column: pa.Array) -> list:
     return column.cast(pa.binary()).to_pylist()
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, so that columns added beside it can have any name."""
+    return F.struct(*(F.col(f"`{name.replace('`', '``')}`") for name in df.columns))
+
+
 def unit(*columns: Column) -> Column:
     """A number in [0, 1) that depends on the values alone."""
     return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(float(2**53))
