@@ -22,12 +22,12 @@ from pyspark.sql import functions as F
 
 from millrace.llm.graph import components
 from millrace.llm.shingles import mix, shingle_sets
-from millrace.llm.tools import portions, stored, unit
+from millrace.llm.tools import portions, stored, unit, whole_row
 from millrace.operators.joins import join_broadcasting
 
 PERCENT = 75
-#: Bits of a signature; longer texts are less selective, never lost.
-BITS = 2048
+#: Bits of a signature in the trees; of longer texts more bits are compared after the trees.
+BITS, MOST_BITS = 2048, 1 << 18
 FANOUT = 16
 #: Entries of one list that are compared in one task.
 BLOCK = 2048
@@ -118,28 +118,48 @@ def _frequent(docs: DataFrame, key: str, percent: int) -> np.ndarray:
     return np.sort(found["token"].to_numpy(np.int64).view(_U))
 
 
+def _of_wanted(docs: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    rows = docs.select(F.col(key).cast("long").alias("id"), "text")
+    return join_broadcasting(rows, wanted, F.col("id") == F.col("rep"), "left_semi")
+
+
+def bitmap(tokens: np.ndarray, size: int) -> np.ndarray:
+    """``size`` bits, a power of two; folding the halves of a bitmap together gives that of half the size."""
+    flags = np.zeros(size, bool)
+    flags[(mix(tokens) & _U(size - 1)).astype(np.int64)] = True
+    return np.packbits(flags).view(_U)
+
+
 def signatures(docs: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``rep, n, tokens, bits`` of the documents in ``wanted (rep)``: whole set and bitmap."""
+    """``rep, n, bits, wide`` of the documents in ``wanted (rep)``: size and bitmaps of the set, at four bits a shingle the wide one."""
 
     def describe(batches):
         for batch in batches:
             for part in portions(batch, 1):
                 sets = shingle_sets(part.column(1))
-                bits = []
-                for tokens in sets:
-                    flags = np.zeros(BITS, bool)
-                    flags[(mix(tokens) % _U(BITS)).astype(np.int64)] = True
-                    bits.append(np.packbits(flags).tobytes())
+                wide = [bitmap(s, min(max(BITS, 1 << (4 * len(s)).bit_length()), MOST_BITS)) for s in sets]
+                bits = [np.bitwise_or.reduce(one.reshape(-1, BITS // 64)).tobytes() for one in wide]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()), pa.array(bits, pa.binary()),
+                        pa.array(bits, pa.binary()), pa.array([one.tobytes() for one in wide], pa.binary()),
                     ],
-                    names=["rep", "n", "tokens", "bits"],
+                    names=["rep", "n", "bits", "wide"],
                 )
 
-    rows = join_broadcasting(docs.select(F.col(key).cast("long").alias("id"), "text"), wanted, F.col("id") == F.col("rep"), "left_semi")
-    return rows.mapInArrow(describe, "rep long, n long, tokens binary, bits binary")
+    return _of_wanted(docs, wanted, key).mapInArrow(describe, "rep long, n long, bits binary, wide binary")
+
+
+def whole_sets(docs: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``rep, tokens`` of the documents in ``wanted (rep)``: the whole set."""
+
+    def describe(batches):
+        for batch in batches:
+            for part in portions(batch, 1):
+                sets = [s.astype("<u8").tobytes() for s in shingle_sets(part.column(1))]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["rep", "tokens"])
+
+    return _of_wanted(docs, wanted, key).mapInArrow(describe, "rep long, tokens binary")
 
 
 def _bitmaps(column: pa.Array) -> np.ndarray:
@@ -215,13 +235,14 @@ def tree_pairs(n: np.ndarray, bits: np.ndarray, component: np.ndarray, percent:
     return (np.concatenate(found_a), np.concatenate(found_b)) if found_a else (np.zeros(0, np.int64),) * 2
 
 
-def tree_candidates(lists: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``a, b`` left by the trees over ``token, rep, n, bits, component``; long lists are cut into blocks."""
+def tree_candidates(lists: DataFrame, signed: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``a, b`` left by the trees over ``token, rep, n, component`` and the bitmaps; long lists are cut into blocks."""
     sizes = lists.groupBy("token").count().filter(F.col("count") > BLOCK)
     long_lists = stored(sizes.select(F.col("token").alias("long_token"), F.ceil(F.col("count") / BLOCK).alias("parts")), "tree-long-lists")
     rows = join_broadcasting(lists, long_lists, F.col("token") == F.col("long_token"), "left")
     rows = rows.withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", F.pmod(F.xxhash64("rep"), "parts"))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.join(signed.select(F.col("rep").alias("of"), "bits"), F.col("rep") == F.col("of"))
     rows = rows.select("token", F.least("part", "with").alias("low"), F.greatest("part", "with").alias("high"), "rep", "n", "bits", "component")
     placed = rows.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high", "rep")
 
@@ -260,21 +281,32 @@ def tree_candidates(lists: DataFrame, percent: int = PERCENT) -> DataFrame:
     return placed.mapInArrow(traverse, "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Those of ``a, b`` whose sets link: bitmaps first, then whole sets."""
-    ends = [sets.select(F.col("rep").alias(f"{s}_rep"), F.col("n").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits")) for s in "ab"]
+def left_by_bitmaps(pairs: DataFrame, signed: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Those of ``a, b`` that sizes and wide bitmaps do not rule out."""
+    ends = [signed.select(F.col("rep").alias(f"{s}_rep"), F.col("n").alias(f"{s}_n"), F.col("wide").alias(f"{s}_wide")) for s in "ab"]
     rows = pairs.join(ends[0], F.col("a") == F.col("a_rep")).join(ends[1], F.col("b") == F.col("b_rep"))
+    rows = rows.filter(F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent)
 
     def by_bits(batches):
         for batch in batches:
-            n, m = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 4))
-            use = may_link(n, m, _bitmaps(batch.column(3)), _bitmaps(batch.column(5)), percent)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(use)), batch.column(1).filter(pa.array(use))], names=["a", "b"])
-
-    rows = rows.select("a", "b", "a_n", "a_bits", "b_n", "b_bits").mapInArrow(by_bits, "a long, b long")
-    rows = stored(rows, "tree-pairs")
+            use = []
+            for n, x, m, y in zip(*(batch.column(i).to_pylist() for i in range(2, 6))):
+                x, y = np.frombuffer(x, _U), np.frombuffer(y, _U)
+                words = min(len(x), len(y))
+                x, y = (np.bitwise_or.reduce(one.reshape(-1, words)) for one in (x, y))
+                use.append(bool(may_link(np.array([n]), np.array([m]), x[None], y[None], percent)[0]))
+            use = pa.array(use, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(use), batch.column(1).filter(use)], names=["a", "b"])
+
+    return rows.select("a", "b", "a_n", "a_wide", "b_n", "b_wide").mapInArrow(by_bits, "a long, b long")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT, key: str = "doc_id") -> DataFrame:
+    """Those of ``a, b`` whose whole sets link."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    sets = stored(whole_sets(docs, stored(wanted, "tree-wanted"), key), "tree-sets")
     ends = [sets.select(F.col("rep").alias(f"{s}_rep"), F.col("tokens").alias(f"{s}_tokens")) for s in "ab"]
-    rows = rows.join(ends[0], F.col("a") == F.col("a_rep")).join(ends[1], F.col("b") == F.col("b_rep"))
+    rows = pairs.join(ends[0], F.col("a") == F.col("a_rep")).join(ends[1], F.col("b") == F.col("b_rep"))
 
     def by_sets(batches):
         for batch in batches:
@@ -304,25 +336,29 @@ def near_duplicate_groups(docs: DataFrame, percent: int = PERCENT, key: str = "d
 
     known = docs.filter(F.col(key).isNotNull())
     placed = routes(known, _frequent(known, key, percent), percent)
-    beside = Window.partitionBy("token").orderBy("high", "low")
-    other = lambda move: move("high").over(beside).isNotNull() & (
-        (move("high").over(beside) != F.col("high")) | (move("low").over(beside) != F.col("low"))
-    )
-    shared = placed.filter(F.col("token").isNotNull()).withColumn("shared", other(F.lag) | other(F.lead)).filter("shared")
-    lists = stored(shared.join(classes, ["high", "low"]).select("token", "rep", "n").distinct(), "tree-lists")
-    sets = stored(signatures(docs, lists.select("rep").distinct(), key), "tree-sets")
-
-    head = F.min("rep").over(Window.partitionBy("token"))
+    beside, every = Window.partitionBy("token").orderBy("high", "low"), Window.partitionBy("token")
+    again = (F.lag("high").over(beside) == F.col("high")) & (F.lag("low").over(beside) == F.col("low"))
+    once = placed.withColumn("again", F.coalesce(again, F.lit(False))).filter("not again")
+    counted = once.select(
+        "token", "high", "low", F.count("*").over(every).alias("members"),
+        F.bit_xor("high").over(every).alias("all_high"), F.bit_xor("low").over(every).alias("all_low"),
+    ).filter("members > 1")
+    # Lists of the same members, as near copies have under most of their shingles, are one list.
+    lists = counted.groupBy("members", "all_high", "all_low", "high", "low").agg(F.min("token").alias("token"))
+    lists = stored(lists.join(classes, ["high", "low"]).select("token", "rep", "n").distinct(), "tree-lists")
+    signed = stored(signatures(docs, stored(lists.select("rep").distinct(), "tree-listed"), key), "tree-signatures")
+
+    head = F.min("rep").over(every)
     heads = lists.select(head.alias("a"), F.col("rep").alias("b")).filter("a != b").distinct()
-    links = stored(verified(heads, sets, percent), "tree-head-links")
+    heads = stored(left_by_bitmaps(heads, signed, percent), "tree-heads")
+    links = stored(verified(heads, docs, percent, key), "tree-head-links")
     joined = stored(components(links), "tree-head-components")
 
     rows = lists.join(joined, F.col("rep") == F.col("node"), "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    every = Window.partitionBy("token")
-    open_lists = rows.filter(F.col("component").isNotNull()).withColumn("closed", F.min("component").over(every) == F.max("component").over(every))
-    open_lists = stored(open_lists.filter("not closed").drop("closed"), "tree-open-lists")
-    signed = open_lists.join(sets.select(F.col("rep").alias("of"), "bits"), F.col("rep") == F.col("of")).drop("of")
-    more = verified(stored(tree_candidates(signed, percent), "tree-candidates"), sets, percent)
+    open_lists = rows.withColumn("closed", F.min("component").over(every) == F.max("component").over(every)).filter("not closed")
+    open_lists = stored(open_lists.drop("closed"), "tree-open-lists")
+    pairs = left_by_bitmaps(tree_candidates(open_lists, signed, percent), signed, percent)
+    more = verified(stored(pairs, "tree-candidates"), docs, percent, key)
     links = stored(links.union(more), "tree-links")
 
     found = stored(components(links), "tree-components")
@@ -343,12 +379,12 @@ def one_of_each_group(docs: DataFrame, percent: int = PERCENT, key: str = "doc_i
     """
     groups = stored(near_duplicate_groups(docs, percent, key), "tree-groups")
     gone = stored(groups.filter("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "tree-gone")
-    kept = join_broadcasting(docs, gone, F.col(key).cast("long") == F.col("gone_id"), "left_anti")
+    rows = docs.select(whole_row(docs).alias("row"), F.col(key).cast("long").alias("id"))
+    kept = join_broadcasting(rows, gone, F.col("id") == F.col("gone_id"), "left_anti")
     often = groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("often_id"))
     often = stored(often, "tree-often")
     if often.isEmpty():
-        return kept
-    same = F.col(key).cast("long") == F.col("often_id")
-    row = F.struct(*(F.col(f"`{name}`") for name in docs.columns))
-    many = join_broadcasting(kept, often, same, "left_semi").groupBy(key).agg(F.min_by(row, F.xxhash64(row)).alias("row"))
-    return join_broadcasting(kept, often, same, "left_anti").unionByName(many.select("row.*"))
+        return kept.select("row.*")
+    same = F.col("id") == F.col("often_id")
+    many = join_broadcasting(kept, often, same, "left_semi").groupBy("id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return join_broadcasting(kept, often, same, "left_anti").select("row.*").unionByName(many.select("row.*"))
