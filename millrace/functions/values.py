@@ -12,26 +12,46 @@ from pyspark.sql.types import DoubleType, FloatType
 HIGH_VALUE, MEDIUM_VALUE = 500, 100
 FAST_LIMIT, NORMAL_LIMIT = 3, 10
 
-# Wide enough for any total, and a width that databases can store.
-TOTAL_TYPE = "decimal(28,2)"
+#: Decimals of the amounts of money in the reports.
+CENTS = 2
 
+_HALF = float(2**20)
 
-def exact_total(df: DataFrame, amount: str) -> Column:
-    """Sum of an amount with two decimals as an exact number that does not depend on row order.
 
-    Doubles are summed as whole cents, several times faster than as decimals. A sum
-    beyond the range of a long raises under ANSI mode, which is Spark's default.
+def total_type(scale: int) -> str:
+    """Wide enough for any total, and a width that databases can store."""
+    return f"decimal(28,{scale})"
+
+
+def exact_total(df: DataFrame, amount: str, scale: int) -> Column:
+    """Sum of an amount that has ``scale`` decimals, as an exact number that does not depend on row order.
+
+    Doubles are summed as whole units of the last decimal, several times faster than as
+    decimals, in two parts so that no long overflows. A total beyond the type is null, as is one
+    of amounts with NaN or infinity. Amounts with more decimals are rounded to ``scale``: for
+    those use a plain sum.
     """
     column = F.col(amount)
-    if isinstance(df.schema[amount].dataType, (DoubleType, FloatType)):
-        cents = F.sum(F.rint(column * 100).cast("bigint"))
-        return (cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(TOTAL_TYPE)
-    return F.sum(column).cast(TOTAL_TYPE)
+    if not isinstance(df.schema[amount].dataType, (DoubleType, FloatType)):
+        return F.sum(column).cast(total_type(scale))
+    odd = F.isnan(column) | (F.abs(column) == float("inf"))
+    units = F.rint(F.when(~odd, column) * 10.0**scale)
+    high = F.floor(units / _HALF)
+    # Both parts are whole, and exact: a power of two only moves the exponent.
+    low = (units - F.floor(units / _HALF).cast("double") * _HALF).cast("bigint")
+    whole = F.try_sum(high).cast("decimal(20,0)") * F.lit(int(_HALF)) + F.try_sum(low).cast("decimal(20,0)")
+    exact = (whole * F.lit(Decimal(1).scaleb(-scale))).try_cast(total_type(scale))
+    return F.when(F.coalesce(F.bool_or(odd), F.lit(False)), None).otherwise(exact)
+
+
+def total(df: DataFrame, amount: str, scale: int | None = None) -> Column:
+    """A plain sum, or an exact one of amounts that have ``scale`` decimals."""
+    return F.sum(amount) if scale is None else exact_total(df, amount, scale)
 
 
-def mean(total: Column, count: Column) -> Column:
+def mean(amount: Column, count: Column) -> Column:
     """Half-up average with two decimals from an exact total and a count."""
-    return F.round(total / count, 2).cast("decimal(18,2)")
+    return F.round(amount / count, 2).cast("decimal(18,2)")
 
 
 def value_tier(amount: Column | str, high: float = HIGH_VALUE, medium: float = MEDIUM_VALUE) -> Column:

@@ -8,7 +8,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.layout import hot_spread, with_buckets, with_salt
+from millrace.operators.layout import fresh, hot_spread, with_buckets, with_salt
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
 
@@ -58,8 +58,10 @@ def join_copartitioned(
     Spark does not split a partitioning the user asked for, so hot keys are spread here:
     the rows of a hot key take a salt, and its rows on the other side exist once per
     salt. That keeps results whole where each row of the salted side finds its partners
-    by itself: on both sides of an inner join, on the left of the others. Semi and anti
-    joins see each key of ``right`` once. The keys must have different names.
+    by itself: on both sides of an inner join, on the left of the others. A key that is hot on
+    both sides takes the square root of its buckets on each, so its pairs still fill that many
+    buckets. Semi and anti joins see each key of ``right`` once. The keys must have different
+    names. Finding hot keys takes one pass over each input when the join is built.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} join cannot repeat rows of the right side")
@@ -67,17 +69,20 @@ def join_copartitioned(
         right = right.select(right_key).distinct()
     left_spread = hot_spread(left, left_key, partitions=partitions)
     right_spread = hot_spread(right, right_key, partitions=partitions) if how == "inner" else None
+    if left_spread is not None and right_spread is not None:
+        left_spread, right_spread = _rooted(left_spread, right_spread), _rooted(right_spread, left_spread)
+    salts = {name: fresh(name, left, right) for name in ("left_salt", "left_copy", "right_salt", "right_copy")}
     left_columns, right_columns = [left_key], [right_key]
     if left_spread is not None:
-        left = with_salt(left, left_spread, left_key).withColumnRenamed("_salt", "_left_salt")
+        left = with_salt(left, left_spread, salts["left_salt"], left_key)
     if right_spread is not None:
-        right = with_salt(right, right_spread, right_key).withColumnRenamed("_salt", "_right_salt")
+        right = with_salt(right, right_spread, salts["right_salt"], right_key)
     if left_spread is not None:
-        right = _copied(right, left_spread, right_key, "_left_salt_of_copy")
-        left_columns, right_columns = [*left_columns, "_left_salt"], [*right_columns, "_left_salt_of_copy"]
+        right = _copied(right, left_spread, right_key, salts["left_copy"])
+        left_columns, right_columns = [*left_columns, salts["left_salt"]], [*right_columns, salts["left_copy"]]
     if right_spread is not None:
-        left = _copied(left, right_spread, left_key, "_right_salt_of_copy")
-        left_columns, right_columns = [*left_columns, "_right_salt_of_copy"], [*right_columns, "_right_salt"]
+        left = _copied(left, right_spread, left_key, salts["right_copy"])
+        left_columns, right_columns = [*left_columns, salts["right_copy"]], [*right_columns, salts["right_salt"]]
     same = reduce(and_, (F.col(one) == F.col(other) for one, other in zip(left_columns, right_columns)))
     joined = left.repartition(partitions, *left_columns).join(
         right.repartition(partitions, *right_columns), same, how
@@ -85,10 +90,18 @@ def join_copartitioned(
     return joined.drop(*left_columns[1:], *right_columns[1:])
 
 
+def _rooted(spread: DataFrame, other: DataFrame) -> DataFrame:
+    """``spread`` with the square root of the buckets of keys that ``other`` has too."""
+    both = spread.join(F.broadcast(other.select(F.col("_hot_hash").alias("hash"))), F.col("_hot_hash") == F.col("hash"), "left")
+    root = F.ceil(F.sqrt("_buckets")).cast("int")
+    return both.select("_hot_hash", F.when(F.col("hash").isNotNull(), root).otherwise(F.col("_buckets")).alias("_buckets"))
+
+
 def _copied(df: DataFrame, spread: DataFrame, key: str, salt: str) -> DataFrame:
     """``df`` once per salt of the other side: several times for its hot keys, once for other rows."""
-    copies = F.explode(F.sequence(F.lit(0), F.col("_buckets") - 1))
-    return with_buckets(df, spread, key).withColumn(salt, copies).drop("_buckets")
+    buckets = fresh("buckets", df)
+    copies = F.explode(F.sequence(F.lit(0), F.col(buckets) - 1))
+    return with_buckets(df, spread, buckets, key).withColumn(salt, copies).drop(buckets)
 
 
 def unmatched(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

@@ -12,7 +12,16 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 10_000
+#: Most items that Spark's sketch of frequent items can follow.
+_MOST_TRACKED = 1_000_000
+
+
+def fresh(name: str, *inputs: DataFrame) -> str:
+    """``name``, made longer until no input has a column of that name."""
+    taken = {column.lower() for df in inputs for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def read_width(df: DataFrame) -> int:
@@ -27,17 +36,17 @@ def shuffle_width(spark: SparkSession) -> int:
 def hot_spread(df: DataFrame, *keys: str, partitions: int) -> DataFrame | None:
     """Key values too large for one of ``partitions``, and over how many buckets to spread each.
 
-    One pass with a sketch of fixed size per task. The table has a row ``_hot_hash,
-    _buckets`` per value that holds more than twice an average partition, so never more
-    than ``partitions / 2`` or ``MAX_HOT_KEYS`` rows; ``None`` means that no value does.
-    It only steers how rows are spread, never which rows are kept.
+    One pass with a sketch per task, whose size follows from ``partitions`` alone. The table has a
+    row ``_hot_hash, _buckets`` per value that holds more than twice an average partition, so
+    never more than ``partitions / 2`` rows; ``None`` means that no value does. It only steers
+    how rows are spread, never which rows are kept.
     """
-    share = max(2 / partitions, 1 / MAX_HOT_KEYS)
+    share = 2 / partitions
     if share >= 1:
         return None
     wanted = math.ceil(1 / share)
     row = df.select(F.xxhash64(*keys).alias("key")).agg(
-        F.call_function("approx_top_k", F.col("key"), F.lit(wanted), F.lit(8 * wanted)).alias("top"),
+        F.call_function("approx_top_k", F.col("key"), F.lit(wanted), F.lit(min(8 * wanted, _MOST_TRACKED))).alias("top"),
         F.count("*").alias("rows"),
     ).first()
     hot = [
@@ -50,26 +59,26 @@ def hot_spread(df: DataFrame, *keys: str, partitions: int) -> DataFrame | None:
     return df.sparkSession.createDataFrame(hot, "_hot_hash BIGINT, _buckets INT")
 
 
-def with_buckets(df: DataFrame, spread: DataFrame, *keys: str) -> DataFrame:
-    """``df`` with the number of ``_buckets`` of each row's key, 1 for ordinary keys."""
-    marked = df.join(F.broadcast(spread), F.xxhash64(*keys) == F.col("_hot_hash"), "left")
-    return marked.withColumn("_buckets", F.coalesce("_buckets", F.lit(1))).drop("_hot_hash")
+def with_buckets(df: DataFrame, spread: DataFrame, name: str, *keys: str) -> DataFrame:
+    """``df`` with the number of buckets of each row's key in column ``name``, 1 for ordinary keys."""
+    spread = spread.toDF(fresh("hot_hash", df), name)
+    marked = df.join(F.broadcast(spread), F.xxhash64(*keys) == F.col(spread.columns[0]), "left")
+    return marked.withColumn(name, F.coalesce(name, F.lit(1))).drop(spread.columns[0])
 
 
-def row_mark(df: DataFrame) -> Column:
-    """A number that tells rows with equal keys apart.
+def row_mark() -> Column:
+    """A number that tells rows apart, even copies of one row: the input partition and a counter in it.
 
-    It is made of the row and its input partition: copies of a row in different
-    partitions differ too, and a task that runs again gives the same numbers.
+    A task that runs again over the same rows gives the same numbers.
     """
-    return F.xxhash64(*(F.col(f"`{name}`") for name in df.columns), F.spark_partition_id())
+    return F.monotonically_increasing_id()
 
 
-def with_salt(df: DataFrame, spread: DataFrame, *keys: str) -> DataFrame:
-    """``df`` with a ``_salt`` below the number of buckets of its key."""
-    marked = with_buckets(df.withColumn("_row_mark", row_mark(df)), spread, *keys)
-    salt = F.pmod("_row_mark", F.col("_buckets")).cast("int")
-    return marked.withColumn("_salt", salt).drop("_row_mark", "_buckets")
+def with_salt(df: DataFrame, spread: DataFrame, name: str, *keys: str) -> DataFrame:
+    """``df`` with a salt below the number of buckets of its key in column ``name``."""
+    mark, buckets = fresh("row_mark", df), fresh("buckets", df)
+    marked = with_buckets(df.withColumn(mark, row_mark()), spread, buckets, *keys)
+    return marked.withColumn(name, F.pmod(mark, buckets).cast("int")).drop(mark, buckets)
 
 
 def round_robin(df: DataFrame, partitions: int) -> DataFrame:
@@ -82,21 +91,26 @@ def by_hash(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
     spread = hot_spread(df, *keys, partitions=partitions)
     if spread is None:
         return df.repartition(partitions, *keys)
-    return with_salt(df, spread, *keys).repartition(partitions, *keys, "_salt").drop("_salt")
+    salt = fresh("salt", df)
+    return with_salt(df, spread, salt, *keys).repartition(partitions, *keys, salt).drop(salt)
 
 
 def by_range(df: DataFrame, partitions: int, key: str) -> DataFrame:
     """Contiguous, ordered key ranges; the rows of one large key may fill several of them."""
-    return df.withColumn("_row_mark", row_mark(df)).repartitionByRange(partitions, key, "_row_mark").drop("_row_mark")
+    mark = fresh("row_mark", df)
+    return df.withColumn(mark, row_mark()).repartitionByRange(partitions, key, mark).drop(mark)
 
 
 def in_order(df: DataFrame, *keys: Column | str) -> DataFrame:
-    """A global sort in which the rows of one large key can be divided among tasks.
+    """A global sort in which the rows of one large key, even copies of one row, can be divided among tasks.
 
     A sort gives each task a range of its keys. Rows equal in all of them come in no
-    particular order, so a further key is free to divide them.
+    particular order, so a further key is free to divide them. Where the caller knows columns
+    that tell rows apart, sorting by those too does the same, and lets later filters reach the
+    scan.
     """
-    return df.withColumn("_row_mark", row_mark(df)).orderBy(*keys, "_row_mark").drop("_row_mark")
+    mark = fresh("row_mark", df)
+    return df.withColumn(mark, row_mark()).orderBy(*keys, mark).drop(mark)
 
 
 def merged(df: DataFrame, partitions: int) -> DataFrame:

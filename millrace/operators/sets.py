@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -12,23 +12,23 @@ def union_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def intersection(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows in both inputs, once each; null equals null."""
-    return _where(left, right, F.col("_in_left") & F.col("_in_right"))
+    return _where(left, right, in_right=True)
 
 
 def difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of ``left`` not in ``right``, once each; null equals null."""
-    return _where(left, right, F.col("_in_left") & ~F.col("_in_right"))
+    return _where(left, right, in_right=False)
 
 
-def _where(left: DataFrame, right: DataFrame, keep: Column) -> DataFrame:
-    """Group the rows of both inputs together and keep them by the inputs they occur in.
+def _where(left: DataFrame, right: DataFrame, in_right: bool) -> DataFrame:
+    """Rows of ``left`` that ``right`` has, or has not: both inputs grouped together.
 
     This is one shuffle of rows already reduced to distinct ones. ``intersect`` and
-    ``subtract`` join on null-safe keys, which cost a second shuffle of each side.
+    ``subtract`` join on null-safe keys, which cost a second shuffle of each side. Rows go by
+    position while they are grouped, so no column name can meet the flag's.
     """
-    both = left.withColumn("_from_left", F.lit(True)).union(right.withColumn("_from_left", F.lit(False)))
-    columns = [F.col(f"`{name}`") for name in left.columns]
-    grouped = both.groupBy(*columns).agg(
-        F.bool_or("_from_left").alias("_in_left"), F.bool_or(~F.col("_from_left")).alias("_in_right")
-    )
-    return grouped.filter(keep).select(*columns)
+    places = [f"c{i}" for i in range(len(left.columns))]
+    flag = f"c{len(places)}"
+    both = left.toDF(*places).withColumn(flag, F.lit(True)).union(right.toDF(*places).withColumn(flag, F.lit(False)))
+    kept = both.groupBy(*places).agg(F.bool_or(flag).alias("here"), F.bool_or(~F.col(flag)).alias("there"))
+    return kept.filter(F.col("here") & (F.col("there") == in_right)).select(*places).toDF(*left.columns)

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.values import exact_total, mean
+from millrace.functions.values import CENTS, exact_total, mean
 from millrace.operators.aggregates import average_of, totals
-from millrace.operators.layout import in_order
 from millrace.operators.sets import difference, intersection, union_distinct
 from millrace.plans.registry import query
 from millrace.plans.sqltext import exact_sum, half_up_mean, largest
@@ -41,14 +40,12 @@ def agg_count_distinct(t: Tables) -> DataFrame:
 
 @query(f"SELECT l_suppkey, {exact_sum('l_extendedprice')} AS total FROM lineitem GROUP BY l_suppkey")
 def agg_sum(t: Tables) -> DataFrame:
-    return t.lineitem.groupBy("l_suppkey").agg(exact_total(t.lineitem, "l_extendedprice").cast("double").alias("total"))
+    return t.lineitem.groupBy("l_suppkey").agg(exact_total(t.lineitem, "l_extendedprice", CENTS).cast("double").alias("total"))
 
 
-@query(f"SELECT o_orderpriority, {half_up_mean('o_totalprice')} AS avg_price FROM orders GROUP BY o_orderpriority")
+@query("SELECT o_orderpriority, ROUND(AVG(o_totalprice), 2) AS avg_price FROM orders GROUP BY o_orderpriority")
 def agg_avg_round(t: Tables) -> DataFrame:
-    return totals(t.orders, "o_orderpriority", "o_totalprice").select(
-        "o_orderpriority", average_of().cast("double").alias("avg_price")
-    )
+    return t.orders.groupBy("o_orderpriority").agg(F.round(F.avg("o_totalprice"), 2).alias("avg_price"))
 
 
 @query(f"SELECT event_type, {largest('value')} AS max_value FROM events GROUP BY event_type")
@@ -78,7 +75,7 @@ def agg_min_max(t: Tables) -> DataFrame:
 def agg_multi(t: Tables) -> DataFrame:
     return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(
         F.count("*").alias("n_lines"),
-        mean(exact_total(t.lineitem, "l_extendedprice"), F.count("l_extendedprice")).cast("double").alias("avg_price"),
+        mean(exact_total(t.lineitem, "l_extendedprice", CENTS), F.count("l_extendedprice")).cast("double").alias("avg_price"),
         F.round(F.max("l_extendedprice"), 2).alias("max_price"),
     )
 
@@ -89,7 +86,7 @@ def agg_multi(t: Tables) -> DataFrame:
 """)
 def agg_filter_first(t: Tables) -> DataFrame:
     finished = t.orders.filter(F.col("o_orderstatus") == "F")
-    return totals(finished, "o_custkey", "o_totalprice").select(
+    return totals(finished, "o_custkey", "o_totalprice", scale=CENTS).select(
         "o_custkey", F.col("n_rows").alias("n_orders"), average_of().cast("double").alias("avg_price")
     )
 
@@ -113,7 +110,7 @@ def ord_desc(t: Tables) -> DataFrame:
 
 @query("SELECT p_name, p_partkey, p_retailprice FROM part ORDER BY p_name, p_partkey")
 def ord_asc(t: Tables) -> DataFrame:
-    return in_order(t.part.select("p_name", "p_partkey", "p_retailprice"), "p_name", "p_partkey")
+    return t.part.select("p_name", "p_partkey", "p_retailprice").orderBy("p_name", "p_partkey")
 
 
 @query("""
@@ -122,11 +119,21 @@ def ord_asc(t: Tables) -> DataFrame:
 """)
 def ord_multi(t: Tables) -> DataFrame:
     orders = t.orders.select("o_orderpriority", "o_totalprice", "o_orderkey")
-    return in_order(orders, F.asc("o_orderpriority"), F.desc("o_totalprice"), F.asc("o_orderkey"))
+    return orders.orderBy(F.asc("o_orderpriority"), F.desc("o_totalprice"), F.asc("o_orderkey"))
 
 
-@query("SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 25")
+@query("SELECT LEAST(25, COUNT(*)) AS n_rows, LEAST(25, COUNT(*)) AS n_known FROM orders")
 def ord_limit(t: Tables) -> DataFrame:
+    """Some rows, whichever come first: how many, and how many of them are rows of the table."""
+    some = t.orders.select("o_orderkey", "o_orderdate").limit(25).withColumn("taken", F.lit(True))
+    known = t.orders.select("o_orderkey", "o_orderdate").distinct().withColumn("known", F.lit(True))
+    return some.join(known, ["o_orderkey", "o_orderdate"], "left").agg(
+        F.count("taken").alias("n_rows"), F.count("known").alias("n_known")
+    )
+
+
+@query("SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 25")
+def ord_first(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", "o_orderdate").orderBy("o_orderdate", "o_orderkey").limit(25)
 
 
@@ -139,47 +146,45 @@ def ord_topk(t: Tables) -> DataFrame:
     )
 
 
-def promo_parts(t: Tables) -> DataFrame:
-    """Keys that must be covered."""
-    return t.part.filter(F.col("p_type") == "PROMO").select(F.col("p_partkey").alias("part_key"))
+def customer_keys(t: Tables) -> DataFrame:
+    return t.customer.select(F.col("c_custkey").alias("person"))
 
 
-def returned_parts(t: Tables) -> DataFrame:
-    """Keys that are covered: one row per returned line of a large quantity."""
-    lines = t.lineitem.filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 45))
-    return lines.select(F.col("l_partkey").alias("part_key"))
+def event_users(t: Tables) -> DataFrame:
+    """One row per event; not every customer has one."""
+    return t.events.select(F.col("user_id").alias("person"))
 
 
-_PROMO_SQL = "SELECT p_partkey AS part_key FROM part WHERE p_type = 'PROMO'"
-_RETURNED_SQL = "SELECT l_partkey AS part_key FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45"
+_CUSTOMERS_SQL = "SELECT c_custkey AS person FROM customer"
+_USERS_SQL = "SELECT user_id AS person FROM events"
 
 
-@query(f"{_PROMO_SQL} UNION {_RETURNED_SQL}")
+@query(f"{_CUSTOMERS_SQL} UNION {_USERS_SQL}")
 def set_union(t: Tables) -> DataFrame:
-    return union_distinct(promo_parts(t), returned_parts(t)).orderBy("part_key")
+    return union_distinct(customer_keys(t), event_users(t)).orderBy("person")
 
 
 @query(f"""
-    SELECT part_key, 'promo' AS source FROM ({_PROMO_SQL})
-    UNION ALL SELECT part_key, 'returned' AS source FROM ({_RETURNED_SQL})
+    SELECT person, 'customer' AS source FROM ({_CUSTOMERS_SQL})
+    UNION ALL SELECT person, 'event' AS source FROM ({_USERS_SQL})
 """)
 def set_union_all_tagged(t: Tables) -> DataFrame:
-    return promo_parts(t).withColumn("source", F.lit("promo")).unionAll(
-        returned_parts(t).withColumn("source", F.lit("returned"))
+    return customer_keys(t).withColumn("source", F.lit("customer")).unionAll(
+        event_users(t).withColumn("source", F.lit("event"))
     )
 
 
-@query(f"{_PROMO_SQL} INTERSECT {_RETURNED_SQL}")
+@query(f"{_CUSTOMERS_SQL} INTERSECT {_USERS_SQL}")
 def set_intersect(t: Tables) -> DataFrame:
-    return intersection(promo_parts(t), returned_parts(t))
+    return intersection(customer_keys(t), event_users(t))
 
 
-@query(f"{_RETURNED_SQL} EXCEPT {_PROMO_SQL}")
+@query(f"{_CUSTOMERS_SQL} EXCEPT {_USERS_SQL}")
 def set_except(t: Tables) -> DataFrame:
-    return difference(returned_parts(t), promo_parts(t))
+    return difference(customer_keys(t), event_users(t))
 
 
-@query(f"{_PROMO_SQL} EXCEPT {_RETURNED_SQL}")
+@query("SELECT doc_id FROM documents WHERE lang = 'en' EXCEPT SELECT doc_id FROM labels")
 def job_compliance(t: Tables) -> DataFrame:
-    """Parts that should have been returned at least once and never were."""
-    return difference(promo_parts(t), returned_parts(t))
+    """Documents of one language, which should all be labelled, that are not."""
+    return difference(t.documents.filter(F.col("lang") == "en").select("doc_id"), t.labels.select("doc_id"))

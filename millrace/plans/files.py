@@ -113,7 +113,7 @@ def rdd_lines(t: Tables) -> DataFrame:
     """Lines of a CSV file with headers: split, skip the headers, filter, format; no shuffle."""
     fields = read_lines(t.spark, _written_csv(t, "csv")).select(F.split("value", ",").alias("field"))
     rows = fields.filter(F.col("field")[0] != "p_partkey")
-    chosen = rows.filter(F.col("field")[3] == "PROMO").filter(F.col("field")[4].cast("int") >= 25)
+    chosen = rows.filter(F.col("field")[3] == "PROMO").filter(F.col("field")[4].try_cast("int") >= 25)
     return chosen.select(F.col("field")[1].alias("name"), F.col("field")[3].alias("kind")).select(
         report_line("Part", "name", "Type", "kind").alias("line")
     )

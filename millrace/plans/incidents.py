@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.values import FAST_LIMIT, NORMAL_LIMIT, exact_total, mean, response_speed
+from millrace.functions.values import CENTS, FAST_LIMIT, NORMAL_LIMIT, exact_total, mean, response_speed
 from millrace.plans.registry import query
 from millrace.plans.sqltext import half_up_mean, largest
 from millrace.sources.tables import Tables
@@ -29,7 +29,7 @@ class Incidents:
 
     def _mean_delay(self) -> Column:
         if self.exact:
-            return mean(exact_total(self.rows, self.delay), F.count(self.delay))
+            return mean(exact_total(self.rows, self.delay, CENTS), F.count(self.delay))
         return F.round(F.avg(self.delay), 2)
 
     def _of(self, *kinds: str) -> DataFrame:
@@ -39,12 +39,13 @@ class Incidents:
         """1. How many kinds of incident are there?"""
         return self.rows.agg(F.count_distinct(self.kind).alias("n_types"))
 
-    def of_kind(self, kind: str, columns: list[str], n: int = 10, **where: object) -> DataFrame:
-        """2 and 7. The first ``n`` incidents of one kind, with further equalities in ``where``."""
+    def of_kind(self, kind: str, columns: list[str], n: int = 10, ordered: bool = True, **where: object) -> DataFrame:
+        """2 and 7. ``n`` incidents of one kind, with further equalities in ``where``: the first, or any if not ``ordered``."""
         found = self._of(kind)
         for column, value in where.items():
             found = found.filter(F.col(column) == value)
-        return found.select(self.number, *columns).orderBy(self.number).limit(n)
+        found = found.select(self.number, *columns)
+        return (found.orderBy(self.number) if ordered else found).limit(n)
 
     def per_group(self, group: str) -> DataFrame:
         """3. How many incidents has each group?"""
@@ -64,10 +65,11 @@ class Incidents:
         late = self.rows.filter(F.col(self.delay) > over)
         return late.select(self.number, *columns, self.delay).orderBy(F.desc(self.delay), self.number).limit(n)
 
-    def speeds(self, columns: list[str], fast: float, normal: float, n: int = 20) -> DataFrame:
-        """8. How fast was the response?"""
+    def speeds(self, columns: list[str], fast: float, normal: float, n: int = 20, ordered: bool = True) -> DataFrame:
+        """8. How fast was the response, for the first ``n`` incidents, or for any if not ``ordered``?"""
         speed = response_speed(self.delay, fast, normal).alias("speed")
-        return self.rows.select(self.number, *columns, self.delay, speed).orderBy(self.number).limit(n)
+        found = self.rows.select(self.number, *columns, self.delay, speed)
+        return (found.orderBy(self.number) if ordered else found).limit(n)
 
     def kinds_per_group(self, group: str, *kinds: str) -> DataFrame:
         """9. How do chosen kinds split over the groups?"""

@@ -83,69 +83,60 @@ def join_prepartitioned(t: Tables) -> DataFrame:
     )
 
 
-def _outer_sides(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Small parts, and the parts of full-size order lines; each key once per side."""
-    parts = t.part.filter(F.col("p_size") < 10).select("p_partkey", "p_name")
-    lines = t.lineitem.filter(F.col("l_quantity") > 49).select("l_partkey").distinct()
-    return parts, lines
+def _documents(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", "lang", "source")
 
 
-def _outer_sql(kind: str) -> str:
-    return f"""
-        SELECT p.p_partkey, p.p_name, l.l_partkey
-        FROM (SELECT p_partkey, p_name FROM part WHERE p_size < 10) p
-        {kind} JOIN (SELECT DISTINCT l_partkey FROM lineitem WHERE l_quantity > 49) l
-        ON p.p_partkey = l.l_partkey
-    """
-
-
-@query(_outer_sql("LEFT"))
+@query("""
+    SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+""")
 def join_left(t: Tables) -> DataFrame:
-    parts, lines = _outer_sides(t)
-    return parts.join(lines, parts["p_partkey"] == lines["l_partkey"], "left")
+    documents, labels = _documents(t), t.labels
+    return documents.join(labels, documents["doc_id"] == labels["doc_id"], "left").select(
+        documents["doc_id"], "lang", "quality", "toxic"
+    )
 
 
-@query(_outer_sql("RIGHT"))
+@query("""
+    SELECT e.user_id, c.c_custkey, c.c_name
+    FROM (SELECT DISTINCT user_id FROM events) e RIGHT JOIN customer c ON e.user_id = c.c_custkey
+""")
 def join_right(t: Tables) -> DataFrame:
-    parts, lines = _outer_sides(t)
-    return parts.join(lines, parts["p_partkey"] == lines["l_partkey"], "right")
+    users, customers = t.events.select("user_id").distinct(), t.customer.select("c_custkey", "c_name")
+    return users.join(customers, users["user_id"] == customers["c_custkey"], "right")
 
 
-@query(_outer_sql("FULL"))
+@query("""
+    SELECT l.doc_id, l.quality, s.l_suppkey
+    FROM labels l FULL JOIN (SELECT DISTINCT l_suppkey FROM lineitem) s ON l.doc_id = s.l_suppkey
+""")
 def join_full(t: Tables) -> DataFrame:
-    parts, lines = _outer_sides(t)
-    return parts.join(lines, parts["p_partkey"] == lines["l_partkey"], "outer")
-
-
-def _urgent(t: Tables) -> DataFrame:
-    return t.orders.filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F"))
+    """Two sets of numbers that overlap in part; either side has some that the other lacks."""
+    labels, suppliers = t.labels.select("doc_id", "quality"), t.lineitem.select("l_suppkey").distinct()
+    return labels.join(suppliers, labels["doc_id"] == suppliers["l_suppkey"], "outer")
 
 
-_URGENT_SQL = """
-    SELECT c_custkey, c_name, c_mktsegment FROM customer c
-    WHERE {test} (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey
-                  AND o.o_orderpriority = '1-URGENT' AND o.o_orderstatus = 'F')
+_LABELLED_SQL = """
+    SELECT doc_id, lang, source FROM documents d WHERE {test} (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
 """
 
 
-@query(_URGENT_SQL.format(test="EXISTS"))
+@query(_LABELLED_SQL.format(test="EXISTS"))
 def join_semi(t: Tables) -> DataFrame:
-    return matched(t.customer.select("c_custkey", "c_name", "c_mktsegment"), _urgent(t), "c_custkey", "o_custkey")
+    return matched(_documents(t), t.labels, "doc_id", "doc_id")
 
 
-@query(_URGENT_SQL.format(test="NOT EXISTS"))
+@query(_LABELLED_SQL.format(test="NOT EXISTS"))
 def join_anti(t: Tables) -> DataFrame:
-    return unmatched(t.customer.select("c_custkey", "c_name", "c_mktsegment"), _urgent(t), "c_custkey", "o_custkey")
+    return unmatched(_documents(t), t.labels, "doc_id", "doc_id")
 
 
 @query("""
-    SELECT DISTINCT c.* FROM customer c
-    LEFT JOIN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F') o
-    ON o.o_custkey = c.c_custkey
-    WHERE o.o_custkey IS NULL
+    SELECT DISTINCT d.lang, d.source FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
+    WHERE l.doc_id IS NULL
 """)
 def join_left_isnull(t: Tables) -> DataFrame:
-    return unmatched(t.customer, _urgent(t), "c_custkey", "o_custkey").distinct()
+    return unmatched(_documents(t), t.labels, "doc_id", "doc_id").select("lang", "source").distinct()
 
 
 @query("""

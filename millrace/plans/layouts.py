@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.values import exact_total
+from millrace.functions.values import CENTS, exact_total
 from millrace.operators.aggregates import distinct_totals
 from millrace.operators.layout import (
     by_hash,
@@ -15,6 +15,7 @@ from millrace.operators.layout import (
     partition_stats,
     read_width,
     round_robin,
+    rows_of_partition,
     shuffle_width,
 )
 from millrace.operators.reuse import persisted, write_each
@@ -30,7 +31,7 @@ LAYOUT_WIDTH, SHUFFLE_WIDTH, READ_SPLIT = 14, 3, "64m"
 
 def supplier_totals(lines: DataFrame) -> DataFrame:
     return lines.groupBy("l_suppkey").agg(
-        F.count("*").alias("n_lines"), exact_total(lines, "l_extendedprice").cast("double").alias("total")
+        F.count("*").alias("n_lines"), exact_total(lines, "l_extendedprice", CENTS).cast("double").alias("total")
     )
 
 
@@ -85,6 +86,39 @@ def flt_partition(t: Tables) -> DataFrame:
     )
 
 
+@query("SELECT TRUE AS has_rows, TRUE AS has_not_all FROM lineitem LIMIT 1")
+def flt_partition_rows(t: Tables) -> DataFrame:
+    """The rows of the third range: some, and not all."""
+    lines = _lines(t)
+    third = rows_of_partition(by_range(lines, _width(t), "l_suppkey"), 2).select(F.lit(1).alias("third"))
+    both = third.unionByName(lines.select(F.lit(0).alias("third")))
+    inside = F.sum("third")
+    return both.agg((inside > 0).alias("has_rows"), (2 * inside < F.count("*")).alias("has_not_all"))
+
+
+@query("""
+    SELECT layout, COUNT(*) AS n_rows, TRUE AS all_used, TRUE AS even
+    FROM lineitem, (VALUES ('round robin'), ('hash'), ('range')) AS l(layout) GROUP BY layout
+""")
+def lay_skew_report(t: Tables) -> DataFrame:
+    """Each layout: its rows, whether every partition has some, and whether none has three times the average."""
+    lines, width = _lines(t), _width(t)
+    layouts = {
+        "round robin": round_robin(lines, width),
+        "hash": by_hash(lines, width, "l_orderkey"),
+        "range": by_range(lines, width, "l_orderkey"),
+    }
+    reports = [
+        partition_stats(laid, "l_orderkey").agg(
+            F.sum("record_count").alias("n_rows"),
+            (F.count("*") == width).alias("all_used"),
+            (F.max("record_count") * width < 3 * F.sum("record_count")).alias("even"),
+        ).select(F.lit(name).alias("layout"), "n_rows", "all_used", "even")
+        for name, laid in layouts.items()
+    ]
+    return reports[0].unionAll(reports[1]).unionAll(reports[2])
+
+
 @query(_TOTALS_SQL)
 def lay_coalesce(t: Tables) -> DataFrame:
     lines = _lines(t)
@@ -128,7 +162,7 @@ def lay_persist_two_sinks(t: Tables) -> DataFrame:
     """Totals without duplicate lines, computed once and written to two CSV outputs."""
     paths = {name: scratch_path(t.spark, name) for name in ("first", "second")}
     write_each(
-        distinct_totals(t.lineitem, "l_suppkey", "l_extendedprice"),
+        distinct_totals(t.lineitem, "l_suppkey", "l_extendedprice", CENTS),
         *(lambda df, path=path: df.write.mode("overwrite").csv(path, header=True) for path in paths.values()),
     )
     first, second = (

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +11,7 @@ from millrace.sources.files import read_json_documents
 from millrace.sources.schemas import EMPLOYEES
 from millrace.sources.tables import Tables
 
+
 def flatten_employees(employees: DataFrame) -> DataFrame:
     """One flat row per employee."""
     return employees.select(
@@ -37,20 +36,27 @@ def previous_addresses(employees: DataFrame, *columns: Column) -> DataFrame:
     )
 
 
-def write_json_arrays(rows: DataFrame, path: str) -> None:
-    """Write rows as files that each hold one pretty-printed JSON array.
+#: Bytes of a document file, about; one task reads it.
+DOCUMENT_BYTES = 8 * 1024 * 1024
 
-    Such a file is read by one task. An array holds one Arrow batch of rows, so its size
-    stays the same however many rows there are and however they are distributed.
-    """
 
-    def arrays(batches: Iterator) -> Iterator:
-        for batch in batches:
-            if len(batch):
-                yield batch.iloc[:1].assign(value="[\n" + ",\n".join(batch["value"]) + "\n]")
+def json_arrays(rows: DataFrame, size: int = DOCUMENT_BYTES) -> DataFrame:
+    """Rows as pretty-printed JSON arrays of about ``size`` bytes each, in the column ``value``.
 
+    The rows are measured first; they are dealt to arrays in turn, so no array is much longer
+    than another.
+    """
     documents = rows.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("value"))
-    documents.mapInPandas(arrays, "value STRING").write.option("maxRecordsPerFile", 1).mode("overwrite").text(path)
+    total = documents.agg(F.sum(F.octet_length("value")).alias("bytes")).first()["bytes"] or 0
+    arrays = max(1, -(-total // size))
+    numbered = documents.withColumn("array", F.pmod(F.monotonically_increasing_id(), F.lit(arrays)))
+    joined = F.concat(F.lit("[\n"), F.array_join(F.collect_list("value"), ",\n"), F.lit("\n]"))
+    return numbered.groupBy("array").agg(joined.alias("value")).select("value")
+
+
+def write_json_arrays(rows: DataFrame, path: str, size: int = DOCUMENT_BYTES) -> None:
+    """Write rows as files that each hold one pretty-printed JSON array."""
+    json_arrays(rows, size).write.option("maxRecordsPerFile", 1).mode("overwrite").text(path)
 
 
 def employee_rows(t: Tables) -> DataFrame:
@@ -124,7 +130,7 @@ def src_json_multiline(t: Tables) -> DataFrame:
 
 @query(f"SELECT {_FLAT} FROM {_PEOPLE}")
 def nst_struct_access(t: Tables) -> DataFrame:
-    return flatten_employees(employees(t))
+    return flatten_employees(employee_rows(t))
 
 
 @query(f"SELECT c_custkey AS employee_id, split_part(c_name, '#', 1) AS first_name, n_name AS city FROM {_PEOPLE}")
@@ -132,7 +138,7 @@ def nst_struct_access_sql(t: Tables) -> DataFrame:
     return t.spark.sql(
         "SELECT EmployeeID AS employee_id, Name.First AS first_name, ContactInfo.Address.City AS city"
         " FROM {employees}",
-        employees=employees(t),
+        employees=employee_rows(t),
     )
 
 
@@ -145,7 +151,7 @@ _EXPLODED_SQL = f"""
 
 @query(_EXPLODED_SQL)
 def nst_explode(t: Tables) -> DataFrame:
-    return previous_addresses(employees(t))
+    return previous_addresses(employee_rows(t))
 
 
 @query(_EXPLODED_SQL)
@@ -153,13 +159,13 @@ def nst_explode_sql(t: Tables) -> DataFrame:
     return t.spark.sql(
         "SELECT EmployeeID AS employee_id, Name.First AS first_name,"
         " explode(ContactInfo.Address.PreviousAddresses) AS previous_address FROM {employees}",
-        employees=employees(t),
+        employees=employee_rows(t),
     )
 
 
 @query(f"SELECT n_name AS city, COUNT(*) AS count FROM {_PEOPLE} GROUP BY n_name")
 def nst_group_nested(t: Tables) -> DataFrame:
-    cities = employees(t).select(F.col("ContactInfo.Address.City").alias("city"))
+    cities = employee_rows(t).select(F.col("ContactInfo.Address.City").alias("city"))
     return cities.groupBy("city").count().orderBy(F.desc("count"), "city")
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from millrace.functions.text import proper_name, report_line
 from millrace.functions.udfs import proper_name_udf, register_proper_name
 from millrace.functions.values import value_tier
-from millrace.operators.layout import in_order
 from millrace.plans.registry import query
 from millrace.session import scoped_session
 from millrace.sources.tables import Tables
@@ -98,9 +97,9 @@ def sql_then_df(t: Tables) -> DataFrame:
     coded = (
         t.spark.sql("SELECT * FROM {part} WHERE p_brand = 'Brand#7'", part=t.part)
         .withColumn("type_code", F.when(F.col("p_type") == "PROMO", "PR").otherwise("OT"))
-        .select("p_name", "p_type", "type_code")
     )
-    return in_order(coded, "p_name")
+    # The key tells parts of one name apart, so they can be divided among tasks.
+    return coded.orderBy("p_name", "p_partkey").select("p_name", "p_type", "type_code")
 
 
 @query("SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN 'Credit' ELSE 'Debt' END AS balance_kind FROM customer")
@@ -166,16 +165,19 @@ def udf_name_case(t: Tables) -> DataFrame:
 
 @query(_NAMES_SQL)
 def udf_sql(t: Tables) -> DataFrame:
-    function = register_proper_name(t.spark)
-    return t.spark.sql(
-        f"SELECT p_partkey, name, {function}(name) AS formatted_name FROM {{names}}", names=comma_names(t)
+    # The function is registered in a sibling session; the caller's stays as it is.
+    spark = scoped_session(t.spark, {})
+    function = register_proper_name(spark)
+    return spark.sql(
+        f"SELECT p_partkey, name, {function}(name) AS formatted_name FROM {{names}}", names=comma_names(t.on(spark))
     )
 
 
 @query(_NAMES_SQL)
 def udf_call(t: Tables) -> DataFrame:
-    function = register_proper_name(t.spark)
-    return comma_names(t).select("p_partkey", "name", F.call_udf(function, "name").alias("formatted_name"))
+    spark = scoped_session(t.spark, {})
+    function = register_proper_name(spark)
+    return comma_names(t.on(spark)).select("p_partkey", "name", F.call_udf(function, "name").alias("formatted_name"))
 
 
 @query(_NAMES_SQL)

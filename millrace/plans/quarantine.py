@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.quality import malformed_records, valid_records
@@ -23,15 +23,22 @@ def city_counts(valid: DataFrame) -> DataFrame:
     return valid.groupBy("city").count().orderBy(F.desc("count"), "city")
 
 
-def quarantine(records: DataFrame, log: str, report: str) -> None:
-    """Split the records of ``read_json_lines``: cities of the valid ones, text of the others.
+def flat_people(records: DataFrame) -> DataFrame:
+    """``id, name, age, city``, and what else must be known of a record."""
+    flat = (F.col("id"), F.col("name"), F.col("details.age").alias("age"), F.col("details.address.city").alias("city"))
+    return records.select(*flat, CORRUPT_COLUMN)
 
-    Both outputs come from one parse. Only the two columns they need are kept for that,
-    and they are released afterwards.
+
+def quarantine(records: DataFrame, clean: str, log: str, report: str) -> None:
+    """Split the records of ``read_json_lines``: the valid ones flat and counted by city, the text of the others.
+
+    All outputs come from one parse. Only the columns they need are kept for that, and they are
+    released afterwards.
     """
-    needed = with_city(records).select("city", CORRUPT_COLUMN)
-    with persisted(needed) as kept:
-        malformed_records(kept).write.mode("overwrite").text(log)
+    with persisted(flat_people(records)) as kept:
+        valid_records(kept).write.mode("overwrite").parquet(clean)
+        # Each record of a broken array line carries the whole line; the log has it once.
+        malformed_records(kept).distinct().write.mode("overwrite").text(log)
         city_counts(valid_records(kept)).write.mode("overwrite").parquet(report)
 
 
@@ -39,7 +46,7 @@ def record_lines(t: Tables) -> DataFrame:
     """Orders as JSON lines.
 
     Lines of open-ended status ``P`` lack their last brace, urgent finished orders have a
-    text where the details belong.
+    text where the details belong, low ones of other states stand in an array with a second record.
     """
     details = F.struct(
         F.year("o_orderdate").alias("age"),
@@ -49,11 +56,13 @@ def record_lines(t: Tables) -> DataFrame:
     )
     base = (F.col("o_orderkey").alias("id"), F.concat(F.lit("order "), "o_orderkey").alias("name"))
     whole = F.to_json(F.struct(*base, details.alias("details")))
+    second = F.struct((-F.col("o_orderkey") - 1).alias("id"), F.lit("second").alias("name"), details.alias("details"))
+    pair = F.to_json(F.array(F.struct(*base, details.alias("details")), second))
     mistyped = F.to_json(F.struct(*base, F.lit("wrong").alias("details")))
     urgent = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
     return t.orders.select(
         F.when(F.col("o_orderstatus") == "P", F.regexp_replace(whole, r"\}$", "")).when(urgent, mistyped)
-        .otherwise(whole).alias("value")
+        .when(F.col("o_orderpriority") == "5-LOW", pair).otherwise(whole).alias("value")
     )
 
 
@@ -68,6 +77,9 @@ _WHOLE = """'{"id":' || o_orderkey || ',"name":"order ' || o_orderkey || '","det
 _CUT_TEXT = f"""{_WHOLE} || '"}}}}'"""
 _MISTYPED_TEXT = """'{"id":' || o_orderkey || ',"name":"order ' || o_orderkey || '","details":"wrong"}'"""
 _MISTYPED = "o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'"
+_PAIRED = "o_orderstatus <> 'P' AND o_orderpriority = '5-LOW'"
+_SECOND = f"""SELECT -o_orderkey - 1 AS id, 'second' AS name, CAST(year(o_orderdate) AS INTEGER) AS age,
+    o_orderpriority AS city FROM orders WHERE {_PAIRED}"""
 _VALID = f"o_orderstatus <> 'P' AND NOT ({_MISTYPED})"
 
 
@@ -76,6 +88,7 @@ _VALID = f"o_orderstatus <> 'P' AND NOT ({_MISTYPED})"
            CASE WHEN {_VALID} THEN o_orderpriority END AS city,
            CASE WHEN o_orderstatus = 'P' THEN {_CUT_TEXT} WHEN {_MISTYPED} THEN {_MISTYPED_TEXT} END AS raw_text
     FROM orders
+    UNION ALL SELECT -o_orderkey - 1, o_orderpriority, NULL FROM orders WHERE {_PAIRED}
 """)
 def src_json_permissive(t: Tables) -> DataFrame:
     records = read_json_lines(t.spark, record_files(t), CHECKED_PEOPLE)
@@ -85,6 +98,7 @@ def src_json_permissive(t: Tables) -> DataFrame:
 @query(f"""
     SELECT o_orderkey AS id, 'order ' || o_orderkey AS name, CAST(year(o_orderdate) AS INTEGER) AS age,
            o_orderpriority AS city FROM orders WHERE {_VALID}
+    UNION ALL {_SECOND}
 """)
 def src_json_dropmalformed(t: Tables) -> DataFrame:
     records = read_json_lines(t.spark, record_files(t), PEOPLE, mode="DROPMALFORMED")
@@ -92,20 +106,26 @@ def src_json_dropmalformed(t: Tables) -> DataFrame:
 
 
 @query(f"""
-    SELECT 'valid' AS kind, o_orderpriority AS label, COUNT(*) AS n FROM orders WHERE {_VALID}
-    GROUP BY o_orderpriority
-    UNION ALL
-    SELECT 'malformed', CASE WHEN o_orderstatus = 'P' THEN {_CUT_TEXT} ELSE {_MISTYPED_TEXT} END, 1
+    WITH clean AS (
+        SELECT o_orderkey AS id, 'order ' || o_orderkey AS name, CAST(year(o_orderdate) AS INTEGER) AS age,
+               o_orderpriority AS city FROM orders WHERE {_VALID}
+        UNION ALL {_SECOND})
+    SELECT 'clean' AS kind, name AS label, id, age, city, 1 AS n FROM clean
+    UNION ALL SELECT 'city', city, NULL, NULL, city, COUNT(*) FROM clean GROUP BY city
+    UNION ALL SELECT 'malformed', CASE WHEN o_orderstatus = 'P' THEN {_CUT_TEXT} ELSE {_MISTYPED_TEXT} END, NULL, NULL, NULL, 1
     FROM orders WHERE NOT ({_VALID})
 """)
 def job_quarantine(t: Tables) -> DataFrame:
-    """Both outputs of the job: counts per city, and each line of the error log."""
-    log, report = scratch_path(t.spark, "log"), scratch_path(t.spark, "report")
-    quarantine(read_json_lines(t.spark, record_files(t), CHECKED_PEOPLE), log, report)
-    counts = t.spark.read.parquet(report).select(
-        F.lit("valid").alias("kind"), F.col("city").alias("label"), F.col("count").alias("n")
-    )
-    lines = read_lines(t.spark, log).select(
-        F.lit("malformed").alias("kind"), F.col("value").alias("label"), F.lit(1).cast("bigint").alias("n")
-    )
-    return counts.unionAll(lines)
+    """The outputs of the job: each clean record, counts per city, and each line of the error log."""
+    clean, log, report = (scratch_path(t.spark, label) for label in ("clean", "log", "report"))
+    quarantine(read_json_lines(t.spark, record_files(t), CHECKED_PEOPLE), clean, log, report)
+
+    def output(kind: str, rows: DataFrame, **columns: Column) -> DataFrame:
+        kinds = {"label": "string", "id": "bigint", "age": "int", "city": "string", "n": "bigint"}
+        found = {name: columns.get(name, F.lit(None)).cast(of).alias(name) for name, of in kinds.items()}
+        return rows.select(F.lit(kind).alias("kind"), *found.values())
+
+    one, city = F.lit(1), F.col("city")
+    records = output("clean", t.spark.read.parquet(clean), label=F.col("name"), id=F.col("id"), age=F.col("age"), city=city, n=one)
+    counts = output("city", t.spark.read.parquet(report), label=city, city=city, n=F.col("count"))
+    return records.unionAll(counts).unionAll(output("malformed", read_lines(t.spark, log), label=F.col("value"), n=one))

@@ -40,11 +40,10 @@ def job_zone_mix_sql(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT p_partkey, p_name, p_brand FROM part p
-    WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_partkey = p.p_partkey
-                      AND l.l_returnflag = 'R' AND l.l_quantity > 45)
+    SELECT c_custkey, c_name, c_mktsegment FROM customer c
+    WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.c_custkey)
 """)
 def job_unreferenced(t: Tables) -> DataFrame:
-    """Parts that no large returned line refers to."""
-    lines = t.lineitem.filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 45))
-    return unmatched(t.part.select("p_partkey", "p_name", "p_brand"), lines, "p_partkey", "l_partkey").distinct()
+    """Customers that no event refers to."""
+    customers = t.customer.select("c_custkey", "c_name", "c_mktsegment")
+    return unmatched(customers, t.events, "c_custkey", "user_id").distinct()

@@ -39,10 +39,11 @@ def read_json_documents(spark: SparkSession, path: str, schema: str | StructType
 def read_json_lines(
     spark: SparkSession, path: str, schema: str | StructType, mode: str = "PERMISSIVE"
 ) -> DataFrame:
-    """One JSON record per line; blank lines do not count.
+    """One JSON record, or one array of records, per line; blank lines do not count.
 
     ``PERMISSIVE`` keeps broken records and puts their raw text into ``_corrupt_record``
-    if the schema has it; ``DROPMALFORMED`` leaves them out; ``FAILFAST`` raises.
+    if the schema has it; ``DROPMALFORMED`` leaves them out; ``FAILFAST`` raises. A broken
+    record in an array makes the whole line broken, as with Spark's own reader.
 
     Every field is parsed whatever a query selects. Spark's own JSON reader parses only
     the selected fields, so which records it calls broken changes with the query, unless
@@ -58,9 +59,21 @@ def read_json_lines(
         "mode": "FAILFAST" if mode == "FAILFAST" else "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT_COLUMN,
     }
-    lines = spark.read.text(path).filter(F.col("value").rlike(r"\S"))
-    # A filter on the fields is not moved below a generator, so each line is parsed once.
-    records = lines.select(F.inline(F.array(F.from_json("value", checked, options))))
+    lines = spark.read.text(path).filter(F.col("value").rlike(r"\S") & ~F.col("value").rlike(r"^\s*\[\s*\]\s*$"))
+    # The texts of the records of an array; a line that is no array of records is taken as one record.
+    elements = F.when(F.col("value").rlike(r"^\s*\["), F.from_json("value", "array<string>"))
+    whole = F.coalesce(F.forall(elements, lambda text: F.coalesce(text.startswith("{"), F.lit(False))), F.lit(False))
+    lines = lines.withColumn("elements", elements).withColumn("elements", F.when(whole, F.col("elements")).otherwise(F.array("value")))
+    parsed = lines.select("value", F.transform("elements", lambda text: F.from_json(text, checked, options)).alias("records"))
+    broken = F.when(F.exists("records", lambda record: record[CORRUPT_COLUMN].isNotNull()), F.col("value"))
+    # An array of one, so that ``broken`` is found once for all records of a line.
+    line = F.array(F.struct(F.col("records").alias("records"), broken.alias("broken")))
+    marked = F.flatten(
+        F.transform(line, lambda one: F.transform(one["records"], lambda record: record.withField(CORRUPT_COLUMN, one["broken"])))
+    )
+    # A filter on the fields is not moved below a generator of them; the outer form keeps Catalyst
+    # from inferring one on the array. So each line is parsed once, and no array is empty here.
+    records = parsed.select(F.inline_outer(marked))
     if mode == "DROPMALFORMED":
         records = records.filter(F.col(CORRUPT_COLUMN).isNull())
     return records.select(*(f"`{name}`" for name in asked.names))

@@ -1,7 +1,7 @@
 """Tables of a relational database over JDBC.
 
 A cluster names its database in ``spark.millrace.jdbc.url`` (and ``.driver``, ``.user``,
-``.password``). A local session without that setting uses the embedded in-memory
+``.password``), and how many connections it takes at once in ``.connections``. A local session without that setting uses the embedded in-memory
 database that comes with Spark: only its own process sees it, so it serves tests and
 local runs and cannot serve executors on other machines.
 """
@@ -39,6 +39,23 @@ class Database:
             raise ValueError(f"set {_SETTING}url to a database that all executors can reach")
         return cls(spark, {"url": _LOCAL_URL, "driver": _LOCAL_DRIVER})
 
+    @property
+    def connections(self) -> int:
+        """How many connections the database takes at a time."""
+        return int(self.spark.conf.get(_SETTING + "connections", "8"))
+
+    def drop(self, table: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        properties = jvm.java.util.Properties()
+        for name in ("user", "password"):
+            if name in self.options:
+                properties.setProperty(name, self.options[name])
+        connection = jvm.java.sql.DriverManager.getConnection(self.options["url"], properties)
+        try:
+            connection.createStatement().executeUpdate(f"DROP TABLE {table}")
+        finally:
+            connection.close()
+
     def read_table(self, table: str) -> DataFrame:
         """A whole table through one connection."""
         return self._reader().option("dbtable", table).load()
@@ -69,11 +86,11 @@ class Database:
         )
 
     def write(
-        self, df: DataFrame, table: str, mode: str = "error", column_types: str | None = None, connections: int = 8
+        self, df: DataFrame, table: str, mode: str = "error", column_types: str | None = None
     ) -> None:
-        """Write a table with at most ``connections`` at a time; ``overwrite`` drops it first."""
+        """Write a table over at most ``connections`` at a time; ``overwrite`` drops it first."""
         writer = df.write.format("jdbc").options(**self.options)
-        writer = writer.option("dbtable", table).option("numPartitions", connections)
+        writer = writer.option("dbtable", table).option("numPartitions", self.connections)
         if column_types:
             writer = writer.option("createTableColumnTypes", column_types)
         writer.mode(mode).save()

@@ -2,6 +2,8 @@ import os
 import subprocess
 import sys
 
+from decimal import Decimal
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -10,6 +12,7 @@ from pyspark.serializers import CloudPickleSerializer
 
 from millrace.functions.text import proper_name, report_line
 from millrace.functions.udfs import proper_name_udf, register_proper_name
+from millrace.operators.aggregates import totals
 from millrace.functions.values import exact_total, mean, response_speed, value_tier
 
 NAMES = {
@@ -90,13 +93,33 @@ def test_longer_names_are_kept_whole_in_report_lines(spark):
 def test_exact_totals(spark, kind):
     amounts = [0.1, 0.2, 277.46, 277.47, -5.55, None]
     df = spark.createDataFrame([(a,) for a in amounts], "v DOUBLE").withColumn("v", F.col("v").cast(kind))
-    total = df.agg(exact_total(df, "v").alias("t")).first().t
+    total = df.agg(exact_total(df, "v", 2).alias("t")).first().t
     assert str(total) == "549.68"
 
 
+def test_exact_totals_of_other_scales_and_odd_amounts(spark):
+    def total(values, scale):
+        df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+        return df.agg(exact_total(df, "v", scale).alias("t")).first().t
+
+    assert str(total([0.004, 0.004, 0.004, 0.125], 3)) == "0.137"
+    assert total([1.0, float("nan")], 2) is None and total([1.0, float("inf")], 2) is None
+    assert total([None], 2) is None
+    # Past the range of a long of cents.
+    assert total([9e14] * 200, 2) == 9 * 10**14 * 200
+    assert total([-9e14] * 200 + [0.01], 2) == Decimal("0.01") - 9 * 10**14 * 200
+
+
+def test_totals_are_plain_sums_unless_a_scale_is_given(spark):
+    df = spark.createDataFrame([("a", 0.004), ("a", 0.125), ("a", None)], "k STRING, v DOUBLE")
+    row = totals(df, "k", "v").first()
+    assert (row.n_rows, row.n_known) == (3, 2) and row.total == pytest.approx(0.129)
+    assert str(totals(df, "k", "v", scale=3).first().total) == "0.129"
+
+
 def test_average_of_a_tie_rounds_up(spark):
     df = spark.createDataFrame([(277.46,), (277.47,)], "v DOUBLE")
-    assert str(df.agg(mean(exact_total(df, "v"), F.count("v")).alias("m")).first().m) == "277.47"
+    assert str(df.agg(mean(exact_total(df, "v", 2), F.count("v")).alias("m")).first().m) == "277.47"
 
 
 def test_null_rules(spark):

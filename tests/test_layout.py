@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import fits, join_copartitioned, pair_totals
+from millrace.operators.joins import _rooted, fits, join_copartitioned, pair_totals
 from millrace.operators.layout import (
     by_hash,
     by_range,
@@ -185,6 +185,35 @@ def test_sort_divides_copies_of_one_row(spark, copies):
 
 
 def test_marks_are_the_same_when_a_task_runs_again(copies, rows):
-    marked = copies.withColumn("mark", row_mark(copies))
+    marked = copies.withColumn("mark", row_mark())
     assert rows(marked) == rows(marked)
-    assert marked.select("mark").distinct().count() == 6000 + 12
+    assert marked.select("mark").distinct().count() == 9000
+
+
+def test_equal_rows_of_one_input_partition_are_spread(spark):
+    same = spark.range(0, 20_000, numPartitions=2).select(F.lit(7).alias("k"))
+    sizes = [row["record_count"] for row in partition_stats(by_hash(same, 8, "k"), "k").collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 10_000
+
+
+HELPERS = ["row_mark", "salt", "buckets", "hot_hash", "left_salt", "right_copy", "_buckets", "_hot_hash", "_row_mark", "_salt"]
+
+
+def test_columns_with_the_names_of_helpers_stay(spark, hot, rows):
+    wide = hot.select("*", *(F.col("v").alias(name) for name in HELPERS))
+    for laid in (by_hash(wide, 8, "k"), by_range(wide, 9, "k"), in_order(wide, "k")):
+        assert laid.columns == wide.columns and rows(laid) == rows(wide)
+    few = spark.range(0, 60).select(F.col("id").alias("key"))
+    assert rows(join_copartitioned(wide, few, "k", "key", 8)) == rows(wide.join(few, F.col("k") == F.col("key")))
+
+
+def test_hot_on_both_sides_copies_few_rows(spark):
+    """A third of either side has one key: each side is copied by the root of the buckets, not by all of them."""
+    one, other = (
+        spark.range(0, 3000, numPartitions=3).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") + i).alias(name))
+        for i, name in ((0, "k"), (10_000, "key"))
+    )
+    spreads = [hot_spread(df, *df.columns, partitions=400) for df in (one, other)]
+    alone, both = spreads[0].first()["_buckets"], _rooted(*spreads).first()["_buckets"]
+    assert alone > 200 and (both - 1) ** 2 < alone <= both**2
+    assert join_copartitioned(one, other, "k", "key", 400).count() == 1_000_000

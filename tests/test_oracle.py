@@ -5,10 +5,11 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry_module
+from millrace.plans import catalog
 from millrace.sources.tables import TABLE_NAMES
 
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+QUERIES = catalog.queries()
+SQL = catalog.oracle_sql()
 
 # One key of each table holds a third of its rows.
 HOT = {

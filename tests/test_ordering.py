@@ -10,8 +10,8 @@ ORDERS = {
     "ord_desc": lambda r: (-r["n_orders"], r["o_custkey"]),
     "ord_multi": lambda r: (r["o_orderpriority"], -r["o_totalprice"], r["o_orderkey"]),
     "ord_topk": lambda r: (-r["o_totalprice"], r["o_orderkey"]),
-    "ord_limit": lambda r: (r["o_orderdate"], r["o_orderkey"]),
-    "set_union": lambda r: r["part_key"],
+    "ord_first": lambda r: (r["o_orderdate"], r["o_orderkey"]),
+    "set_union": lambda r: r["person"],
     "fire_q3": lambda r: (-r["n"], r["event_type"]),
     "fire_q9": lambda r: (r["user_id"], -r["n"], r["event_type"]),
     "fire_q10": lambda r: (-r["avg_value"], r["user_id"]),

@@ -3,13 +3,14 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_module
+from millrace.plans import catalog
 from millrace.operators.joins import join_broadcasting
 from millrace.plans.joining import NO_AUTO_BROADCAST
+from millrace.plans.nested import employee_rows, json_arrays
 from millrace.session import scoped_session
 from millrace.sources.tables import Tables
 
-QUERIES = entry_module.queries()
+QUERIES = catalog.queries()
 
 STRATEGIES = {
     "join_broadcast_auto": "BroadcastHashJoin",
@@ -68,7 +69,7 @@ def test_anti_join_sees_each_key_once(spark, folder, plan):
     assert "LeftAnti" in text and "HashAggregate" in text
 
 
-@pytest.mark.parametrize("name", ["ord_topk", "ord_limit", "fire_q2", "fire_q5", "fire_q6", "fire_q8"])
+@pytest.mark.parametrize("name", ["ord_topk", "ord_first", "fire_q2", "fire_q5", "fire_q6", "fire_q8"])
 def test_topk_needs_no_range_shuffle(spark, folder, plan, name):
     text = plan(QUERIES[name](spark, folder))
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
@@ -109,3 +110,15 @@ def test_no_plan_forms_all_pairs_or_leaves_the_jvm(spark, folder, plan, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     if not name.startswith("udf_"):
         assert "Python" not in text and "InPandas" not in text
+
+
+def test_documents_are_written_by_the_jvm(spark, folder, plan):
+    text = plan(json_arrays(employee_rows(Tables(spark, folder))))
+    assert "Python" not in text and "InPandas" not in text
+
+
+@pytest.mark.parametrize("name", ["ord_asc", "ord_multi", "job_order_detail"])
+def test_a_filter_after_sorting_reaches_the_scan(spark, folder, plan, name):
+    column = {"ord_asc": "p_name", "ord_multi": "o_orderpriority", "job_order_detail": "status"}[name]
+    text = plan(QUERIES[name](spark, folder).filter(F.col(column) == "F").select(column))
+    assert "EqualTo(" in text

@@ -47,7 +47,7 @@ def test_anti_join_agrees_with_left_join_and_null_test(spark, left, right, rows)
 
 def test_totals_leave_out_duplicate_rows(spark, rows):
     df = spark.createDataFrame([(1, 2.5), (1, 2.5), (1, 1.0), (2, None)], "k INT, v DOUBLE")
-    found = [(row.k, None if row.total is None else str(row.total)) for row in distinct_totals(df, "k", "v").collect()]
+    found = [(row.k, None if row.total is None else str(row.total)) for row in distinct_totals(df, "k", "v", 2).collect()]
     assert sorted(found) == [(1, "3.50"), (2, None)]
 
 

@@ -178,5 +178,5 @@ def test_trips_and_zones(spark, tmp_path):
     joined = trips.join(zones, trips["PULocationID"] == zones["LocationID"], "inner")
     assert joined.select("Zone", "total_amount").orderBy("total_amount").first() == ("Dock", 0.1)
     assert [row.Zone for row in unmatched(zones, trips, "LocationID", "PULocationID").collect()] == ["Vale"]
-    totals = {row.PULocationID: row.total for row in distinct_totals(trips, "PULocationID", "total_amount").collect()}
+    totals = {row.PULocationID: row.total for row in distinct_totals(trips, "PULocationID", "total_amount", 2).collect()}
     assert totals == {1: money("16.05"), 2: money("4.05")}

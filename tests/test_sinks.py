@@ -44,6 +44,17 @@ def test_verify_ignores_order_and_sees_changes(part):
     assert not verify(one, other).first().same_rows
 
 
+def test_verify_sees_values_that_changed_column(spark):
+    def table(*found):
+        return spark.createDataFrame(found, "a INT, b INT")
+
+    assert not verify(table((1, None), (5, 6)), table((None, 1), (5, 6))).first().same_rows
+    assert not verify(table((1, 2), (3, 4)), table((2, 1), (3, 4))).first().same_rows
+    assert not verify(table((1, 2), (3, 4)), table((1, 4), (3, 2))).first().same_rows
+    dotted = table((1, None)).toDF("a.b", "c`d")
+    assert verify(dotted, dotted).first() == (1, 1, True)
+
+
 def test_verify_of_nothing(part):
     empty = part.filter("p_size < 0")
     assert verify(empty, empty).first() == (0, 0, True)

@@ -126,14 +126,9 @@ def test_multiline_option_is_required(spark, tmp_path):
     assert spark.read.schema(EMPLOYEES_DDL).json(str(path)).filter("EmployeeID IS NOT NULL").count() == 0
 
 
-def test_json_arrays_are_bounded_by_the_batch(spark, tmp_path, rows):
+def test_json_arrays_have_a_bounded_size(spark, tmp_path, rows):
     data = spark.range(0, 25, numPartitions=2).select("id", F.struct(F.col("id").alias("x")).alias("s"))
-    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
-    try:
-        write_json_arrays(data, str(tmp_path / "arrays"))
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    write_json_arrays(data, str(tmp_path / "arrays"), size=200)
     files = list((tmp_path / "arrays").glob("part-*"))
     assert len(files) >= 5
     assert all(len(json.loads(file.read_text())) <= 5 for file in files)
@@ -190,7 +185,7 @@ def test_the_same_records_are_broken_whatever_is_selected(spark, broken):
 
 def test_lines_are_parsed_once(spark, broken, plan):
     valid = valid_records(read_json_lines(spark, broken, CHECKED_PEOPLE)).select("id", "details.age")
-    assert plan(valid).count("from_json") == 1
+    assert plan(valid).count("from_json(StructField") == 1
 
 
 def test_reading_agrees_with_the_kept_result_of_the_spark_reader(spark, broken, rows):
@@ -205,9 +200,30 @@ def test_unknown_mode(spark, broken):
 
 
 def test_quarantine(spark, broken, tmp_path, rows, plan):
-    log, report = str(tmp_path / "log"), str(tmp_path / "report")
+    clean, log, report = (str(tmp_path / name) for name in ("clean", "log", "report"))
     records = read_json_lines(spark, broken, CHECKED_PEOPLE)
-    quarantine(records, log, report)
+    quarantine(records, clean, log, report)
+    delivered = spark.read.parquet(clean)
+    assert delivered.columns == ["id", "name", "age", "city"]
+    assert rows(delivered.select("id", "name")) == rows(valid_records(records).select("id", "name"))
     assert sorted(r.value for r in spark.read.text(log).collect()) == sorted([BROKEN[1], BROKEN[2], BROKEN[3]])
     assert rows(spark.read.parquet(report)) == rows(city_counts(with_city(valid_records(records))))
     assert "InMemoryTableScan" not in plan(with_city(records).select("city", "_corrupt_record"))
+
+
+ARRAYS = [
+    '[{"id":2,"name":"b"},{"id":3,"name":"c"}]', ' [ {"id":8} ] ', "[]", '[{"id":10},{}]', '{"id":1}', "",
+    '[{"id":4,"name":"d"},{"id":"bad","name":"e"}]', "[1,2]", '[{"id":5},{broken]', '[{"id":7},null]', '[{"id":6,"name":"f"}', "null",
+]
+
+
+def test_array_lines_give_the_rows_of_the_spark_reader(spark, tmp_path, rows):
+    schema = "id INT, name STRING, _corrupt_record STRING"
+    (tmp_path / "lines.txt").write_text("\n".join(ARRAYS))
+    for mode in ("PERMISSIVE", "DROPMALFORMED"):
+        with persisted(spark.read.schema(schema).json(str(tmp_path), mode=mode)) as kept:
+            assert rows(read_json_lines(spark, str(tmp_path), schema, mode)) == rows(kept)
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_json_lines(spark, str(tmp_path), "id INT", "FAILFAST").collect()
+    (tmp_path / "lines.txt").write_text("\n".join(ARRAYS[:6]))
+    assert rows(read_json_lines(spark, str(tmp_path), "id INT", "FAILFAST")) == rows(spark.read.schema("id INT").json(str(tmp_path)))
