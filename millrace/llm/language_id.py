@@ -12,7 +12,6 @@ import math
 import uuid
 from collections import Counter
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -22,7 +21,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tools import portions, stored, unit
+from millrace.llm.tools import held, portions, stored, unit
 
 UNKNOWN = "und"
 #: Documents of each language that piece probabilities are learned from, about.
@@ -203,7 +202,7 @@ def fit(train: DataFrame, path: str | None = None, sample: int = SAMPLE, rounds:
 class _Scorer:
     """Sums of log-likelihoods per text; remembers a bounded number of words."""
 
-    def __init__(self, model: Model, room: int = 800_000):
+    def __init__(self, model: Model, room: int = 450_000):
         self.pieces, self.model, self.room = Pieces(model.path), model, room
         self.place: dict[str, int] = {}
         self.rows = np.zeros((1 << 14, len(model.languages) + 1), np.float64)
@@ -241,20 +240,13 @@ class _Scorer:
         return out
 
 
-_SCORERS: dict[str, _Scorer] = {}
-
-
 def _scorer_of(model: Model) -> _Scorer:
     """One scorer per worker process, so that what it remembers serves the next task too."""
-    if model.name not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[model.name] = _Scorer(model)
-    return _SCORERS[model.name]
+    return held(("language scorer", model.name), lambda: _Scorer(model))
 
 
-@lru_cache(maxsize=1)
 def _pieces_of(path: str) -> Pieces:
-    return Pieces(path)
+    return held(("pieces", path), lambda: Pieces(path))
 
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:

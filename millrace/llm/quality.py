@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tools import Recent, portions, stored, unit
+from millrace.llm.tools import Recent, held, portions, stored, unit
 
 #: Word buckets and length of the vectors: word vectors take 2 MB whatever the corpus.
 BUCKETS, WIDTH, NONZERO, REACH = 1 << 14, 32, 2, 2
@@ -67,10 +66,9 @@ class Tokens:
         return np.frombuffer(ids, dtype=np.int32)
 
 
-@lru_cache(maxsize=1)
 def shared_tokens() -> Tokens:
     """One per worker process, so that what it remembers serves the next task too."""
-    return Tokens()
+    return held("quality tokens", Tokens)
 
 
 def add_contexts(vectors: np.ndarray, documents: list[np.ndarray], places: np.ndarray, signs: np.ndarray) -> None:

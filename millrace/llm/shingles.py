@@ -60,7 +60,7 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     ends = inside.copy()
     ends[:-1] &= ~inside[1:] | edge[1:size]
     start, end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    powers, inverse = _powers(1 << max(22, (size - 1).bit_length()))
+    powers, inverse = _powers(1 << max(20, (size - 1).bit_length()))
     sums = np.zeros(size + 1, _U)
     np.cumsum(_BYTE[data] * powers[:size], out=sums[1:])
     hashed = (sums[end] - sums[start]) * inverse[start]

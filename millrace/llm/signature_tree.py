@@ -58,7 +58,7 @@ def set_sizes(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
     def describe(batches):
         for batch in batches:
-            for part in portions(batch, 1):
+            for part in portions(batch, 1, 1 << 20):
                 sets = shingle_sets(part.column(1))
                 hashes = [_set_hash(tokens) for tokens in sets]
                 yield pa.RecordBatch.from_arrays(
@@ -79,7 +79,7 @@ def routes(docs: DataFrame, last: np.ndarray, percent: int = PERCENT) -> DataFra
     def route(batches):
         seen: set[tuple[int, int]] = set()
         for batch in batches:
-            for part in portions(batch, 0):
+            for part in portions(batch, 0, 1 << 20):
                 token, high, low, often = [], [], [], []
                 for tokens in shingle_sets(part.column(0)):
                     if not len(tokens):
@@ -135,7 +135,7 @@ def signatures(docs: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataF
 
     def describe(batches):
         for batch in batches:
-            for part in portions(batch, 1):
+            for part in portions(batch, 1, 1 << 20):
                 sets = shingle_sets(part.column(1))
                 wide = [bitmap(s, min(max(BITS, 1 << (4 * len(s)).bit_length()), MOST_BITS)) for s in sets]
                 bits = [np.bitwise_or.reduce(one.reshape(-1, BITS // 64)).tobytes() for one in wide]
@@ -155,7 +155,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataF
 
     def describe(batches):
         for batch in batches:
-            for part in portions(batch, 1):
+            for part in portions(batch, 1, 1 << 20):
                 sets = [s.astype("<u8").tobytes() for s in shingle_sets(part.column(1))]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["rep", "tokens"])
 

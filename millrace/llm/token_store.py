@@ -9,7 +9,6 @@ says how many ids come before it.
 from __future__ import annotations
 
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from millrace.llm.tools import Recent
+from millrace.llm.tools import Recent, held
 
 END_ID = 0
 _STORED = "doc_id long, shard int, at long, n_tokens long, ids array<int>"
@@ -34,7 +33,7 @@ class Encoder:
     that look like special tokens are ordinary text.
     """
 
-    def __init__(self, path: str, room: int = 900_000):
+    def __init__(self, path: str, room: int = 750_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         #: Pieces at the start of a line, and after a space; empty ids mean that the piece cannot stand alone.
@@ -72,10 +71,9 @@ class Encoder:
         return self._ids(text) if ids is None else ids
 
 
-@lru_cache(maxsize=1)
 def encoder_of(path: str) -> Encoder:
     """One encoder per worker process, so that what it remembers serves the next task too."""
-    return Encoder(path)
+    return held(("encoder", path), lambda: Encoder(path))
 
 
 def encoded(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -73,3 +73,14 @@ class Recent:
             self.old = dict(self.young)
             self.young.clear()  # the same object: callers hold on to it
         self.young[key] = value
+
+
+_HELD: dict = {}
+
+
+def held(name, build):
+    """What a worker process remembers from task to task: ``build()``, once, in place of what it held under another name."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = build()
+    return _HELD[name]
