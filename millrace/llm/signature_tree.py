@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.graph import components
 from millrace.llm.shingles import mix, shingle_sets
-from millrace.llm.tools import portions, stored, unit, whole_row
+from millrace.llm.tools import frequent, portions, stored, unit, whole_row
 from millrace.operators.joins import join_broadcasting
 
 PERCENT = 75
@@ -114,8 +114,8 @@ def routes(docs: DataFrame, last: np.ndarray, percent: int = PERCENT) -> DataFra
 def _frequent(docs: DataFrame, key: str, percent: int) -> np.ndarray:
     part = docs.filter(unit(key) < HOT_SHARE)
     counts = routes(part, np.zeros(0, _U), percent).groupBy("token").count().filter(F.col("count") >= HOT_LEAST)
-    found = counts.orderBy(F.col("count").desc(), "token").limit(HOT_MOST).select("token").toPandas()  # HOT_MOST numbers
-    return np.sort(found["token"].to_numpy(np.int64).view(_U))
+    found = frequent(stored(counts, "tree-frequent"), "count", HOT_MOST).select("token").toArrow()  # HOT_MOST numbers at most
+    return np.sort(found.column(0).to_numpy().view(_U))
 
 
 def _of_wanted(docs: DataFrame, wanted: DataFrame, key: str) -> DataFrame:

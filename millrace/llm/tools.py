@@ -40,6 +40,22 @@ def unit(*columns: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(float(2**53))
 
 
+def frequent(counts: DataFrame, column: str, most: int) -> DataFrame:
+    """The rows whose count reaches the least power of two that at most ``most`` rows reach.
+
+    Counts of counts decide, so nothing is sorted and no task gathers rows of all others.
+    """
+    size = F.floor(F.log2(F.col(column))).cast("int")
+    sizes = counts.filter(F.col(column) > 0).groupBy(size.alias("size")).count().orderBy(F.col("size").desc()).collect()  # 64 rows at most
+    least, total = 64, 0
+    for row in sizes:
+        total += row["count"]
+        if total > most:
+            break
+        least = row["size"]
+    return counts.filter(F.col(column) >= F.lit(2.0**least))
+
+
 def portions(batch: pa.RecordBatch, column: int, limit: int = 4 << 20):
     """Cut a batch into slices whose strings hold about ``limit`` bytes; a longer text stands alone."""
     sizes = [0 if n is None else n for n in pa.compute.binary_length(batch.column(column)).to_pylist()]

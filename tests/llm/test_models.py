@@ -150,7 +150,7 @@ def test_tree_beats_the_unigram_on_held_out_documents(documents):
 
 
 def test_code_lengths_of_odd_rows(spark, odd_docs):
-    found = context_tree.score_documents(odd_docs, fold("doc_id", 10, 0), frequent=3).collect()
+    found = context_tree.score_documents(odd_docs, fold("doc_id", 10, 0), most_words=3).collect()
     check_base(odd_docs, found)
     assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in found)
     assert context_tree.score_documents(odd_docs.limit(0), fold("doc_id", 10, 0)).collect() == []
