@@ -15,7 +15,7 @@ from millrace.plans.retail import customer_report, order_detail, row_counts, sal
 from millrace.plans.zones import kind_mix
 from millrace.sources.files import read_csv
 from millrace.sources.jdbc import Database
-from millrace.sources.schemas import FIRE_CALLS, TAXI_ZONES, YELLOW_TAXI
+from file_schemas import FIRE_CALLS, TAXI_ZONES, YELLOW_TAXI
 
 
 def money(text):

@@ -9,7 +9,8 @@ from millrace.operators.reuse import persisted
 from millrace.plans.nested import flatten_employees, previous_addresses, write_json_arrays
 from millrace.plans.quarantine import city_counts, quarantine, with_city
 from millrace.sources.files import read_csv, read_json_documents, read_json_lines, read_lines
-from millrace.sources.schemas import CHECKED_PEOPLE, PEOPLE, TAXI_BASES, TAXI_ZONES
+from file_schemas import TAXI_BASES, TAXI_ZONES
+from millrace.sources.schemas import CHECKED_PEOPLE, PEOPLE
 from millrace.sources.schemas import EMPLOYEES as EMPLOYEES_DDL
 
 @pytest.fixture
