@@ -79,9 +79,10 @@ def blocks(fingerprint: str, radius: int) -> Column:
 
 
 def _item_shingles(items: DataFrame) -> DataFrame:
-    """``item_id, length, place, shingle``; an item listed twice under one id is one item with both texts' shingles."""
-    rows = with_shingles(items.filter("item_id is not null").select("item_id", "text"))
-    return rows.select("item_id", F.size("shingles").alias("length"), F.posexplode_outer("shingles").alias("place", "shingle")).filter("shingle is not null")
+    """``item_id, item_hash, length, place, shingle``; repeated rows count once, other texts under the same id stand apart by their hash."""
+    rows = items.filter("item_id is not null").select("item_id", F.xxhash64("text").alias("item_hash"), "text").dropDuplicates(["item_id", "item_hash"])
+    rows = with_shingles(rows).select("item_id", "item_hash", F.size("shingles").alias("length"), F.posexplode_outer("shingles").alias("place", "shingle"))
+    return rows.filter("shingle is not null")
 
 
 def contaminated(
@@ -92,48 +93,52 @@ def contaminated(
     One row for each document and item, at its most similar window (the first of equals), which
     begins at shingle ``start``. Null and empty texts, documents without an id and empty items
     match nothing. Items of fewer than five words match documents that are nothing else. Rows
-    that share an id are one document. Extra columns are ignored.
+    that share an id are one document or item: each of their texts is compared by itself, a
+    repeated text once. Extra columns are ignored.
     """
+    item = ("item_id", "item_hash")
     places = stored(_item_shingles(items), "items")
-    counts = places.groupBy("item_id", "length", "shingle").agg(F.count("*").cast("long").alias("times"))
+    counts = places.groupBy(*item, "length", "shingle").agg(F.count("*").cast("long").alias("times"))
     weights = places.groupBy("shingle").agg(F.countDistinct("item_id").alias("items"))
     weights = stored(weights.select("shingle", F.greatest(F.floor(F.lit(HEAVIEST) / F.col("items")), F.lit(1)).alias("weight")), "item-weights")
     counts = stored(counts.join(weights, "shingle"), "item-counts")
 
-    texts = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), "text")
-    found = with_shingles(texts).select("doc_id", F.size("shingles").alias("size"), F.posexplode_outer("shingles").alias("at", "doc_shingle"))
+    texts = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    found = with_shingles(texts).select("doc_id", "text_hash", F.size("shingles").alias("size"), F.posexplode_outer("shingles").alias("at", "doc_shingle"))
     hits = join_broadcasting(found, places, F.col("doc_shingle") == F.col("shingle"))
     # Where the item would begin, within the document.
     start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("place"), F.col("size") - F.col("length")))
-    windows = hits.select("doc_id", start.alias("start"), "length").distinct()
-    by_doc = stored(windows.groupBy("doc_id").agg(F.collect_set(F.struct("start", "length")).alias("windows")), "windows")
+    windows = hits.select("doc_id", "text_hash", start.alias("start"), "length").distinct()
+    by_doc = stored(windows.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "length")).alias("windows")), "windows")
 
-    held = join_broadcasting(texts, by_doc.withColumnRenamed("doc_id", "of"), F.col("doc_id") == F.col("of")).drop("of")
-    opened = with_shingles(held).select("doc_id", "shingles", F.explode_outer("windows").alias("window"))
+    same = (F.col("doc_id") == F.col("of")) & (F.col("text_hash") == F.col("of_hash"))
+    held = join_broadcasting(texts, by_doc.withColumnsRenamed({"doc_id": "of", "text_hash": "of_hash"}), same).drop("of", "of_hash")
+    held = held.dropDuplicates(["doc_id", "text_hash"])
+    opened = with_shingles(held).select("doc_id", "text_hash", "shingles", F.explode_outer("windows").alias("window"))
     opened = opened.select(
-        "doc_id", "window.start", "window.length", F.explode_outer(F.slice("shingles", F.col("window.start") + 1, F.col("window.length"))).alias("shingle")
+        "doc_id", "text_hash", "window.start", "window.length", F.explode_outer(F.slice("shingles", F.col("window.start") + 1, F.col("window.length"))).alias("shingle")
     )
-    name = ("doc_id", "start", "length")
+    name = ("doc_id", "text_hash", "start", "length")
     inside = opened.groupBy(*name, "shingle").agg(F.count("*").cast("long").alias("times"))
     inside = join_broadcasting(inside, weights.withColumnRenamed("shingle", "known"), F.col("shingle") == F.col("known"), "left")
     inside = stored(inside.select(*name, "shingle", "times", F.coalesce("weight", F.lit(HEAVIEST)).cast("long").alias("weight")), "window-shingles")
 
     marks = stored(fingerprints(inside, *name), "window-fingerprints")
-    item_marks = stored(fingerprints(counts, "item_id", "length"), "item-fingerprints").select(
-        "item_id", F.col("length").alias("item_length"), F.col("total").alias("item_total"), F.col("fingerprint").alias("item_fingerprint")
+    item_marks = stored(fingerprints(counts, *item, "length"), "item-fingerprints").select(
+        *item, F.col("length").alias("item_length"), F.col("total").alias("item_total"), F.col("fingerprint").alias("item_fingerprint")
     )
     item_blocks = item_marks.withColumn("item_block", F.explode(blocks("item_fingerprint", radius)))
     near = marks.withColumn("block", F.explode(blocks("fingerprint", radius))).join(
         item_blocks, (F.col("length") == F.col("item_length")) & (F.col("block") == F.col("item_block"))
     )
     near = near.filter(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint"))) <= radius)
-    near = near.select(*name, "total", "item_id", "item_total").distinct()
+    near = near.select(*name, "total", *item, "item_total").distinct()
 
     shared = near.join(inside, [*name]).alias("w").join(
-        counts.select(F.col("item_id").alias("of_item"), F.col("length").alias("of_length"), F.col("shingle").alias("of_shingle"), F.col("times").alias("item_times")),
-        (F.col("item_id") == F.col("of_item")) & (F.col("length") == F.col("of_length")) & (F.col("shingle") == F.col("of_shingle")),
+        counts.select(F.col("item_id").alias("of_item"), F.col("item_hash").alias("of_hash"), F.col("length").alias("of_length"), F.col("shingle").alias("of_shingle"), F.col("times").alias("item_times")),
+        (F.col("item_id") == F.col("of_item")) & (F.col("item_hash") == F.col("of_hash")) & (F.col("length") == F.col("of_length")) & (F.col("shingle") == F.col("of_shingle")),
     )
-    both = shared.groupBy(*name, "total", "item_id", "item_total").agg(F.sum(F.least("times", "item_times") * F.col("weight")).alias("both"))
+    both = shared.groupBy(*name, "total", *item, "item_total").agg(F.sum(F.least("times", "item_times") * F.col("weight")).alias("both"))
     similarity = F.col("both") / (F.col("total") + F.col("item_total") - F.col("both"))
     alike = both.withColumn("similarity", similarity).filter(F.col("similarity") >= least)
     best = F.max_by(F.struct("similarity", "start", "length"), F.struct("similarity", -F.col("start"), "length"))

@@ -172,6 +172,16 @@ def test_contaminated_against_all_windows(spark, docs_of):
     assert decontamination.contaminated(table, benchmark.limit(0)).collect() == []
 
 
+def test_contaminated_with_repeated_rows(spark, docs_of):
+    passage, other = (" ".join(f"{name}{i}" for i in range(30)) for name in "pq")
+    items = [(1, passage), (1, passage), (2, other), (2, "quite another text that no document has at all")]
+    docs = [(10, f"before {passage} after"), (10, f"before {passage} after"), (11, other), (11, "short"), (12, other), (12, f"{passage} {other}")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = sorted((r["doc_id"], r["item_id"], r["similarity"]) for r in decontamination.contaminated(docs_of(docs), benchmark).collect())
+    assert found == [(10, 1, 1.0), (11, 2, 1.0), (12, 1, 1.0), (12, 2, 1.0)]
+    assert decontamination.without_contaminated(docs_of(docs), benchmark).collect() == []
+
+
 def test_every_fingerprint_within_the_radius_shares_a_block(spark):
     rng = random.Random(8)
     rows = []
