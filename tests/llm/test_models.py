@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import context_tree, language_id, quality
-from millrace.llm.tools import fold
+from millrace.llm.tools import fold, stored
 
 
 @pytest.fixture(scope="module")
@@ -171,3 +171,21 @@ def test_bytes_behind_a_context_share_at_most_one(spark):
             leaves = context_tree.Leaves(context_tree.Positions.of([word], model.depth), model.kept, model.depth)
             total += 10 ** model.of(leaves.with_mark(0x20)[len(stem) : len(stem) + 1])[0]  # the words are short: all contexts are marked
         assert 0.8 < total <= 1 + 1e-9
+
+
+def test_every_context_of_the_words_is_in_the_tree(spark):
+    """As many contexts as the words have, whatever their number, and the sum over a word's grams is its score."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join("".join(map(chr, rng.integers(97, 123, rng.integers(1, 12)))) for _ in range(3000)) for _ in range(20)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = context_tree.count_words(table, F.lit(False), context_tree.find_classes(np.zeros((0, 512)))).withColumn("id", F.monotonically_increasing_id())
+    seen = stored(seen, "seen-words")
+    model = context_tree.fit(seen, [20, 0, 0, 0, 0, 0])
+    contexts = {(" " + word + " ")[max(0, i - 5) : i + 1] for text in texts for word in text.split() for i in range(len(word) + 1)}
+    assert len(contexts) > 150_000
+    name = F.col("name")
+    assert model.scores.select(F.shiftright(name, 8)).distinct().count() == len(contexts)
+    for row in model.words(seen).orderBy("word").limit(2).collect():
+        leaves = context_tree.Leaves(context_tree.Positions.of([bytes(row["word"])]))
+        grams = [*leaves.without_mark(), *leaves.with_mark(0x09)]
+        assert model.of(np.array(grams)).sum() == pytest.approx(row["log_1"])
