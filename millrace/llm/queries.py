@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import context_tree, decontamination, language_id, mixing, pivot_index, quality, quotations, signature_tree, style_tree, token_store
+from millrace.llm import (
+    context_tree, decontamination, divergence, language_id, merkle, mixing, pivot_index, quality, quotations, signature_tree, style_tree, token_store,
+)
+from millrace.llm import sql
 from millrace.llm.tools import fold
 from millrace.session import scratch_path
 from millrace.sources.tables import Tables
@@ -66,13 +69,22 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(Tables(spark, folder).documents)
+
+
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return merkle.manifest(Tables(spark, folder).documents, fold("doc_id", 5, 0), lower)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_pivot_index, op2_style_tree, op3_decontamination, op4_mixing, op5_language_id, op6_quotations, op7_signature_tree,
-        op8_token_store, op9_context_tree, op10_quality,
+        op8_token_store, op9_context_tree, op10_quality, op12_divergence, op13_merkle,
     )
     return {query.__name__: query for query in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_divergence": sql.DIVERGENCE, "op13_merkle": sql.MERKLE}
