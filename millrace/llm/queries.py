@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    context_tree, decontamination, divergence, language_id, merkle, mixing, pivot_index, quality, quotations, signature_tree, style_tree, token_store,
+    context_tree, decontamination, divergence, language_id, merkle, mixing, pivot_index, quality, quotations, run_length_index, signature_tree, style_tree,
+    token_store,
 )
 from millrace.llm import sql
 from millrace.llm.tools import fold
@@ -69,6 +70,10 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_run_length_index(spark: SparkSession, folder: str) -> DataFrame:
+    return run_length_index.without_repeats(Tables(spark, folder).documents)
+
+
 def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(Tables(spark, folder).documents)
 
@@ -81,7 +86,8 @@ def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_pivot_index, op2_style_tree, op3_decontamination, op4_mixing, op5_language_id, op6_quotations, op7_signature_tree,
-        op8_token_store, op9_context_tree, op10_quality, op12_divergence, op13_merkle,
+        op8_token_store, op9_context_tree, op10_quality,
+        op11_run_length_index, op12_divergence, op13_merkle,
     )
     return {query.__name__: query for query in named}
 
