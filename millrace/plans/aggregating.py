@@ -124,10 +124,15 @@ def ord_multi(t: Tables) -> DataFrame:
 
 @query("SELECT LEAST(25, COUNT(*)) AS n_rows, LEAST(25, COUNT(*)) AS n_known FROM orders")
 def ord_limit(t: Tables) -> DataFrame:
-    """Some rows, whichever come first: how many, and how many of them are rows of the table."""
-    some = t.orders.select("o_orderkey", "o_orderdate").limit(25).withColumn("taken", F.lit(True))
-    known = t.orders.select("o_orderkey", "o_orderdate").distinct().withColumn("known", F.lit(True))
-    return some.join(known, ["o_orderkey", "o_orderdate"], "left").agg(
+    """Some rows, whichever come first: how many, and how many of them are rows of the table.
+
+    The rows are fetched, as the first 25 are not the same ones each time they are computed; the
+    table is probed for them where it lies, nothing of it is shuffled.
+    """
+    orders = t.orders.select("o_orderkey", "o_orderdate")
+    some = t.spark.createDataFrame(orders.limit(25).collect(), orders.schema)  # 25 rows at most
+    known = orders.join(F.broadcast(some), ["o_orderkey", "o_orderdate"], "left_semi").distinct().withColumn("known", F.lit(True))
+    return some.withColumn("taken", F.lit(True)).join(F.broadcast(known), ["o_orderkey", "o_orderdate"], "left").agg(
         F.count("taken").alias("n_rows"), F.count("known").alias("n_known")
     )
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.quality import malformed_records, valid_records
+from millrace.operators.quality import malformed_lines, valid_records
 from millrace.operators.reuse import persisted
 from millrace.plans.registry import query
 from millrace.session import scratch_path
-from millrace.sources.files import CORRUPT_COLUMN, read_json_lines, read_lines
+from millrace.sources.files import CORRUPT_COLUMN, PLACE_COLUMN, read_json_lines, read_lines
 from millrace.sources.schemas import CHECKED_PEOPLE, PEOPLE
 from millrace.sources.tables import Tables
 
@@ -26,27 +26,28 @@ def city_counts(valid: DataFrame) -> DataFrame:
 def flat_people(records: DataFrame) -> DataFrame:
     """``id, name, age, city``, and what else must be known of a record."""
     flat = (F.col("id"), F.col("name"), F.col("details.age").alias("age"), F.col("details.address.city").alias("city"))
-    return records.select(*flat, CORRUPT_COLUMN)
+    return records.select(*flat, CORRUPT_COLUMN, PLACE_COLUMN)
 
 
 def quarantine(records: DataFrame, clean: str, log: str, report: str) -> None:
-    """Split the records of ``read_json_lines``: the valid ones flat and counted by city, the text of the others.
+    """Split the placed records of ``read_json_lines``: the valid ones flat and counted by city, the lines of the others.
 
-    All outputs come from one parse. Only the columns they need are kept for that, and they are
+    The log has every broken line as it is, each as often as the input has it. All outputs come from one parse. Only the columns they need are kept for that, and they are
     released afterwards.
     """
     with persisted(flat_people(records)) as kept:
-        valid_records(kept).write.mode("overwrite").parquet(clean)
-        # Each record of a broken array line carries the whole line; the log has it once.
-        malformed_records(kept).distinct().write.mode("overwrite").text(log)
-        city_counts(valid_records(kept)).write.mode("overwrite").parquet(report)
+        valid = valid_records(kept).drop(PLACE_COLUMN)
+        valid.write.mode("overwrite").parquet(clean)
+        malformed_lines(kept).write.mode("overwrite").text(log)
+        city_counts(valid).write.mode("overwrite").parquet(report)
 
 
 def record_lines(t: Tables) -> DataFrame:
     """Orders as JSON lines.
 
-    Lines of open-ended status ``P`` lack their last brace, urgent finished orders have a
-    text where the details belong, low ones of other states stand in an array with a second record.
+    Lines of open-ended status ``P`` occur twice and lack their last brace, the low ones among
+    them stand in an array whose second record is broken. Urgent finished orders have a text
+    where the details belong, low ones of other states stand in an array with a second record.
     """
     details = F.struct(
         F.year("o_orderdate").alias("age"),
@@ -58,12 +59,12 @@ def record_lines(t: Tables) -> DataFrame:
     whole = F.to_json(F.struct(*base, details.alias("details")))
     second = F.struct((-F.col("o_orderkey") - 1).alias("id"), F.lit("second").alias("name"), details.alias("details"))
     pair = F.to_json(F.array(F.struct(*base, details.alias("details")), second))
+    half = F.concat(F.lit("["), whole, F.lit(',{"id":'), -F.col("o_orderkey") - 1, F.lit(',"details":"wrong"}]'))
     mistyped = F.to_json(F.struct(*base, F.lit("wrong").alias("details")))
     urgent = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
-    return t.orders.select(
-        F.when(F.col("o_orderstatus") == "P", F.regexp_replace(whole, r"\}$", "")).when(urgent, mistyped)
-        .when(F.col("o_orderpriority") == "5-LOW", pair).otherwise(whole).alias("value")
-    )
+    open_ended, low = F.col("o_orderstatus") == "P", F.col("o_orderpriority") == "5-LOW"
+    line = F.when(open_ended & low, half).when(open_ended, F.regexp_replace(whole, r"\}$", "")).when(urgent, mistyped).when(low, pair).otherwise(whole)
+    return t.orders.select(F.explode(F.array_repeat(line, F.when(open_ended, 2).otherwise(1))).alias("value"))
 
 
 def record_files(t: Tables) -> str:
@@ -75,20 +76,27 @@ def record_files(t: Tables) -> str:
 _WHOLE = """'{"id":' || o_orderkey || ',"name":"order ' || o_orderkey || '","details":{"age":'
     || year(o_orderdate) || ',"address":{"street":"street ' || o_custkey || '","city":"' || o_orderpriority"""
 _CUT_TEXT = f"""{_WHOLE} || '"}}}}'"""
+_HALF_TEXT = f"""'[' || {_WHOLE} || '"}}}}}},{{"id":' || (-o_orderkey - 1) || ',"details":"wrong"}}]'"""
+_BROKEN_TEXT = f"CASE WHEN o_orderpriority = '5-LOW' THEN {_HALF_TEXT} ELSE {_CUT_TEXT} END"
 _MISTYPED_TEXT = """'{"id":' || o_orderkey || ',"name":"order ' || o_orderkey || '","details":"wrong"}'"""
 _MISTYPED = "o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'"
 _PAIRED = "o_orderstatus <> 'P' AND o_orderpriority = '5-LOW'"
 _SECOND = f"""SELECT -o_orderkey - 1 AS id, 'second' AS name, CAST(year(o_orderdate) AS INTEGER) AS age,
     o_orderpriority AS city FROM orders WHERE {_PAIRED}"""
 _VALID = f"o_orderstatus <> 'P' AND NOT ({_MISTYPED})"
+_TWICE = "(SELECT unnest([1, 2]))"
 
 
 @query(f"""
-    SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS id,
-           CASE WHEN {_VALID} THEN o_orderpriority END AS city,
-           CASE WHEN o_orderstatus = 'P' THEN {_CUT_TEXT} WHEN {_MISTYPED} THEN {_MISTYPED_TEXT} END AS raw_text
-    FROM orders
+    SELECT o_orderkey AS id, CASE WHEN {_VALID} THEN o_orderpriority END AS city,
+           CASE WHEN {_MISTYPED} THEN {_MISTYPED_TEXT} END AS raw_text
+    FROM orders WHERE o_orderstatus <> 'P'
     UNION ALL SELECT -o_orderkey - 1, o_orderpriority, NULL FROM orders WHERE {_PAIRED}
+    UNION ALL SELECT CASE WHEN o_orderpriority = '5-LOW' THEN o_orderkey END,
+                     CASE WHEN o_orderpriority = '5-LOW' THEN o_orderpriority END, {_BROKEN_TEXT}
+    FROM orders, {_TWICE} WHERE o_orderstatus = 'P'
+    UNION ALL SELECT -o_orderkey - 1, NULL, {_BROKEN_TEXT} FROM orders, {_TWICE}
+    WHERE o_orderstatus = 'P' AND o_orderpriority = '5-LOW'
 """)
 def src_json_permissive(t: Tables) -> DataFrame:
     records = read_json_lines(t.spark, record_files(t), CHECKED_PEOPLE)
@@ -112,13 +120,13 @@ def src_json_dropmalformed(t: Tables) -> DataFrame:
         UNION ALL {_SECOND})
     SELECT 'clean' AS kind, name AS label, id, age, city, 1 AS n FROM clean
     UNION ALL SELECT 'city', city, NULL, NULL, city, COUNT(*) FROM clean GROUP BY city
-    UNION ALL SELECT 'malformed', CASE WHEN o_orderstatus = 'P' THEN {_CUT_TEXT} ELSE {_MISTYPED_TEXT} END, NULL, NULL, NULL, 1
-    FROM orders WHERE NOT ({_VALID})
+    UNION ALL SELECT 'malformed', {_MISTYPED_TEXT}, NULL, NULL, NULL, 1 FROM orders WHERE {_MISTYPED}
+    UNION ALL SELECT 'malformed', {_BROKEN_TEXT}, NULL, NULL, NULL, 1 FROM orders, {_TWICE} WHERE o_orderstatus = 'P'
 """)
 def job_quarantine(t: Tables) -> DataFrame:
     """The outputs of the job: each clean record, counts per city, and each line of the error log."""
     clean, log, report = (scratch_path(t.spark, label) for label in ("clean", "log", "report"))
-    quarantine(read_json_lines(t.spark, record_files(t), CHECKED_PEOPLE), clean, log, report)
+    quarantine(read_json_lines(t.spark, record_files(t), CHECKED_PEOPLE, placed=True), clean, log, report)
 
     def output(kind: str, rows: DataFrame, **columns: Column) -> DataFrame:
         kinds = {"label": "string", "id": "bigint", "age": "int", "city": "string", "n": "bigint"}

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 CORRUPT_COLUMN = "_corrupt_record"
+#: Place of a record in its input line, from 0; the record at 0 stands for the line.
+PLACE_COLUMN = "_place_in_line"
 
 
 def read_csv(
@@ -37,13 +39,15 @@ def read_json_documents(spark: SparkSession, path: str, schema: str | StructType
 
 
 def read_json_lines(
-    spark: SparkSession, path: str, schema: str | StructType, mode: str = "PERMISSIVE"
+    spark: SparkSession, path: str, schema: str | StructType, mode: str = "PERMISSIVE", placed: bool = False
 ) -> DataFrame:
     """One JSON record, or one array of records, per line; blank lines do not count.
 
     ``PERMISSIVE`` keeps broken records and puts their raw text into ``_corrupt_record``
     if the schema has it; ``DROPMALFORMED`` leaves them out; ``FAILFAST`` raises. A broken
-    record in an array makes the whole line broken, as with Spark's own reader.
+    record in an array makes the whole line broken, as with Spark's own reader. ``placed`` adds
+    ``_place_in_line``, so that what concerns a line can be told once however many records it
+    holds, and equal lines stay apart.
 
     Every field is parsed whatever a query selects. Spark's own JSON reader parses only
     the selected fields, so which records it calls broken changes with the query, unless
@@ -69,11 +73,16 @@ def read_json_lines(
     # An array of one, so that ``broken`` is found once for all records of a line.
     line = F.array(F.struct(F.col("records").alias("records"), broken.alias("broken")))
     marked = F.flatten(
-        F.transform(line, lambda one: F.transform(one["records"], lambda record: record.withField(CORRUPT_COLUMN, one["broken"])))
+        F.transform(
+            line,
+            lambda one: F.transform(
+                one["records"], lambda record, place: record.withField(CORRUPT_COLUMN, one["broken"]).withField(PLACE_COLUMN, place)
+            ),
+        )
     )
     # A filter on the fields is not moved below a generator of them; the outer form keeps Catalyst
     # from inferring one on the array. So each line is parsed once, and no array is empty here.
     records = parsed.select(F.inline_outer(marked))
     if mode == "DROPMALFORMED":
         records = records.filter(F.col(CORRUPT_COLUMN).isNull())
-    return records.select(*(f"`{name}`" for name in asked.names))
+    return records.select(*(f"`{name}`" for name in asked.names), *([PLACE_COLUMN] if placed else []))

@@ -122,3 +122,10 @@ def test_a_filter_after_sorting_reaches_the_scan(spark, folder, plan, name):
     column = {"ord_asc": "p_name", "ord_multi": "o_orderpriority", "job_order_detail": "status"}[name]
     text = plan(QUERIES[name](spark, folder).filter(F.col(column) == "F").select(column))
     assert "EqualTo(" in text
+
+
+def test_rows_of_a_limit_are_looked_up_without_a_shuffle_of_the_table(tables, plan):
+    from millrace.plans.aggregating import ord_limit
+
+    text = plan(ord_limit(tables))
+    assert "BroadcastHashJoin" in text and "LeftSemi" in text and "SortMergeJoin" not in text

@@ -203,7 +203,7 @@ def test_unknown_mode(spark, broken):
 def test_quarantine(spark, broken, tmp_path, rows, plan):
     clean, log, report = (str(tmp_path / name) for name in ("clean", "log", "report"))
     records = read_json_lines(spark, broken, CHECKED_PEOPLE)
-    quarantine(records, clean, log, report)
+    quarantine(read_json_lines(spark, broken, CHECKED_PEOPLE, placed=True), clean, log, report)
     delivered = spark.read.parquet(clean)
     assert delivered.columns == ["id", "name", "age", "city"]
     assert rows(delivered.select("id", "name")) == rows(valid_records(records).select("id", "name"))
@@ -212,6 +212,18 @@ def test_quarantine(spark, broken, tmp_path, rows, plan):
     assert "InMemoryTableScan" not in plan(with_city(records).select("city", "_corrupt_record"))
 
 
+def test_every_broken_line_is_logged_as_often_as_it_occurs(spark, tmp_path):
+    array = '[{"id":4,"name":"d"},{"id":"bad"},{"id":5}]'
+    lines = ["{broken", '{"id":1}', "{broken", array, "{broken", array, '[{"id":2},{"id":3}]', "[1,2]"]
+    (tmp_path / "lines.txt").write_text("\n".join(lines))
+    log = str(tmp_path / "log")
+    records = read_json_lines(spark, str(tmp_path / "lines.txt"), CHECKED_PEOPLE, placed=True)
+    assert sorted(r._place_in_line for r in records.collect()) == [0] * 8 + [1, 1, 1, 2, 2]
+    quarantine(records, str(tmp_path / "clean"), log, str(tmp_path / "report"))
+    assert sorted(r.value for r in spark.read.text(log).collect()) == sorted(["{broken"] * 3 + [array] * 2 + ["[1,2]"])
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "clean")).collect()) == [1, 2, 3]
+
+
 ARRAYS = [
     '[{"id":2,"name":"b"},{"id":3,"name":"c"}]', ' [ {"id":8} ] ', "[]", '[{"id":10},{}]', '{"id":1}', "",
     '[{"id":4,"name":"d"},{"id":"bad","name":"e"}]', "[1,2]", '[{"id":5},{broken]', '[{"id":7},null]', '[{"id":6,"name":"f"}', "null",
