@@ -9,7 +9,7 @@ from millrace.functions.text import report_line
 from millrace.operators.joins import join_broadcasting
 from millrace.plans.registry import query
 from millrace.session import scratch_path
-from millrace.sinks.verify import verify
+from millrace.sinks.verify import differing_rows, verify
 from millrace.sources.files import read_csv, read_lines
 from millrace.sources.tables import Tables
 
@@ -105,6 +105,21 @@ def snk_verify(t: Tables) -> DataFrame:
     return verify(t.orders, t.spark.read.parquet(path))
 
 
+@query("""
+    SELECT o_orderkey, o_totalprice, 'written' AS side, 1::BIGINT AS times FROM orders WHERE o_orderkey % 1000 = 7
+    UNION ALL SELECT o_orderkey, o_totalprice + 0.5, 'found', 1 FROM orders WHERE o_orderkey % 1000 = 7
+    UNION ALL SELECT o_orderkey, o_totalprice, 'found', 1 FROM orders WHERE o_orderkey % 1000 = 9
+""")
+def snk_differences(t: Tables) -> DataFrame:
+    """A written copy in which a few amounts have changed and a few rows stand twice: which rows these are."""
+    path = scratch_path(t.spark, "orders")
+    orders = t.orders.select("o_orderkey", "o_totalprice")
+    group = F.col("o_orderkey") % 1000
+    changed = orders.withColumn("o_totalprice", F.when(group == 7, F.col("o_totalprice") + 0.5).otherwise(F.col("o_totalprice")))
+    changed.unionAll(orders.filter(group == 9)).write.mode("overwrite").parquet(path)
+    return differing_rows(orders, t.spark.read.parquet(path))
+
+
 @query("""
     SELECT printf('Part: %-35s | Type: %s', p_name, p_type) AS line FROM part
     WHERE p_type = 'PROMO' AND p_size >= 25

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.plans.registry import query
 from millrace.session import scratch_path
-from millrace.sources.files import read_json_documents
+from millrace.sources.json_arrays import read_json_array
 from millrace.sources.schemas import EMPLOYEES
 from millrace.sources.tables import Tables
 
@@ -36,7 +36,7 @@ def previous_addresses(employees: DataFrame, *columns: Column) -> DataFrame:
     )
 
 
-#: Bytes of a document file, about; one task reads it.
+#: Bytes of a document file, about; one task writes it.
 DOCUMENT_BYTES = 8 * 1024 * 1024
 
 
@@ -95,10 +95,10 @@ def employee_rows(t: Tables) -> DataFrame:
 
 
 def employees(t: Tables) -> DataFrame:
-    """The documents, written as multi-line JSON and read back with the nested schema."""
+    """The documents, written as multi-line JSON and read back with the nested schema, a file by as many tasks as it needs."""
     path = scratch_path(t.spark, "employees")
     write_json_arrays(employee_rows(t), path)
-    return read_json_documents(t.spark, path, EMPLOYEES)
+    return read_json_array(t.spark, path, EMPLOYEES)
 
 
 _PEOPLE = "customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey"

@@ -33,7 +33,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_json_documents(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """Files that each hold one pretty-printed JSON document or array.
 
-    A file is read by one task, so size the files rather than the cluster.
+    A file is read by one task; ``json_arrays.read_json_array`` divides large ones.
     """
     return spark.read.schema(schema).json(path, multiLine=True)
 

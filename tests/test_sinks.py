@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.sinks.verify import fingerprint, verify
+from millrace.sinks.verify import differing_buckets, differing_rows, fingerprint, verify
 from millrace.sources.jdbc import Database
 
 
@@ -62,6 +62,26 @@ def test_verify_of_nothing(part):
     assert fingerprint(empty).first().n_rows == 0
 
 
+def test_one_changed_row_of_a_million_is_found(spark):
+    written = spark.range(1_000_000).select("id", (F.col("id") % 7).cast("int").alias("v"), F.when(F.col("id") % 3 > 0, "x").alias("side"))
+    found = written.withColumn("v", F.when(F.col("id") == 777_777, None).otherwise(F.col("v")))
+    assert differing_buckets(written, found).count() in (1, 2)
+    rows = {tuple(row) for row in differing_rows(written.drop("side"), found.drop("side")).collect()}
+    assert rows == {(777_777, 777_777 % 7, "written", 1), (777_777, None, "found", 1)}
+
+
+def test_differing_rows_counts_repeats_and_treats_nulls_as_equal(spark):
+    def table(*found):
+        return spark.createDataFrame(found, "a INT, `b.c` STRING")
+
+    one = table((1, "x"), (1, "x"), (None, None), (2, None))
+    other = table((1, "x"), (None, None), (2, ""), (3, "y"), (3, "y"))
+    rows = sorted((tuple(r) for r in differing_rows(one, other).collect()), key=str)
+    assert rows == sorted([(1, "x", "written", 1), (2, None, "written", 1), (2, "", "found", 1), (3, "y", "found", 2)], key=str)
+    assert differing_rows(one, one).count() == 0 and differing_rows(one.limit(0), other.limit(0)).count() == 0
+    assert differing_rows(one, other.limit(0)).agg(F.sum("times")).first()[0] == 4
+
+
 # The database below is embedded in the Spark process; nothing listens on a port.
 
 
@@ -94,10 +114,73 @@ def test_jdbc_split_read_is_whole(database, tables, rows, spark):
     )
     database.write(holes, "split", "overwrite", "s_name VARCHAR(100)")
     read = database.read_split("split", "s_nationkey", 3)
-    assert read.rdd.getNumPartitions() == 3
+    assert read.rdd.getNumPartitions() <= 4
     assert rows(read) == rows(holes)
 
 
+def sizes(df):
+    return df.select(F.spark_partition_id().alias("p")).groupBy("p").count()
+
+
+def test_jdbc_split_parts_are_even_where_keys_crowd(database, spark, rows):
+    crowded = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.col("id") / 30).otherwise(F.col("id") * 10).cast("bigint").alias("k"), F.col("id").alias("pk"),
+        F.concat(F.lit("it's "), F.col("id").cast("string")).alias("name"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 700).cast("int")).alias("day"),
+    )
+    database.write(crowded, "crowded", "overwrite", "name VARCHAR(50)")
+    for columns in ("k", "name", "day", ("k", "pk"), ("name", "k")):
+        read = database.read_split("crowded", columns, 8)
+        assert rows(read) == rows(crowded)
+        counts = [r["count"] for r in sizes(read).collect()]
+        assert len(counts) == 8 and max(counts) <= 2 * 3000 / 8
+
+
+def test_jdbc_split_divides_a_hot_key_by_further_columns(database, spark, rows):
+    hot = spark.range(900).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+                                  F.when(F.col("id") % 5 != 0, F.col("id")).alias("tie"), F.col("id").alias("pk"))
+    database.write(hot, "hot_key", "overwrite", "k VARCHAR(20)")
+    read = database.read_split("hot_key", ("k", "pk"), 6)
+    assert rows(read) == rows(hot) and max(r["count"] for r in sizes(read).collect()) <= 2 * 900 / 6
+    assert rows(database.read_split("hot_key", ("k", "tie"), 6)) == rows(hot)
+    assert rows(database.read_split("hot_key", "k", 1)) == rows(hot)
+
+
+def test_a_load_that_fails_leaves_the_old_rows(database, tables, rows):
+    database.write(tables.supplier, "kept_rows", "overwrite", "s_name VARCHAR(100)")
+    last = tables.supplier.agg(F.max("s_suppkey")).first()[0]
+    breaking = tables.supplier.repartition(4).withColumn(
+        "s_acctbal", F.when(F.col("s_suppkey") == last, F.raise_error(F.lit("half-way")).cast("double")).otherwise(F.col("s_acctbal"))
+    )
+    with pytest.raises(Exception, match="half-way"):
+        database.replace(breaking, "kept_rows", "s_name VARCHAR(100)")
+    assert rows(database.read_table("kept_rows")) == rows(tables.supplier)
+    # What is left of it is overwritten by the next load.
+    assert database.replace(tables.supplier.limit(2), "kept_rows", "s_name VARCHAR(100)").first().same_rows
+    assert database.read_table("kept_rows").count() == 2 and not database.has("kept_rows_staged") and not database.has("kept_rows_old")
+
+
+def test_a_load_that_the_database_changes_is_not_taken(database, tables, rows):
+    database.write(tables.supplier, "exact_rows", "overwrite", "s_name VARCHAR(100)")
+    halves = tables.supplier.withColumn("s_acctbal", F.col("s_acctbal") + 0.001)
+    check = database.replace(halves, "exact_rows", "s_name VARCHAR(100), s_acctbal DECIMAL(12,2)").first()
+    assert not check.same_rows and check.rows_written == check.rows_found
+    assert rows(database.read_table("exact_rows")) == rows(tables.supplier) and not database.has("exact_rows_staged")
+
+
+def test_a_swap_happens_whole_or_not_at_all(database, tables):
+    database.write(tables.supplier.limit(1), "swap_a", "overwrite", "s_name VARCHAR(100)")
+    with pytest.raises(Exception):
+        database.in_one_transaction(database._rename("swap_a", "swap_b"), "DROP TABLE no_such_table")
+    assert database.has("swap_a") and not database.has("swap_b")
+
+
+def test_a_first_load_needs_no_old_table(database, tables):
+    if database.has("first_load"):
+        database.drop("first_load")
+    assert database.replace(tables.supplier, "first_load", "s_name VARCHAR(100)").first().same_rows
+    assert database.read_table("first_load").count() == tables.supplier.count()
+
+
 def test_jdbc_split_read_of_an_empty_table(database, tables):
     database.write(tables.supplier.filter("s_suppkey < 0"), "no_suppliers", "overwrite", "s_name VARCHAR(100)")
     assert database.read_split("no_suppliers", "s_suppkey", 3).count() == 0
