@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import report_line
 from millrace.operators.joins import join_broadcasting
+from millrace.operators.outcomes import outcome
 from millrace.plans.registry import query
 from millrace.session import scratch_path
 from millrace.sinks.verify import differing_rows, verify
@@ -98,6 +99,27 @@ def snk_ignore(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
+@query("""
+    SELECT 'first' AS step, COUNT(*) AS n_rows, NULL::VARCHAR AS error_class FROM part
+    UNION ALL SELECT 'again', NULL, 'PATH_ALREADY_EXISTS'
+    UNION ALL SELECT 'left', COUNT(*), NULL FROM part
+""")
+def snk_error_if_exists(t: Tables) -> DataFrame:
+    """A table written twice in the default mode: the second write is an error and leaves the first alone."""
+    path = scratch_path(t.spark, "parts")
+
+    def write(rows: DataFrame) -> int:
+        rows.write.mode("error").parquet(path)
+        return t.spark.read.parquet(path).count()
+
+    steps = (
+        ("first", lambda: write(t.part)), ("again", lambda: write(t.part.filter(F.col("p_size") < 10))),
+        ("left", lambda: t.spark.read.parquet(path).count()),
+    )
+    found = [outcome(t.spark, label, step) for label, step in steps]
+    return found[0].unionAll(found[1]).unionAll(found[2])
+
+
 @query("SELECT COUNT(*) AS rows_written, COUNT(*) AS rows_found, TRUE AS same_rows FROM orders")
 def snk_verify(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "orders")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ from millrace.operators.layout import (
     rows_of_partition,
     shuffle_width,
 )
-from millrace.operators.reuse import persisted, write_each
+from millrace.operators.reuse import persisted, storage_held, write_each
 from millrace.plans.registry import query
 from millrace.plans.sqltext import exact_sum
 from millrace.session import scoped_session, scratch_path
@@ -152,6 +153,27 @@ def lay_cached_reuse(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
+#: Levels by name. Python's plain levels hold serialized rows already.
+STORAGE_LEVELS = {
+    "memory": StorageLevel.MEMORY_ONLY, "disk": StorageLevel.DISK_ONLY, "memory and disk": StorageLevel.MEMORY_AND_DISK,
+    "memory, objects": StorageLevel.MEMORY_AND_DISK_DESER, "disk, twice": StorageLevel.DISK_ONLY_2,
+}
+
+
+@query("""
+    SELECT level, n_rows, TRUE AS whole, level NOT LIKE 'disk%' AS in_memory, level LIKE 'disk%' AS on_disk, TRUE AS released
+    FROM (SELECT COUNT(*) AS n_rows FROM orders), (VALUES ('memory'), ('disk'), ('memory and disk'), ('memory, objects'), ('disk, twice')) AS l(level)
+""")
+def lay_storage_levels(t: Tables) -> DataFrame:
+    """Each storage level: the rows kept, whether all were, where, and whether they were released.
+
+    Where memory is short, Spark leaves partitions out of memory or moves them to disk, and the
+    report says so.
+    """
+    found = [(name, *storage_held(t.orders.select("o_orderkey", "o_custkey"), level).values()) for name, level in STORAGE_LEVELS.items()]
+    return t.spark.createDataFrame(found, "level STRING, n_rows BIGINT, whole BOOLEAN, in_memory BOOLEAN, on_disk BOOLEAN, released BOOLEAN")
+
+
 @query(f"""
     WITH totals AS (SELECT l_suppkey, {exact_sum('l_extendedprice')} AS total
                     FROM (SELECT DISTINCT * FROM lineitem) GROUP BY l_suppkey)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.quality import malformed_lines, valid_records
+from millrace.operators.outcomes import outcome
 from millrace.operators.reuse import persisted
 from millrace.plans.registry import query
 from millrace.session import scratch_path
@@ -137,3 +138,22 @@ def job_quarantine(t: Tables) -> DataFrame:
     records = output("clean", t.spark.read.parquet(clean), label=F.col("name"), id=F.col("id"), age=F.col("age"), city=city, n=one)
     counts = output("city", t.spark.read.parquet(report), label=city, city=city, n=F.col("count"))
     return records.unionAll(counts).unionAll(output("malformed", read_lines(t.spark, log), label=F.col("value"), n=one))
+
+
+@query(f"""
+    SELECT 'good lines' AS step, (SELECT COUNT(*) FROM orders WHERE {_VALID}) + (SELECT COUNT(*) FROM orders WHERE {_PAIRED}) AS n_rows,
+           NULL::VARCHAR AS error_class
+    UNION ALL SELECT 'all lines', NULL, 'MALFORMED_RECORD_IN_PARSING.WITHOUT_SUGGESTION' FROM (SELECT 1) WHERE EXISTS (SELECT * FROM orders WHERE NOT ({_VALID}))
+    UNION ALL SELECT 'all lines', (SELECT COUNT(*) FROM orders), NULL FROM (SELECT 1) WHERE NOT EXISTS (SELECT * FROM orders WHERE NOT ({_VALID}))
+""")
+def src_json_failfast(t: Tables) -> DataFrame:
+    """Reading that stops at the first broken record: whole over the good lines, an error over all of them."""
+    path, good = record_files(t), scratch_path(t.spark, "good-records")
+    checked = read_json_lines(t.spark, path, CHECKED_PEOPLE)
+    valid_records(checked).select(F.to_json(F.struct("*")).alias("value")).write.text(good)
+
+    def read(folder: str) -> int:
+        # All fields are parsed into rows; a count alone would need none of them.
+        return read_json_lines(t.spark, folder, PEOPLE, mode="FAILFAST").select(F.xxhash64(F.to_json(F.struct("*"))).alias("h")).agg(F.count("h")).first()[0]
+
+    return outcome(t.spark, "good lines", lambda: read(good)).unionAll(outcome(t.spark, "all lines", lambda: read(path)))
