@@ -1,10 +1,10 @@
 """How sources of one language differ in their words, by a recount over minimal perfect hashes.
 
 The first pass finds the terms of each language that enough of its documents hold, exactly.
-They are dealt into shards by hash; each shard becomes a minimal perfect hash that stores its
-keys, so a term that is not kept is told from one that is. The second pass reads the texts
-again with the shards broadcast and adds up dense arrays, one slot per term, for each
-(language, source). Shards that exceed what one broadcast may hold go in rounds, each
+They are dealt into shards of a language by hash; each shard becomes a minimal perfect hash that
+stores its keys, so a term that is not kept is told from one that is. The second pass reads the
+texts again with the shards broadcast and adds up dense arrays, one slot per term, for each
+(language, source). Sources are compared shard by shard on these arrays. Shards that exceed what one broadcast may hold go in rounds, each
 over all texts, so the broadcast stays bounded whatever the vocabulary is.
 """
 
@@ -16,8 +16,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.shingles import mix
@@ -29,9 +31,12 @@ SCALE = 1_000_000_000
 SHARD_KEYS = 32_768
 ROUND_BYTES = 48 << 20
 _TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+_BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 _U = np.uint64
 #: What a task holds before it hands on counts: distinct terms, and slots.
-_HELD_TERMS, _HELD_SLOTS = 200_000, 4 << 20
+_HELD_TERMS, _HELD_SLOTS = 200_000, 8 << 20
+_LARGEST_BLOCK = 1 << 16
+_COUNTS = "lang string, source string, shard int, salt int, slots array<int>, counts array<long>"
 
 
 def terms(text: bytes) -> list[bytes]:
@@ -39,10 +44,6 @@ def terms(text: bytes) -> list[bytes]:
     return _TERM.findall(text.lower())  # of bytes: ASCII only
 
 
-def _keyed(lang: bytes, found) -> list[bytes]:
-    return [lang + b"\x00" + term for term in found]
-
-
 def _hashed(keys: list[bytes]) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(key) for key in keys], dtype=_U)
 
@@ -147,137 +148,187 @@ def kept_terms(docs: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
     return found.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= least).select("lang", "term")
 
 
-def shards(vocabulary: DataFrame, shard_keys: int = SHARD_KEYS) -> tuple[DataFrame, int]:
-    """``shard, blob, size``: a perfect hash per shard of about ``shard_keys`` terms, and the number of shards."""
-    n_shards = max(1, -(-vocabulary.count() // shard_keys))
+def shards(vocabulary: DataFrame, shard_keys: int = SHARD_KEYS) -> DataFrame:
+    """``lang, shards, shard, blob, size, keys``: a perfect hash per shard of about ``shard_keys`` terms of one language."""
+    sizes = vocabulary.groupBy(F.col("lang").alias("of")).agg(F.ceil(F.count("*") / shard_keys).cast("int").alias("shards"))
 
     def dealt(batches):
         for batch in batches:
-            keys = [lang + b"\x00" + term for lang, term in zip(raw_bytes(batch.column(0)), raw_bytes(batch.column(1)))]
-            at = (_hashed(keys) % _U(n_shards)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(keys, pa.binary())], names=["shard", "key"])
+            of = np.array(batch.column(2).to_pylist(), dtype=_U)
+            at = (_hashed(raw_bytes(batch.column(1))) % of).astype(np.int32) if len(of) else np.zeros(0, np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(at)], names=["lang", "term", "shards", "shard"])
 
     def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        blob = PerfectHash(sorted(rows["key"].tolist())).dump()
-        return pd.DataFrame([(int(key[0]), blob, len(blob))], columns=["shard", "blob", "size"])
+        blob = PerfectHash(sorted(term.encode() for term in rows["term"])).dump()
+        return pd.DataFrame([(*key, blob, len(blob), len(rows))], columns=["lang", "shards", "shard", "blob", "size", "keys"])
 
-    rows = vocabulary.mapInArrow(dealt, "shard int, key binary")
-    return stored(rows.groupBy("shard").applyInPandas(build, "shard int, blob binary, size long"), "divergence-shards"), n_shards
+    rows = vocabulary.join(sizes, F.col("lang") == F.col("of")).select("lang", "term", "shards")
+    rows = rows.mapInArrow(dealt, "lang string, term string, shards int, shard int")
+    built = rows.groupBy("lang", "shards", "shard").applyInPandas(build, "lang string, shards int, shard int, blob binary, size long, keys int")
+    return stored(built, "divergence-shards")
 
 
 def slots(hashes: DataFrame) -> DataFrame:
-    """``shard, slot, lang, term`` of every stored key."""
+    """``lang, shard, slot, term`` of every stored key."""
 
     def listed(batches):
         for batch in batches:
-            for shard, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                pairs = [key.rsplit(b"\x00", 1) for key in PerfectHash.parse(blob)]
+            for row, (shard, blob) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+                found = PerfectHash.parse(blob)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(pairs), shard, np.int32)), pa.array(np.arange(len(pairs), dtype=np.int32)),
-                        pa.array([lang for lang, _ in pairs], pa.binary()).cast(pa.string()), pa.array([term for _, term in pairs], pa.binary()).cast(pa.string()),
+                        batch.column(0).take(pa.array(np.full(len(found), row))), pa.array(np.full(len(found), shard, np.int32)),
+                        pa.array(np.arange(len(found), dtype=np.int32)), pa.array(found, pa.binary()).cast(pa.string()),
                     ],
-                    names=["shard", "slot", "lang", "term"],
+                    names=["lang", "shard", "slot", "term"],
                 )
 
-    return hashes.select("shard", "blob").mapInArrow(listed, "shard int, slot int, lang string, term string")
+    return hashes.select("lang", "shard", "blob").mapInArrow(listed, "lang string, shard int, slot int, term string")
 
 
-def recounted(docs: DataFrame, hashes: DataFrame, n_shards: int, round_bytes: int = ROUND_BYTES) -> DataFrame:
-    """``lang, source, shard, slot, n``: occurrences of the kept terms in each (language, source), none of zero."""
+def recounted(docs: DataFrame, hashes: DataFrame, round_bytes: int = ROUND_BYTES) -> DataFrame:
+    """``lang, source, shard, slots, counts``: occurrences of the kept terms in each (language, source), none of zero."""
     spark = docs.sparkSession
-    largest = hashes.agg(F.max("size")).first()[0] or 1
-    per_round = max(1, round_bytes // largest)
+    # Shards are far smaller than half a round, so none of the rounds, dealt by hash, comes near the whole.
+    rounds = max(1, -(-(hashes.agg(F.sum("size")).first()[0] or 0) * 2 // round_bytes))
     found = None
-    for first in range(0, n_shards, per_round):
-        rows = hashes.filter(F.col("shard").between(first, first + per_round - 1)).select("shard", "blob").collect()  # round_bytes at most
-        sent = spark.sparkContext.broadcast([(row["shard"], bytes(row["blob"])) for row in rows])
-        part = stored(_read(docs).mapInArrow(_counting(sent, n_shards), _COUNTS), "divergence-counts")
+    for number in range(rounds):
+        of_round = hashes.filter(F.pmod(F.xxhash64("lang", "shard"), F.lit(rounds)) == number)
+        rows = of_round.select("lang", "shards", "shard", "blob").collect()  # round_bytes at most
+        sent = spark.sparkContext.broadcast([(row["lang"], row["shards"], row["shard"], bytes(row["blob"])) for row in rows])
+        part = stored(_read(docs).mapInArrow(_counting(sent), _COUNTS), "divergence-counts")
         found = part if found is None else found.unionAll(part)
-    return found.groupBy("lang", "source", "shard", "slot").agg(F.sum("n").alias("n"))
-
-
-_COUNTS = "lang string, source string, shard int, slot int, n long"
-
-
-def _counting(sent, n_shards: int):
+    # Twice, so that no task adds up the arrays of all tasks for a group.
+    kinds = "lang string, source string, shard int, {}slots array<int>, counts array<long>"
+    for salt in (("salt",), ()):
+        by = ("lang", "source", "shard", *salt)
+        found = found.select(*by, "slots", "counts").groupBy(*by).applyInArrow(_added_up, kinds.format("salt int, " if salt else ""))
+    return found
+
+
+def _added_up(table: pa.Table) -> pa.Table:
+    """The sum of the slot arrays of one group and shard."""
+    table = table.combine_chunks()
+    lists = [column.chunk(0) for column in (table.column("slots"), table.column("counts"))]
+    slot, counts = (column.flatten().to_numpy() for column in lists)
+    dense = np.zeros(int(slot.max()) + 1 if len(slot) else 0, np.int64)
+    np.add.at(dense, slot, counts)
+    kept = np.flatnonzero(dense)
+    sums = {"slots": pa.array([kept.astype(np.int32)], pa.list_(pa.int32())), "counts": pa.array([dense[kept]], pa.list_(pa.int64()))}
+    return pa.table({name: sums.get(name, table.column(name).slice(0, 1)) for name in table.column_names})
+
+
+def _counting(sent):
     def count(batches):
-        tables = {shard: PerfectHash(PerfectHash.parse(blob)) for shard, blob in sent.value}
+        tables, dealt = {}, {}
+        for lang, n_shards, shard, blob in sent.value:
+            tables[lang, shard] = PerfectHash(PerfectHash.parse(blob))
+            dealt[lang] = n_shards
+        salt = TaskContext.get().partitionId() % 32
         dense: dict[tuple, np.ndarray] = {}
-        counts: dict[tuple, Counter] = defaultdict(Counter)
         held = 0
 
-        def place():
-            """Counted terms to their slots; terms that are not stored go."""
+        def add(lang: str, sources: pa.Array, texts: pa.Array):
+            """The terms of texts of one language: each different one is looked up once."""
             nonlocal held
-            for group, counter in counts.items():
-                keys = np.array(_keyed(group[0], counter), dtype=object)
-                if not len(keys):
+            lists = pc.split_pattern_regex(pc.ascii_lower(texts), _BETWEEN)
+            owner = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+            coded = lists.flatten().dictionary_encode()
+            found, at = np.array(raw_bytes(coded.dictionary), dtype=object), coded.indices.to_numpy()
+            hashed = _hashed(found.tolist())
+            shard = (hashed % _U(dealt[lang])).astype(np.int64)
+            named = sources.dictionary_encode()
+            order = np.argsort(named.indices.to_numpy()[owner], kind="stable")
+            at, bounds = at[order], np.cumsum(np.bincount(named.indices.to_numpy()[owner], minlength=len(named.dictionary)))
+            for of in np.unique(shard).tolist():
+                if (lang, of) not in tables:
                     continue
-                hashed, times = _hashed(keys.tolist()), np.fromiter(counter.values(), np.int64, len(counter))
-                shard = (hashed % _U(n_shards)).astype(np.int64)
-                for of in np.unique(shard).tolist():
-                    if of not in tables:
-                        continue
-                    own = np.flatnonzero(shard == of)
-                    slot = tables[of].slots(keys[own], hashed[own])
-                    if (at := (*group, of)) not in dense:
-                        dense[at] = np.zeros(len(tables[of]), np.int64)
-                        held += len(dense[at])
-                    known = slot >= 0
-                    dense[at][slot[known]] += times[own[known]]
-            counts.clear()
+                own = np.flatnonzero(shard == of)
+                place = np.full(len(found), -1, np.int64)
+                place[own] = tables[lang, of].slots(found[own], hashed[own])
+                placed = place[at]
+                for k, source in enumerate(named.dictionary.to_pylist()):
+                    slot = placed[bounds[k - 1] if k else 0 : bounds[k]]
+                    slot = slot[slot >= 0]
+                    if len(slot):
+                        if (lang, source, of) not in dense:
+                            dense[lang, source, of] = np.zeros(len(tables[lang, of]), np.int64)
+                            held += len(tables[lang, of])
+                        np.add.at(dense[lang, source, of], slot, 1)
 
         def flush():
             nonlocal held
-            for (lang, source, shard), slots_of in dense.items():
-                slot = np.flatnonzero(slots_of)
+            for (lang, source, shard), counts in dense.items():
+                slot = np.flatnonzero(counts)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([lang.decode()] * len(slot), pa.string()), pa.array([source.decode()] * len(slot), pa.string()),
-                        pa.array(np.full(len(slot), shard, np.int32)), pa.array(slot.astype(np.int32)), pa.array(slots_of[slot]),
+                        pa.array([lang]), pa.array([source]), pa.array([shard], pa.int32()), pa.array([salt], pa.int32()),
+                        pa.array([slot.astype(np.int32)], pa.list_(pa.int32())), pa.array([counts[slot]], pa.list_(pa.int64())),
                     ],
-                    names=["lang", "source", "shard", "slot", "n"],
+                    names=["lang", "source", "shard", "salt", "slots", "counts"],
                 )
             dense.clear()
             held = 0
 
         for batch in batches:
             for part in portions(batch, 1):
-                for lang, text, source in zip(*(raw_bytes(part.column(k)) for k in range(3))):
-                    counts[lang, source].update(terms(text))
-                if sum(map(len, counts.values())) > _HELD_TERMS:
-                    place()
+                langs = part.column(0).dictionary_encode()
+                for k, lang in enumerate(langs.dictionary.to_pylist()):
+                    if lang in dealt:
+                        own = part.take(pa.array(np.flatnonzero(langs.indices.to_numpy() == k)))
+                        add(lang, own.column(2), own.column(1))
                 if held > _HELD_SLOTS:
                     yield from flush()
-        place()
         yield from flush()
 
     return count
 
 
-def share(count: Column, total: Column, terms_kept: Column) -> Column:
-    """``1 + floor(SCALE * (count + 1) / (total + terms_kept))``, exactly, for counts of up to 28 digits."""
-    wide = "decimal(28,0)"
-    return F.expr("1L") + F.call_function(
-        "div", (count.cast("long") + 1).cast(wide) * F.lit(SCALE).cast("decimal(10,0)"), (total + terms_kept).cast(wide)
-    )
-
-
-def _pair_sums(key: tuple, cells: pd.DataFrame, groups: pd.DataFrame) -> pd.DataFrame:
-    """For one block of slots: the sum of the pair values over its slots, for every two sources."""
-    part, parts = int(groups["part"].iloc[0]), int(groups["parts"].iloc[0])
-    groups = groups.sort_values("source")
-    names = groups["source"].to_numpy()
-    where = {name: i for i, name in enumerate(names.tolist())}
-    slot, _ = pd.factorize(cells["shard"].astype(np.int64) * (1 << 32) + cells["slot"])
-    p = np.repeat(groups["p_none"].to_numpy(np.int64)[:, None], slot.max() + 1 if len(slot) else 0, axis=1)
-    p[cells["source"].map(where).to_numpy(np.int64), slot] = cells["p"].to_numpy(np.int64)
-    out = []
+def shares(counts: np.ndarray, total: int, kept: int) -> np.ndarray:
+    """``1 + floor(SCALE * (count + 1) / (total + kept))``, exactly."""
+    wide = counts.astype(object) if total >= 2**63 // SCALE - 1 else counts
+    return (1 + SCALE * (wide + 1) // (total + kept)).astype(np.int64)
+
+
+def _compared(key: tuple, cells: pa.Table, groups: pa.Table, top: int) -> pa.Table:
+    """For one block of slots of a language: sums of the pair values, and the terms that mark each source most."""
+    lang, shard, _, part = (value.as_py() for value in key)
+    groups = groups.combine_chunks().sort_by("source")
+    names, parts = groups.column("source").to_pylist(), groups.column("parts")[0].as_py()
+    totals, kept, lang_total = groups.column("total").to_pylist(), groups.column("v")[0].as_py(), groups.column("lang_total")[0].as_py()
+    where = {name: i for i, name in enumerate(names)}
+    rows = [where[name] for name in cells.column("source").to_pylist()]
+    lists = [[np.asarray(value.values) for value in cells.column(name)] for name in ("slots", "counts")]
+    slot = np.unique(np.concatenate([np.zeros(0, np.int32), *lists[0]]))
+    n = np.zeros((len(names), len(slot)), np.int64)
+    for row, at, counts in zip(rows, *lists):
+        n[row, np.searchsorted(slot, at)] = counts
+    p = np.stack([shares(n[i], totals[i], kept) for i in range(len(names))]) if kept else n
+    out = {"source": [], "item": [], "slot": [], "value": []}
     for i in range(part, len(names), parts):
         gap = p[i] - p
-        out.append(pd.DataFrame({"lang": groups["lang"].iloc[0], "source": names[i], "item": names, "value": (gap * gap // p).sum(axis=1)}).drop(i))
-    return pd.concat(out) if out else pd.DataFrame({"lang": [], "source": [], "item": [], "value": []})
+        others = [j for j in range(len(names)) if j != i]
+        out["source"] += [names[i]] * len(others)
+        out["item"] += [names[j] for j in others]
+        out["slot"] += [None] * len(others)
+        out["value"] += ((gap * gap // p).sum(axis=1)[others] if len(slot) else np.zeros(len(others), np.int64)).tolist()
+    if part == 0 and len(slot):
+        q = shares(n.sum(axis=0), lang_total, kept)
+        for i, name in enumerate(names):
+            own = np.flatnonzero((n[i] > 0) & (p[i] > q))
+            value = (p[i] - q)[own] ** 2 // q[own]
+            if len(own) > top:  # all that are as high as the last of the first ones: ties are settled by name later
+                best = value >= np.partition(value, -top)[-top]
+                own, value = own[best], value[best]
+            out["source"] += [name] * len(own)
+            out["item"] += [None] * len(own)
+            out["slot"] += slot[own].tolist()
+            out["value"] += value.tolist()
+    size = len(out["source"])
+    return pa.table({
+        "lang": pa.array([lang] * size, pa.string()), "shard": pa.array([shard] * size, pa.int32()), "source": pa.array(out["source"], pa.string()),
+        "item": pa.array(out["item"], pa.string()), "slot": pa.array(out["slot"], pa.int32()), "value": pa.array(out["value"], pa.int64()),
+    })
 
 
 def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP, shard_keys: int = SHARD_KEYS, round_bytes: int = ROUND_BYTES) -> DataFrame:
@@ -291,46 +342,53 @@ def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP, shard_keys:
     not read.
     """
     vocabulary = stored(kept_terms(docs, least), "divergence-terms")
-    hashes, n_shards = shards(vocabulary, shard_keys)
-    by_slot = Window.partitionBy("shard", "slot")
-    counts = recounted(docs, hashes, n_shards, round_bytes).withColumn("lang_n", F.sum("n").over(by_slot))
-    counts = stored(counts, "divergence-recount")
+    hashes = shards(vocabulary, shard_keys)
+    counts = stored(recounted(docs, hashes, round_bytes), "divergence-recount")
 
     # One row per language, and per (language, source).
-    sizes = vocabulary.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("v"))
-    sums = counts.groupBy("lang", "source").agg(F.sum("n").alias("total")).withColumnsRenamed({"lang": "l", "source": "s"})
+    sizes = hashes.groupBy(F.col("lang").alias("of")).agg(F.sum("keys").alias("v"))
+    own = F.aggregate("counts", F.lit(0).cast("long"), lambda total, count: total + count)
+    sums = counts.groupBy(F.col("lang").alias("l"), F.col("source").alias("s")).agg(F.sum(own).alias("total"))
     groups = _read(docs).select("lang", "source").distinct()
     groups = groups.join(sizes, F.col("lang") == F.col("of"), "left").join(sums, (F.col("lang") == F.col("l")) & (F.col("source") == F.col("s")), "left")
     groups = stored(groups.select("lang", "source", F.coalesce("v", F.lit(0)).alias("v"), F.coalesce("total", F.lit(0)).alias("total")), "divergence-groups")
-    langs = groups.groupBy(F.col("lang").alias("of")).agg(F.max("v").alias("v"), F.sum("total").alias("lang_total"), F.count("*").alias("n_sources"))
-    groups = groups.join(langs.select("of", "lang_total", "n_sources"), F.col("lang") == F.col("of")).drop("of")
-    p_none = F.when(F.col("v") > 0, share(F.lit(0), F.col("total"), F.col("v"))).otherwise(1)
-    # A block has a few million cells, a part of it a million pairs.
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("v") * F.col("n_sources") / (2 << 20)).cast("int"))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("n_sources") * F.col("n_sources") / (1 << 20)).cast("int"))
-    groups = stored(groups.select("*", p_none.alias("p_none"), blocks.alias("blocks"), parts.alias("parts")), "divergence-groups")
-
-    named = groups.select(F.col("lang").alias("l"), F.col("source").alias("s"), "v", "total", "lang_total", "blocks", "parts")
-    cells = counts.join(named, (F.col("lang") == F.col("l")) & (F.col("source") == F.col("s"))).select(
-        "lang", "source", "shard", "slot", share(F.col("n"), F.col("total"), F.col("v")).alias("p"),
-        share(F.col("lang_n"), F.col("lang_total"), F.col("v")).alias("q"), "blocks", "parts",
+    langs = groups.groupBy(F.col("lang").alias("of")).agg(F.sum("total").alias("lang_total"), F.count("*").alias("n_sources"))
+    # A block has a few million counts, a part of it a million pairs.
+    width = F.greatest(F.lit(1), F.least(F.lit(_LARGEST_BLOCK), F.floor(F.lit(4 << 20) / F.col("n_sources")))).cast("int").alias("width")
+    parts = F.greatest(F.lit(1), F.ceil(F.col("n_sources") * F.col("n_sources") / (1 << 20))).cast("int").alias("parts")
+    langs = stored(langs.select("of", "lang_total", width, parts), "divergence-languages")
+    every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+
+    cells = counts.join(langs.select("of", "width", "parts"), F.col("lang") == F.col("of"))
+    pairs = F.arrays_zip("slots", "counts")
+    blocks = F.array_distinct(F.transform("slots", lambda slot: F.floor(slot / F.col("width")).cast("int")))
+    cells = cells.select("lang", "source", "shard", "slots", "counts", pairs.alias("pairs"), "width", "parts", (F.size(blocks) == 1).alias("whole"), F.explode(blocks).alias("block"))
+    inside = F.filter("pairs", lambda pair: F.floor(pair["slots"] / F.col("width")) == F.col("block"))
+    cells = cells.select(
+        "lang", "shard", "block", every_part, "source", F.when(F.col("whole"), F.col("slots")).otherwise(inside["slots"]).alias("slots"),
+        F.when(F.col("whole"), F.col("counts")).otherwise(inside["counts"]).alias("counts"),
     )
-    cells = stored(cells, "divergence-cells")
+    of_shards = hashes.select(F.col("lang").alias("l"), "shard", "keys")
+    against = groups.join(langs, F.col("lang") == F.col("of")).join(of_shards, F.col("lang") == F.col("l"), "left")
+    last = F.greatest(F.lit(0), F.floor((F.coalesce("keys", F.lit(1)) - 1) / F.col("width")).cast("int"))
+    against = against.select("lang", F.coalesce("shard", F.lit(0)).alias("shard"), "source", "v", "total", "lang_total", "parts", every_part, last.alias("last"))
+    against = against.select("*", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("block")).drop("last")
+    by = ("lang", "shard", "block", "part")
+
+    def compare(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        return _compared(key, left, right, top)
+
+    found = cells.groupBy(*by).cogroup(against.groupBy(*by)).applyInArrow(
+        compare, "lang string, shard int, source string, item string, slot int, value long"
+    )
+    found = stored(found, "divergence-values")
 
-    block = F.pmod(F.hash("shard", "slot"), F.col("blocks")).alias("block")
-    every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-    of_cells = cells.select("lang", block, every_part, "source", "shard", "slot", "p")
-    of_groups = groups.select("lang", "source", "p_none", "parts", "blocks", every_part)
-    of_groups = of_groups.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    by = ("lang", "block", "part")
-    sums = of_cells.groupBy(*by).cogroup(of_groups.groupBy(*by)).applyInPandas(_pair_sums, "lang string, source string, item string, value long")
-    pairs = sums.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
+    pairs = found.filter("slot is null").groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", "value", F.row_number().over(order).alias("rank"))
-
-    gap = F.col("p") - F.col("q")
-    marked = cells.filter("p > q").select("lang", "source", "shard", "slot", F.call_function("div", gap * gap, F.col("q")).alias("value"))
-    terms_of = slots(hashes).select(F.col("shard").alias("a"), F.col("slot").alias("b"), F.col("term").alias("item"))
-    marked = marked.join(terms_of, (F.col("shard") == F.col("a")) & (F.col("slot") == F.col("b")))
+    names = slots(hashes).toDF("l", "h", "at", "term")
+    marked = found.filter("slot is not null").drop("item").join(
+        names, (F.col("lang") == F.col("l")) & (F.col("shard") == F.col("h")) & (F.col("slot") == F.col("at"))
+    ).withColumnRenamed("term", "item")
     ranked = marked.select("lang", "source", F.lit("term").alias("part"), "item", "value", F.row_number().over(order).alias("rank"))
     return pairs.unionAll(ranked.filter(F.col("rank") <= top))
