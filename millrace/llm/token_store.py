@@ -13,62 +13,173 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from millrace.llm.tools import Recent, held
+from millrace.llm.shingles import mix
+from millrace.llm.tools import held, portions
 
 END_ID = 0
+_U = np.uint64
+_RANDOM = np.random.default_rng(0x70CE)
+_BASES, _BYTES = _RANDOM.integers(0, 2**63, 2, dtype=_U) * _U(2) + _U(1), _RANDOM.integers(0, 2**64, (2, 256), dtype=_U)
 _STORED = "doc_id long, shard int, at long, n_tokens long, ids array<int>"
 
 
+class Known:
+    """Ids of pieces that were encoded before, in a few arrays: about 30 bytes a piece, found by 128 bits of hash."""
+
+    def __init__(self, room: int, kind: type):
+        self.room = room
+        self.clear(kind)
+
+    def clear(self, kind: type) -> None:
+        self.first, self.second = np.zeros(0, _U), np.zeros(0, _U)
+        self.start, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, kind)
+
+    def find(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The place of each piece, -1 for those not known."""
+        at = np.searchsorted(self.first, first)
+        at[at == len(self.first)] = 0
+        if not len(self.first):
+            return np.full(len(first), -1)
+        return np.where((self.first[at] == first) & (self.second[at] == second), at, -1)
+
+    def add(self, first: np.ndarray, second: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        """Pieces, how many ids each has, and these ids one after the other."""
+        if len(self.first) + len(first) > self.room:
+            self.clear(self.ids.dtype.type)
+        start = len(self.ids) + np.cumsum(size, dtype=np.int64) - size
+        order = np.argsort(first, kind="stable")
+        at = np.searchsorted(self.first, first[order])
+        for name, values in (("first", first), ("second", second), ("start", start), ("size", size.astype(np.int32))):
+            setattr(self, name, np.insert(getattr(self, name), at, values[order]))
+        self.ids = np.concatenate((self.ids, ids.astype(self.ids.dtype)))
+
+
 class Encoder:
-    """Ids of whole texts, little-endian, four bytes each.
+    """Ids of whole texts, as the library gives them.
 
     The vocabulary's pre-tokenizer never joins what lies before a single space or newline with
-    what follows, so pieces between them are encoded once and remembered. Texts with other white
-    space between words (runs, tabs at an edge) go through the library in one piece. Strings
-    that look like special tokens are ordinary text.
+    what follows, so pieces between them are encoded by themselves: every different piece of a
+    batch once, and once in the life of a worker while there is room. A text that holds a piece which cannot
+    stand alone (next to runs of white space, or with a special token) goes through the library whole.
     """
 
-    def __init__(self, path: str, room: int = 750_000):
+    #: What stands before a piece: a space, the start of the text, the start of a later line.
+    BEFORE = (" ", "", "\n")
+    #: Pieces up to so many bytes are remembered.
+    SHORT = 64
+    #: So many new pieces go to the library at once.
+    TOGETHER = 2000
+
+    def __init__(self, path: str, room: int = 3_000_000):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        #: Pieces at the start of a line, and after a space; empty ids mean that the piece cannot stand alone.
-        self.first, self.later = Recent(room // 10), Recent(room)
-        self.newline = self._ids("\n")
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _learn(self, piece: str, memo: Recent, before: str) -> bytes:
-        ids = memo.recall(piece)
-        if ids is None:
-            joined = not piece or piece[0].isspace() or piece[-1].isspace()
-            ids = b"" if joined else self._ids(before + piece)
-            if len(piece) <= 64:
-                memo.keep(piece, ids)
-        return ids
-
-    def _pieces(self, text: str) -> bytes | None:
-        lines = []
-        first, later = self.first.young, self.later.young
-        for line in text.split("\n"):
-            head, *rest = line.split(" ")
-            out = [first.get(head) or self._learn(head, self.first, "")]
-            out += [later.get(piece) or self._learn(piece, self.later, " ") for piece in rest]
-            if b"" in out:
-                return None
-            lines.append(b"".join(out))
-        return self.newline.join(lines)
-
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        ids = self._pieces(text)
-        return self._ids(text) if ids is None else ids
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known = Known(room, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _together(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that each follow a space, told apart by the places of their characters, and how many each has."""
+        ids, sizes = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        for first in range(0, len(pieces), self.TOGETHER):
+            part = pieces[first : first + self.TOGETHER]
+            encoding = self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
+            starts = np.cumsum([0] + [len(piece) + 1 for piece in part])
+            of = np.searchsorted(starts, np.array([at for at, _ in encoding.offsets]), side="right") - 1
+            ids.append(np.array(encoding.ids, dtype="<u4"))
+            sizes.append(np.bincount(of, minlength=len(part)))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _alone(self, piece: str) -> bool:
+        return bool(piece) and not (piece[0].isspace() or piece[-1].isspace() or any(token in piece for token in self.special))
+
+    @staticmethod
+    def _hashes(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Two hashes of each piece, and its bytes. Only those of short pieces are used."""
+        offsets = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset : pieces.offset + len(pieces) + 1].astype(np.int64)
+        sizes, longest = np.diff(offsets), Encoder.SHORT
+        data = np.frombuffer(pieces.buffers()[2], np.uint8) if pieces.buffers()[2] else np.zeros(0, np.uint8)
+        one, two = sizes.astype(_U), sizes.astype(_U)
+        rows = np.flatnonzero(sizes <= longest)
+        for place in range(longest):
+            rows = rows[sizes[rows] > place]
+            if not len(rows):
+                break
+            byte = data[offsets[rows] + place]
+            one[rows] = one[rows] * _BASES[0] + _BYTES[0][byte]
+            two[rows] = two[rows] * _BASES[1] + _BYTES[1][byte]
+        return one, two, sizes
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, each with the end id, and how many each has. Null is empty."""
+        if not len(texts):
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        texts = pc.fill_null(texts, "")
+        lines = pc.split_pattern(texts, "\n")
+        pieces = pc.split_pattern(lines.flatten(), " ")
+        line_at = pieces.offsets.to_numpy().astype(np.int64)
+        text_at = line_at[lines.offsets.to_numpy()]
+        line_at, text_at = line_at - text_at[0], text_at - text_at[0]
+        coded = pieces.flatten().dictionary_encode()
+        kind = np.zeros(text_at[-1], np.int64)
+        kind[line_at[:-1]] = 2
+        kind[text_at[:-1]] = 1
+        code = coded.indices.to_numpy().astype(np.int64) * 3 + kind
+        present = np.zeros(3 * len(coded.dictionary), bool)
+        present[code] = True
+        different = np.flatnonzero(present)
+
+        of, before = different // 3, different % 3
+        one, two, sizes = self._hashes(coded.dictionary)
+        one, two = mix(one[of] + before.astype(_U)), mix(two[of] + before.astype(_U))
+        place = np.where(sizes[of] <= self.SHORT, self.known.find(one, two), -1)
+        extra: dict[int, np.ndarray] = {}
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            named = coded.dictionary.take(pa.array(of[new])).to_pylist()
+            alone = [i for i, piece in enumerate(named) if self._alone(piece)]
+            spaced = [i for i in alone if before[new[i]] == 0 and sizes[of[new[i]]] <= self.SHORT]
+            ids, counts = self._together([named[i] for i in spaced])
+            single = {i: self.whole(self.BEFORE[before[new[i]]] + named[i]) for i in sorted({*alone} - {*spaced})}
+            short = [i for i in single if sizes[of[new[i]]] <= self.SHORT]
+            rows = new[np.array(spaced + short, np.int64)]
+            ids = np.concatenate([ids, *(single[i] for i in short)])
+            self.known.add(one[rows], two[rows], np.append(counts, [len(single[i]) for i in short]).astype(np.int64), ids)
+            # Adding moves places, and may have made room by forgetting.
+            place = np.where(sizes[of] <= self.SHORT, self.known.find(one, two), -1)
+            extra = {int(new[i]): found for i, found in single.items() if place[new[i]] < 0}
+            if (place[np.setdiff1d(np.arange(len(different)), new)] < 0).any():
+                return self.encode(texts, end_id)  # now into an empty memory
+        size = np.where(place >= 0, self.known.size[place] if len(self.known.size) else 0, 0).astype(np.int64)
+        start = np.where(place >= 0, self.known.start[place] if len(self.known.start) else 0, 0)
+        table, at = [self.known.ids.astype("<u4") if extra else self.known.ids], len(self.known.ids)
+        for row, found in extra.items():
+            size[row], start[row] = len(found), at
+            table.append(found)
+            at += len(found)
+        table = np.concatenate(table) if extra else table[0]
+
+        which = (np.cumsum(present) - 1)[code]
+        n = size[which]
+        ends = np.cumsum(n)
+        values = table[np.repeat(start[which] - ends + n, n) + np.arange(ends[-1])].astype("<u4")
+        joined = np.append(0, np.cumsum(n == 0))
+        bounds = np.append(0, ends)[text_at]
+        out, counts, end = [], np.diff(bounds) + 1, np.array([end_id], "<u4")
+        for row in range(len(texts)):
+            if joined[text_at[row + 1]] == joined[text_at[row]]:
+                out.append(values[bounds[row] : bounds[row + 1]])
+            else:
+                out.append(self.whole(texts[row].as_py()))
+                counts[row] = len(out[-1]) + 1
+            out.append(end)
+        return np.concatenate(out), counts
 
 
 def encoder_of(path: str) -> Encoder:
@@ -82,21 +193,16 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, key: str
     Null and empty texts hold the end id alone; documents with equal or null keys all stay,
     nulls first, equal keys in order of their text. Other columns are not kept.
     """
-    end = np.array([end_id], dtype="<u4").tobytes()
-
     def encode(batches):
         encoder, shard, at = encoder_of(tokenizer_path), TaskContext.get().partitionId(), 0
         for batch in batches:
-            # A few megabytes of ids at a time, whatever the length of the texts.
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                each = [encoder.encode(value or "") + end for value in part.column(1).to_pylist()]
-                sizes = np.array([len(ids) // 4 for ids in each], dtype=np.int64)
+            # A few megabytes of text at a time; a longer text stands alone.
+            for part in portions(batch, 1):
+                values, sizes = encoder.encode(part.column(1), end_id)
                 offsets = np.concatenate(([0], np.cumsum(sizes)))
-                values = pa.array(np.frombuffer(b"".join(each), dtype="<i4"))
-                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view("<i4")))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(np.full(len(each), shard, np.int32)), pa.array(at + offsets[:-1]), pa.array(sizes), lists],
+                    [part.column(0), pa.array(np.full(len(sizes), shard, np.int32)), pa.array(at + offsets[:-1]), pa.array(sizes), lists],
                     names=["doc_id", "shard", "at", "n_tokens", "ids"],
                 )
                 at += int(offsets[-1])

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -14,7 +15,6 @@ from millrace.session import scratch_path
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -22,9 +22,17 @@ def test_encoder_equals_the_library(library):
     rng = random.Random(4)
     parts = ["a", "word", "Word's", "12", "34567", "...", "é", "中文", "🙂", " ", "  ", "\n", "\n\n", "\t", "\r\n", " ", "<|endoftext|>", "x" * 90]
     encoder = token_store.Encoder(public_tokenizers.path("byte_bpe_50k.json"), room=50)
-    for _ in range(1500):
-        text = "".join(rng.choice(parts) for _ in range(rng.randrange(12)))
-        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library(text)
+    for batch in range(60):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(40)]
+        if batch % 3:
+            texts += [" ".join(rng.choice(parts).strip() or "x" for _ in range(30)) for _ in range(10)]
+        texts[3] = None
+        values, sizes = encoder.encode(pa.array(texts), 0)
+        assert values.tolist() == [i for text in texts for i in [*library(text or ""), 0]]
+        assert sizes.tolist() == [len(library(text or "")) + 1 for text in texts]
+    sliced = pa.array(["a b", "c\nd e", "f  g", "<|endoftext|> h"]).slice(1, 3)
+    assert encoder.encode(sliced, 7)[0].tolist() == [i for text in sliced.to_pylist() for i in [*library(text), 7]]
+    assert library("a <|endoftext|> b") == [64, 220, 50256, 275]
 
 
 def check_store(spark, docs, library):
