@@ -1,5 +1,7 @@
 """Every registered query against its SQL, on the given tables and on skewed copies."""
 
+import sys
+
 import duckdb
 import pytest
 from oracle import compare, connect
@@ -61,5 +63,10 @@ def test_matches_sql_with_hot_keys(spark, hot_folder, hot_sql, name):
     assert difference is None
 
 
+def test_the_library_works_without_the_optional_operators(monkeypatch):
+    monkeypatch.setitem(sys.modules, "millrace.llm", None)
+    assert set(entry_module.queries()) == set(QUERIES) and set(entry_module.oracle_sql()) == set(SQL)
+
+
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
