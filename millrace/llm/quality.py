@@ -208,7 +208,7 @@ def scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str =
     chosen = rows.filter(unit("labelled") < rate).orderBy("labelled", "quality").collect()
     inputs = np.array([row["features"] for row in chosen], dtype=float).reshape(-1, WIDTH)
     label = np.array([row["quality"] for row in chosen], dtype=int)
-    kept_out = np.array([zlib.crc32(b"calibrate%d" % row["labelled"]) % 5 == 0 for row in chosen], dtype=bool)
+    kept_out = np.array([zlib.crc32(f"calibrate{row['labelled']}".encode()) % 5 == 0 for row in chosen], dtype=bool)
     net = fit_network(inputs, label, kept_out)
 
     def score(batches):
