@@ -1,9 +1,10 @@
 """Language identification by unigram pieces with all segmentations summed.
 
 Each language has a probability for every piece of a fixed public vocabulary. The probability
-of a run of letters is the sum over all its segmentations into pieces, by a forward pass; a
-text is the product over its runs. The piece probabilities come from expectation maximisation
-over a bounded sample of labelled documents; prediction reads whole texts.
+of a run of letters, however long, is the sum over all its segmentations into pieces, by a
+forward pass that is scaled as it goes; a text is the product over its runs. The piece
+probabilities come from expectation maximisation over a bounded sample of labelled documents,
+by forward and backward passes over whole runs; prediction reads whole texts.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -27,12 +29,16 @@ UNKNOWN = "und"
 #: Documents of each language that piece probabilities are learned from, about.
 SAMPLE = 2000
 ROUNDS = 3
-#: Longer runs of letters are scored in sections, so that no probability underflows.
-_SECTION = 60
 #: Probabilities are kept times this to the power of the characters; taken out in the end.
 _SCALE = 16.0
 _LETTERS = regex.compile(r"\p{L}+")
-_CHUNK = 4096
+#: Characters, padding included, that are worked on at once, and after how many sums are scaled.
+_CELLS, _RESCALE = 1 << 16, 8
+#: Languages that a model may have: their piece probabilities are held by the driver and every task.
+MOST_LANGUAGES = 1000
+_U = np.uint64
+_BASE, _SPREAD = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
+_SLOTS = 20
 
 
 class Pieces:
@@ -50,43 +56,104 @@ class Pieces:
             self.of[piece] = i
         self.unknown = model.get_piece_size()
         self.size = self.unknown + 1
-
-    def matches(self, runs: list[str]) -> tuple[np.ndarray, ...]:
-        """``run, start, end, id`` of every piece that occurs in a run, by end; and the lengths of the runs."""
-        found: list[int] = []
-        lengths = np.zeros(len(runs), dtype=np.int64)
-        get, unknown = self.of.get, self.unknown
-        # One number per match: run, start and end (six bits each), id (twenty bits).
-        for r, run in enumerate(runs):
-            text = "▁" + run
-            n = len(text)
-            lengths[r] = n
-            for start in range(n):
-                head = ((r << 6) + start) << 26
-                if get(text[start], -1) < 0:
-                    found.append(head + ((start + 1) << 20) + unknown)
-                for end in range(start + 1, n + 1):
-                    piece = get(text[start:end])
-                    if piece is None:
-                        break
-                    if piece >= 0:
-                        found.append(head + (end << 20) + piece)
-        packed = np.array(found, dtype=np.int64)
-        end = (packed >> 20) & 63
-        order = np.argsort(end, kind="stable")
-        packed = packed[order]
-        return packed >> 32, (packed >> 26) & 63, end[order], packed & 0xFFFFF, lengths
-
-
-def _forward(run, start, end, weight, lengths) -> np.ndarray:
-    """Scaled sums over segmentations of each prefix: ``alpha[run, characters, language]``."""
-    alpha = np.zeros((len(lengths), int(lengths.max(initial=0)) + 1, weight.shape[1]))
-    alpha[:, 0] = 1.0
-    edges = np.searchsorted(end, np.arange(1, alpha.shape[1] + 1))
-    for e in range(1, alpha.shape[1]):
-        at = slice(edges[e - 1], edges[e])
-        np.add.at(alpha[:, e], run[at], alpha[run[at], start[at]] * weight[at])
-    return alpha
+        whole = {piece: i for piece, i in self.of.items() if i >= 0}
+        self.longest = max(map(len, whole))
+        # A table of hashes with the ids beside them; a place that is taken leaves the next one.
+        self.hashes, self.ids, self.probes = np.zeros(1 << _SLOTS, _U), np.full(1 << _SLOTS, -1, np.int32), 1
+        for piece, i in whole.items():
+            value = 0
+            for character in piece:
+                value = (value * int(_BASE) + ord(character)) % 2**64
+            at = value * int(_SPREAD) % 2**64 >> (64 - _SLOTS)
+            for probe in range(1 << _SLOTS):
+                slot = (at + probe) % (1 << _SLOTS)
+                if self.ids[slot] < 0:
+                    self.hashes[slot], self.ids[slot] = value, i
+                    self.probes = max(self.probes, probe + 1)
+                    break
+
+    def find(self, hashed: np.ndarray) -> np.ndarray:
+        """The id of the piece with each hash, -1 where there is none."""
+        at, found = (hashed * _SPREAD >> _U(64 - _SLOTS)).astype(np.int64), np.full(hashed.shape, -1, np.int32)
+        for probe in range(self.probes):
+            slot = (at + probe) & ((1 << _SLOTS) - 1)
+            same = self.hashes[slot] == hashed
+            found[same] = self.ids[slot[same]]
+        return found
+
+
+class _Grid:
+    """Some runs, longest first, side by side: which piece, if any, spans each ``n`` characters from each start."""
+
+    def __init__(self, pieces: Pieces, runs: list[str]):
+        texts = ["▁" + run for run in runs]
+        self.lengths = np.array([len(text) for text in texts], np.int64)
+        width = int(self.lengths[0])
+        codes = np.zeros((len(texts), width), _U)
+        codes[np.arange(width) < self.lengths[:, None]] = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+        self.width, self.pieces = width, []
+        hashed = np.zeros_like(codes)
+        for n in range(1, min(pieces.longest, width) + 1):
+            hashed = hashed[:, : width - n + 1] * _BASE + codes[:, n - 1 :]
+            found = pieces.find(hashed)
+            found[np.arange(width - n + 1) + n > self.lengths[:, None]] = -1
+            self.pieces.append(found)
+        single = self.pieces[0]
+        single[(single < 0) & (np.arange(width) < self.lengths[:, None])] = pieces.unknown
+        #: How many runs have more than so many characters.
+        self.longer = np.searchsorted(-self.lengths, -np.arange(width + 1), side="left")
+
+    def sums(self, weight, columns: int, backward: bool = False) -> np.ndarray:
+        """Logarithms of the sums over segmentations, ``[characters, run, column]``: of each prefix, or of what follows it.
+
+        ``weight(ids, rows)`` gives the weights of pieces in some runs.
+        """
+        n_runs, width = len(self.lengths), self.width
+        logs = np.full((width + 1, n_runs, columns), -np.inf)
+        values: list[np.ndarray | None] = [None] * (width + 1)
+        scale = np.zeros((n_runs, columns))
+        starts = np.ones((n_runs, columns))
+        order = range(width - 1, -1, -1) if backward else range(1, width + 1)
+        if backward:
+            logs[self.lengths, np.arange(n_runs)] = 0.0
+            values[width] = np.where((self.lengths == width)[:, None], starts, 0.0)
+        else:
+            logs[0], values[0] = 0.0, starts
+        for step, at in enumerate(order, 1):
+            rows = int(self.longer[at if backward else at - 1])
+            new = np.zeros((n_runs, columns))
+            for n in range(1, min(len(self.pieces), (width - at) if backward else at) + 1):
+                first = at if backward else at - n
+                ids = self.pieces[n - 1][:rows, first]
+                hit = np.flatnonzero(ids >= 0)
+                if len(hit):
+                    new[hit] += values[at + n if backward else first][hit] * weight(ids[hit], hit)
+            logs[at, :rows] = np.log(new[:rows]) + scale[:rows]
+            if backward:  # runs that end here begin
+                new[rows : int(self.longer[at - 1]) if at else rows] = 1.0
+            values[at] = new
+            gone = at + len(self.pieces) if backward else at - len(self.pieces)
+            if 0 <= gone <= width:
+                values[gone] = None
+            if step % _RESCALE == 0:
+                most = np.where(new > 0, new, 1.0)
+                most[rows:] = 1.0
+                scale += np.log(most)
+                for held_back in values:
+                    if held_back is not None:
+                        held_back /= most
+        return logs
+
+
+def _grids(pieces: Pieces, runs: list[str]):
+    """Grids over all runs, with the places of their rows in ``runs``."""
+    order = sorted(range(len(runs)), key=lambda i: -len(runs[i]))
+    start = 0
+    while start < len(order):
+        width = len(runs[order[start]]) + 1
+        end = start + max(1, _CELLS // width)
+        yield np.array(order[start:end]), _Grid(pieces, [runs[i] for i in order[start:end]])
+        start = end
 
 
 def log_likelihoods(pieces: Pieces, runs: list[str], weights: np.ndarray) -> np.ndarray:
@@ -95,32 +162,29 @@ def log_likelihoods(pieces: Pieces, runs: list[str], weights: np.ndarray) -> np.
     ``weights`` holds the probabilities times ``_SCALE`` to the power of a piece's characters.
     """
     out = np.zeros((len(runs), weights.shape[1]))
-    for first in range(0, len(runs), _CHUNK):
-        part = runs[first : first + _CHUNK]
-        sections = [(i, run[a : a + _SECTION]) for i, run in enumerate(part) for a in range(0, len(run), _SECTION)]
-        run, start, end, piece, lengths = pieces.matches([text for _, text in sections])
-        alpha = _forward(run, start, end, weights[piece], lengths)
-        total = np.log(alpha[np.arange(len(lengths)), lengths]) - lengths[:, None] * math.log(_SCALE)
-        np.add.at(out, first + np.array([i for i, _ in sections], dtype=np.int64), total)
+    for rows, grid in _grids(pieces, runs):
+        logs = grid.sums(lambda ids, _: weights[ids], weights.shape[1])
+        out[rows] = logs[grid.lengths, np.arange(len(rows))] - grid.lengths[:, None] * math.log(_SCALE)
     return out
 
 
 def expected_counts(pieces: Pieces, runs: list[str], times: np.ndarray, language: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """How often each piece is used under all segmentations, by language; a run belongs to one language."""
     counts = np.zeros((weights.shape[1], pieces.size))
-    for first in range(0, len(runs), _CHUNK):
-        part = [run[:_SECTION] for run in runs[first : first + _CHUNK]]
-        of, often = language[first : first + _CHUNK], times[first : first + _CHUNK]
-        run, start, end, piece, lengths = pieces.matches(part)
-        weight = weights[piece, of[run]][:, None]
-        alpha = _forward(run, start, end, weight, lengths)[:, :, 0]
-        # The backward sums are forward sums of the runs read from their ends.
-        back_order = np.argsort(lengths[run] - start, kind="stable")
-        r, s, e = run[back_order], start[back_order], end[back_order]
-        beta = _forward(r, lengths[r] - e, lengths[r] - s, weight[back_order], lengths)[:, :, 0]
-        total = alpha[np.arange(len(part)), lengths]
-        share = alpha[run, start] * weight[:, 0] * beta[run, lengths[run] - end] / total[run]
-        np.add.at(counts, (of[run], piece), share * often[run])
+    for rows, grid in _grids(pieces, runs):
+        of, often = language[rows], times[rows]
+
+        def weight(ids, at, of=of):
+            return weights[ids, of[at]][:, None]
+
+        ahead = grid.sums(weight, 1)[:, :, 0].T
+        behind = grid.sums(weight, 1, backward=True)[:, :, 0].T
+        total = ahead[np.arange(len(rows)), grid.lengths]
+        for n, found in enumerate(grid.pieces, 1):
+            run, start = np.nonzero(found >= 0)
+            piece = found[run, start]
+            share = np.exp(ahead[run, start] + behind[run, start + n] - total[run]) * weights[piece, of[run]]
+            np.add.at(counts, (of[run], piece), share * often[run])
     return counts
 
 
@@ -144,14 +208,16 @@ def _scaled(pieces: Pieces, probability: np.ndarray) -> np.ndarray:
 def fit(train: DataFrame, path: str | None = None, sample: int = SAMPLE, rounds: int = ROUNDS, key: str = "doc_id") -> Model:
     """Learn from ``text`` and non-null ``lang``; about ``sample`` documents of each language at most.
 
-    Documents of a larger language are kept by a hash of their key. The number of languages is
-    taken to be small: their piece probabilities, languages times vocabulary, are held by the
-    driver and sent to the tasks. Without labelled rows there are no languages.
+    Documents of a larger language are kept by a hash of their key. The piece probabilities,
+    languages times vocabulary, are held by the driver and sent to the tasks, so more than
+    ``MOST_LANGUAGES`` are refused. Without labelled rows there are no languages.
     """
     path = path or public_tokenizers.path("piece_bpe_32k.model")
     pieces = Pieces(path)
     train = train.filter("lang is not null and text is not null")
-    sizes = {row["lang"]: row["count"] for row in train.groupBy("lang").count().collect()}
+    sizes = {row["lang"]: row["count"] for row in train.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} different languages: clean the labels first")
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros(0), np.zeros((pieces.size, 0)), path)
@@ -163,8 +229,8 @@ def fit(train: DataFrame, path: str | None = None, sample: int = SAMPLE, rounds:
         for batch in batches:
             for part in portions(batch, 1):
                 counts: dict[str, Counter] = {}
-                for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    counts.setdefault(lang, Counter()).update(_LETTERS.findall(text.lower()))
+                for lang, text in zip(part.column(0).to_pylist(), pc.utf8_lower(part.column(1)).to_pylist()):
+                    counts.setdefault(lang, Counter()).update(_LETTERS.findall(text))
                 rows = [(place[lang], run, n) for lang, runs in counts.items() for run, n in runs.items()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int64())],
@@ -200,43 +266,41 @@ def fit(train: DataFrame, path: str | None = None, sample: int = SAMPLE, rounds:
 
 
 class _Scorer:
-    """Sums of log-likelihoods per text; remembers a bounded number of words."""
+    """Sums of log-likelihoods per text, and numbers of letters; remembers a bounded number of runs."""
 
-    def __init__(self, model: Model, room: int = 450_000):
+    def __init__(self, model: Model, room: int = 200_000):
         self.pieces, self.model, self.room = Pieces(model.path), model, room
         self.place: dict[str, int] = {}
-        self.rows = np.zeros((1 << 14, len(model.languages) + 1), np.float64)
-
-    def _learn(self, words: list[str]) -> None:
-        parts = [_LETTERS.findall(word) for word in words]
-        distinct = list(dict.fromkeys(run for runs in parts for run in runs))
-        likely = log_likelihoods(self.pieces, distinct, self.model.weights)
-        at = {run: i for i, run in enumerate(distinct)}
-        while len(self.place) + len(words) > len(self.rows):
-            self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
-        base = len(self.place)
-        for i, (word, runs) in enumerate(zip(words, parts)):
-            self.place[word] = base + i
-            row = self.rows[base + i]
-            row[:] = 0
-            for run in runs:
-                row[:-1] += likely[at[run]]
-                row[-1] += len(run)
-
-    def __call__(self, texts: list) -> np.ndarray:
-        words = [(text or "").lower().split() for text in texts]
-        # What is new to this portion is scored at once.
-        new = set().union(*words).difference(self.place)
+        self.rows = np.zeros((1 << 14, len(model.languages) + 1))
+
+    def _places(self, runs: list[str]) -> np.ndarray:
+        """Where the sums of each of some different runs are; new ones are scored at once."""
+        new = [run for run in runs if run not in self.place]
         if len(self.place) + len(new) > self.room:
-            self.place.clear()
-            new = set().union(*words)
+            self.place, new = {}, runs
+        base = len(self.place)
+        if base + len(new) > len(self.rows):
+            self.rows = np.concatenate((self.rows[:base], np.zeros((max(base, 2 * len(new)), self.rows.shape[1]))))
         if new:
-            self._learn(list(new))
-        place = self.place
-        out = np.zeros((len(texts), self.rows.shape[1]))
-        for i, each in enumerate(words):
-            if each:
-                out[i] = self.rows[[place[word] for word in each]].sum(axis=0)
+            self.rows[base : base + len(new), :-1] = log_likelihoods(self.pieces, new, self.model.weights)
+            self.rows[base : base + len(new), -1] = [len(run) for run in new]
+            self.place.update(zip(new, range(base, base + len(new))))
+        return np.array([self.place[run] for run in runs], np.int64)
+
+    def __call__(self, texts: pa.Array) -> np.ndarray:
+        words = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
+        coded = words.flatten().dictionary_encode()
+        # The letters of every different word, the sums of every different run of them.
+        runs = [_LETTERS.findall(word) for word in coded.dictionary.to_pylist()]
+        different = list(dict.fromkeys(run for each in runs for run in each))
+        place = dict(zip(different, self._places(different).tolist()))
+        of_words = np.zeros((len(runs), self.rows.shape[1]))
+        owner = np.repeat(np.arange(len(runs)), [len(each) for each in runs])
+        np.add.at(of_words, owner, self.rows[[place[run] for each in runs for run in each]])
+        bounds = words.offsets.to_numpy() - words.offsets[0].as_py()
+        summed = np.concatenate((of_words[coded.indices.to_numpy()], np.zeros((1, self.rows.shape[1]))))
+        out = np.add.reduceat(summed, bounds[:-1], axis=0) if len(texts) else np.zeros((0, self.rows.shape[1]))
+        out[np.diff(bounds) == 0] = 0
         return out
 
 
@@ -261,7 +325,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
         scorer = _scorer_of(model)
         for batch in batches:
             for part in portions(batch, 1):
-                sums = scorer(part.column(1).to_pylist())
+                sums = scorer(part.column(1))
                 names, scores = [], []
                 for row in sums:
                     if row[-1] == 0 or not model.languages:
@@ -281,16 +345,22 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
 
 
 def identified(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs``, as they are, whose text has a language."""
+    """The rows of ``docs`` whose text has a language, with the predicted one in ``lang``.
+
+    Texts that are null or without a letter go. Without any learned language the other rows stay
+    as they are. All other columns are kept.
+    """
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    text, lang = docs.columns.index("text"), docs.columns.index("lang")
 
     def keep(batches):
         scorer = _scorer_of(model)
         for batch in batches:
-            for part in portions(batch, at):
-                sums = scorer(part.column(at).to_pylist())
-                yield part.filter(pa.array(sums[:, -1] > 0))
+            for part in portions(batch, text):
+                sums = scorer(part.column(text))
+                best = np.argmax(sums[:, :-1] + model.prior, axis=1) if part.num_rows else np.zeros(0, np.int64)
+                found = pa.array(model.languages).take(pa.array(best)).cast(part.schema.field(lang).type)
+                yield part.set_column(lang, part.schema.field(lang), found).filter(pa.array(sums[:, -1] > 0))
 
-    if not model.languages:
-        return docs.limit(0)
-    at = docs.columns.index("text")
     return docs.mapInArrow(keep, docs.schema)

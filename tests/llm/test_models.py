@@ -64,6 +64,47 @@ def test_expected_counts_cover_each_character():
     assert (counts * length).sum() == pytest.approx(sum((len(r) + 1) * n for r, n in zip(runs, times)))
 
 
+def test_long_runs_are_summed_whole():
+    pieces = language_id.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    rng = np.random.default_rng(6)
+    probability = rng.random((2, pieces.size))
+    probability /= probability.sum(axis=1, keepdims=True)
+    weights = language_id._scaled(pieces, probability)
+    letters = list("etaoinshrdlu中é")
+    runs = ["".join(rng.choice(letters, n)) for n in (500, 61, 60, 1, 3000)] + ["the"]
+    found = language_id.log_likelihoods(pieces, runs, weights)
+    counts = language_id.expected_counts(pieces, runs, np.ones(6), np.zeros(6, int), weights)
+    expected, used = np.zeros((6, 2)), np.zeros(pieces.size)
+    for i, run in enumerate(runs):
+        text = "▁" + run
+
+        def parts(end):
+            for start in range(max(0, end - pieces.longest), end):
+                piece = pieces.of.get(text[start:end], -1)
+                if piece >= 0 or end - start == 1:
+                    yield start, piece if piece >= 0 else pieces.unknown
+
+        for k in range(2):
+            logs = [0.0]
+            for end in range(1, len(text) + 1):
+                terms = [logs[start] + math.log(probability[k, piece]) for start, piece in parts(end)]
+                logs.append(max(terms) + math.log(sum(math.exp(t - max(terms)) for t in terms)))
+            expected[i, k] = logs[-1]
+            if k == 0:
+                ahead = logs
+        behind = [-math.inf] * len(text) + [0.0]
+        for end in range(len(text), 0, -1):
+            for start, piece in parts(end):
+                term = behind[end] + math.log(probability[0, piece])
+                high = max(term, behind[start])
+                behind[start] = high + math.log(math.exp(term - high) + math.exp(behind[start] - high))
+        for end in range(1, len(text) + 1):
+            for start, piece in parts(end):
+                used[piece] += math.exp(ahead[start] + behind[end] - ahead[-1]) * probability[0, piece]
+    assert found == pytest.approx(expected, rel=1e-9)
+    assert counts[0] == pytest.approx(used, rel=1e-6, abs=1e-9)
+
+
 def test_languages_of_held_out_documents(documents):
     held_out = fold("doc_id", 5, 0)
     model = language_id.fit(documents.filter(~held_out))
@@ -83,11 +124,21 @@ def test_languages_of_odd_rows(spark, odd_docs, odd_rows):
     assert und == {1, 2, 3, 9}
     kept = language_id.identified(odd_docs, model)
     assert kept.columns == odd_docs.columns and kept.count() == len(odd_rows) - 4
+    named = {(r["doc_id"], r["lang_pred"]) for r in found} - {(i, "und") for i in und}
+    assert {(r["doc_id"], r["lang"]) for r in kept.collect()} == named
     nothing = language_id.fit(odd_docs.limit(0))
+    assert language_id.identified(odd_docs, nothing).count() == len(odd_rows) - 4
     assert {(r["lang_pred"], r["score"]) for r in language_id.predict(odd_docs, nothing).collect()} == {("und", 0.0)}
     assert language_id.predict(odd_docs.limit(0), model).collect() == []
 
 
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 3)
+    docs = spark.range(8).selectExpr("id AS doc_id", "'a word' AS text", "concat('l', id) AS lang")
+    with pytest.raises(ValueError):
+        language_id.fit(docs)
+
+
 def test_quality_of_held_out_documents(spark, documents):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     held_out = fold("doc_id", 3, 1)
@@ -189,3 +240,10 @@ def test_every_context_of_the_words_is_in_the_tree(spark):
         leaves = context_tree.Leaves(context_tree.Positions.of([bytes(row["word"])]))
         grams = [*leaves.without_mark(), *leaves.with_mark(0x09)]
         assert model.of(np.array(grams)).sum() == pytest.approx(row["log_1"])
+
+
+def test_quality_with_text_keys(spark):
+    docs = spark.range(30).selectExpr("concat('d', id) AS doc_id", "if(id % 2 = 0, 'fine words here', 'spam spam spam') AS text")
+    labels = docs.selectExpr("doc_id", "if(text like 'fine%', 1, 0) AS quality")
+    found = {r["doc_id"]: r["score"] for r in quality.scores(docs, labels).collect()}
+    assert len(found) == 30 and min(found[f"d{i}"] for i in range(0, 30, 2)) > max(found[f"d{i}"] for i in range(1, 30, 2))
