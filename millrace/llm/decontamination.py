@@ -2,8 +2,9 @@
 
 A document's windows are as many shingles long as the item they may hold. Only windows that
 contain a shingle of some item can reach any similarity with one, so only those are made: each
-shared shingle puts a window where its item would begin. A window's and an item's weighted
-shingles give 64-bit SimHash fingerprints. Fingerprints are cut into one block more than the
+shared shingle puts a window where its item would begin. A shingle weighs as much as it has
+places in the window or item, whatever other items have it: an item that is listed under many ids
+is found like any other. The weighted shingles give 64-bit SimHash fingerprints. Fingerprints are cut into one block more than the
 radius; two within the radius agree in one block at least, so joins on blocks find them all.
 Candidates are verified by the weighted Jaccard similarity of their shingles.
 """
@@ -22,8 +23,6 @@ WORDS = 5
 LEAST = 0.75
 #: Bits in which fingerprints may differ. Similarity 0.75 gives 11 on average, with deviation 3.
 RADIUS = 21
-#: Weight of a shingle that one item has; one that k items have weighs a k-th part, 1 at least.
-HEAVIEST = 8
 _SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -46,8 +45,8 @@ def with_shingles(rows: DataFrame, text: str = "text") -> DataFrame:
 
 
 def fingerprints(rows: DataFrame, *key: str) -> DataFrame:
-    """SimHash of the weighted shingles under each key: ``key, fingerprint, total`` from ``key, shingle, times, weight``."""
-    amount = F.col("times") * F.col("weight")
+    """SimHash of the weighted shingles under each key: ``key, fingerprint, total`` from ``key, shingle, times``."""
+    amount = F.col("times")
     half = 32
     # Two counters to a number, 32 bits each.
     lanes = [
@@ -98,10 +97,7 @@ def contaminated(
     """
     item = ("item_id", "item_hash")
     places = stored(_item_shingles(items), "items")
-    counts = places.groupBy(*item, "length", "shingle").agg(F.count("*").cast("long").alias("times"))
-    weights = places.groupBy("shingle").agg(F.countDistinct("item_id").alias("items"))
-    weights = stored(weights.select("shingle", F.greatest(F.floor(F.lit(HEAVIEST) / F.col("items")), F.lit(1)).alias("weight")), "item-weights")
-    counts = stored(counts.join(weights, "shingle"), "item-counts")
+    counts = stored(places.groupBy(*item, "length", "shingle").agg(F.count("*").cast("long").alias("times")), "item-counts")
 
     texts = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     found = with_shingles(texts).select("doc_id", "text_hash", F.size("shingles").alias("size"), F.posexplode_outer("shingles").alias("at", "doc_shingle"))
@@ -120,8 +116,7 @@ def contaminated(
     )
     name = ("doc_id", "text_hash", "start", "length")
     inside = opened.groupBy(*name, "shingle").agg(F.count("*").cast("long").alias("times"))
-    inside = join_broadcasting(inside, weights.withColumnRenamed("shingle", "known"), F.col("shingle") == F.col("known"), "left")
-    inside = stored(inside.select(*name, "shingle", "times", F.coalesce("weight", F.lit(HEAVIEST)).cast("long").alias("weight")), "window-shingles")
+    inside = stored(inside, "window-shingles")
 
     marks = stored(fingerprints(inside, *name), "window-fingerprints")
     item_marks = stored(fingerprints(counts, *item, "length"), "item-fingerprints").select(
@@ -138,7 +133,7 @@ def contaminated(
         counts.select(F.col("item_id").alias("of_item"), F.col("item_hash").alias("of_hash"), F.col("length").alias("of_length"), F.col("shingle").alias("of_shingle"), F.col("times").alias("item_times")),
         (F.col("item_id") == F.col("of_item")) & (F.col("item_hash") == F.col("of_hash")) & (F.col("length") == F.col("of_length")) & (F.col("shingle") == F.col("of_shingle")),
     )
-    both = shared.groupBy(*name, "total", *item, "item_total").agg(F.sum(F.least("times", "item_times") * F.col("weight")).alias("both"))
+    both = shared.groupBy(*name, "total", *item, "item_total").agg(F.sum(F.least("times", "item_times")).alias("both"))
     similarity = F.col("both") / (F.col("total") + F.col("item_total") - F.col("both"))
     alike = both.withColumn("similarity", similarity).filter(F.col("similarity") >= least)
     best = F.max_by(F.struct("similarity", "start", "length"), F.struct("similarity", -F.col("start"), "length"))

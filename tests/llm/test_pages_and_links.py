@@ -124,28 +124,39 @@ def shingles(text):
 
 
 def best_windows(docs, items, least=0.75):
-    """Highest weighted similarity over every window of every document with every item."""
+    """Highest Jaccard similarity of shingles with their numbers, over every window of every document with every item."""
     parts = {i: shingles(text) for i, text in items}
-    having = {}
-    for i, part in parts.items():
-        for gram in part:
-            having.setdefault(gram, set()).add(i)
-    weight = lambda gram: max(8 // len(having[gram]), 1) if gram in having else 8
     found = {}
     for doc, text in docs:
         grams = shingles(text)
         for i, part in parts.items():
             one = Counter(part)
-            total = sum(weight(g) * n for g, n in one.items())
             for start in range(max(len(grams) - len(part), 0) + 1) if part and grams else ():
                 window = Counter(grams[start : start + len(part)])
-                both = sum(weight(g) * min(n, one[g]) for g, n in window.items() if g in one)
-                value = both / (total + sum(weight(g) * n for g, n in window.items()) - both)
+                both = sum((window & one).values())
+                value = both / sum((window | one).values())
                 if value >= max(least, found.get((doc, i), 0)):
                     found[doc, i] = value
     return found
 
 
+@pytest.mark.parametrize("ids", [1, 2, 4, 8])
+def test_an_item_under_many_ids_is_found_with_a_word_changed(spark, docs_of, ids):
+    rng = random.Random(ids)
+    words = [f"t{i}" for i in range(300)]
+    passage = rng.choices(words, k=44)
+    docs = []
+    for i in range(30):
+        changed = list(passage)
+        changed[rng.randrange(5, 39)] = "changed"
+        docs.append((i, " ".join(rng.choices(words, k=rng.randrange(60)) + changed + rng.choices(words, k=rng.randrange(60)))))
+    items = [(i, " ".join(passage)) for i in range(ids)] + [(100, " ".join(passage[20:] + rng.choices(words, k=20)))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(docs_of(docs), benchmark).collect()}
+    assert found >= {(d, i) for d in range(30) for i in range(ids)}
+    assert found == set(best_windows(docs, items))
+
+
 def test_contaminated_against_all_windows(spark, docs_of):
     rng = random.Random(6)
     words = [f"t{i}" for i in range(300)]
@@ -220,3 +231,42 @@ def test_deep_threads(spark):
     rows = [(1, i, "u", f"> text {i - 1}\n\ntext {i}" if i else "text 0") for i in range(40)]
     found = quotations.reply_ordered(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
     assert sorted((r["turn"], r["root"], r["depth"]) for r in found) == [(i, 0, i) for i in range(40)]
+
+
+def test_deeper_quotations_link_where_no_first_level_is_found(spark):
+    messages = spark.createDataFrame(
+        [
+            (1, 0, "a", "alpha beta"), (1, 1, "b", "> alpha beta\n\ngamma"), (1, 2, "a", ">> alpha beta\n\nonly the inner one"),
+            (1, 3, "b", "> gamma\n>> alpha beta\n\nfirst level wins"), (1, 4, "a", "> never written\n>>> gamma\n\nthird level"), (1, 5, "c", ">> nowhere"),
+            (2, 0, "a", ">> alpha beta"),
+        ],
+        "conv_id long, turn long, role string, text string",
+    )
+    found = {(r["conv_id"], r["turn"]): (r["reply_to"], r["root"], r["quoted"], r["linked"], r["text"]) for r in quotations.reply_ordered(messages).collect()}
+    assert found[1, 1] == (0, 0, 1, 1, "gamma")
+    assert found[1, 2] == (0, 0, 0, 1, "only the inner one")
+    assert found[1, 3] == (1, 0, 1, 1, "first level wins")
+    assert found[1, 4] == (1, 0, 1, 1, "third level")
+    assert found[1, 5][:4] == (None, 5, 0, 0) and found[2, 0][:4] == (None, 0, 0, 0)
+
+
+def test_links_of_random_quotations_against_a_search(spark):
+    """Every message quotes some earlier ones at random levels; a plain search over all messages finds the replies."""
+    rng = random.Random(8)
+    rows, own = [], {}
+    for conv in range(6):
+        for turn in range(25):
+            quoted = {level: rng.sample(range(turn), min(turn, rng.randrange(3))) for level in (1, 2, 3) if rng.random() < 0.6}
+            lines = [f"{'>' * level} text {conv} {source if rng.random() < 0.8 else 'gone'}\n{'>' * level}" for level, sources in quoted.items() for source in sources]
+            own[conv, turn] = f"text {conv} {turn}"
+            rows.append((conv, turn, "a", "\n\n".join([*lines, own[conv, turn]])))
+    found = {(r["conv_id"], r["turn"]): r["reply_to"] for r in quotations.reply_ordered(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    for conv, turn, _, text in rows:
+        expected = None
+        for level in (1, 2, 3):
+            marked = {line[level:].strip() for line in text.split("\n") if re.match(rf">{{{level}}}[^>]", line)}
+            sources = [t for t in range(turn) if own[conv, t] in marked]
+            if sources:
+                expected = max(sources)  # each is quoted once, the last of equals counts
+                break
+        assert found[conv, turn] == expected
