@@ -1,8 +1,9 @@
 """Reply structure of conversations from the quotations in their messages.
 
-Lines that begin with ``>`` marks are quoted, as deep as they have marks. Paragraphs quoted at
-the first level are normalised and hashed, and meet the paragraphs that other messages of the
-conversation wrote themselves; a message replies to the message it quotes most. Messages
+Lines that begin with ``>`` marks are quoted, as deep as they have marks. Quoted paragraphs of
+all levels are normalised and hashed, and meet the paragraphs that other messages of the
+conversation wrote themselves; a message replies to the message it quotes most at the first
+level at which one is found, so a reply that kept only deeper quotations still has a place. Messages
 without a linked quotation begin threads. What is returned is each message without its
 quotations, with its place in its thread.
 """
@@ -52,6 +53,16 @@ def _paragraphs(text: Column) -> Column:
     return F.transform(kept, lambda p: F.struct(F.xxhash64(p).alias("high"), F.xxhash64(F.lit("second"), p).alias("low")))
 
 
+def _quoted() -> Column:
+    """The paragraphs of every level below the text itself, each with its level."""
+
+    def of_level(level: Column) -> Column:
+        return F.transform(_paragraphs(_at_level("lines", level)), lambda p: F.struct(p["high"].alias("high"), p["low"].alias("low"), level.alias("level")))
+
+    levels = F.array_distinct(F.filter(F.transform("lines", lambda line: line["level"]), lambda level: level > 0))
+    return F.flatten(F.transform(levels, of_level))
+
+
 def parsed(messages: DataFrame) -> DataFrame:
     """Distinct messages with ``own`` text, hashes of ``written`` and ``quoted`` paragraphs, and the deepest quotation."""
     rows = messages.select("conv_id", "turn", "role", "text").distinct()
@@ -59,7 +70,7 @@ def parsed(messages: DataFrame) -> DataFrame:
     own = F.regexp_replace(F.regexp_replace(_at_level("lines", 0), r"\n[ \t]*(?:\n[ \t]*)+", "\n\n"), r"^\s+|\s+$", "")
     return rows.select(
         "conv_id", "turn", "role", F.xxhash64("role", "text").alias("message"), own.alias("own"),
-        _paragraphs(_at_level("lines", 0)).alias("written"), _paragraphs(_at_level("lines", 1)).alias("quoted"),
+        _paragraphs(_at_level("lines", 0)).alias("written"), _quoted().alias("quoted"),
         F.greatest(F.array_max(F.transform("lines", lambda line: line["level"])), F.lit(0)).alias("deepest"),
     )
 
@@ -68,20 +79,28 @@ def replies(rows: DataFrame) -> DataFrame:
     """``conv_id, turn, message, reply_to, n_linked`` of messages that quote an earlier turn.
 
     Of several messages that wrote a quoted paragraph the last before the quotation counts. One
-    window per conversation and paragraph that is quoted finds it, without pairs.
+    window per conversation and paragraph that is quoted finds it, without pairs. Paragraphs of a
+    deeper level count only for messages of which none of a level above is found.
     """
-    def each(name: str, kind: int) -> DataFrame:
-        return rows.select("conv_id", "turn", "message", F.explode_outer(name).alias("hash"), F.lit(kind).alias("quotes")).filter("hash is not null")
+    def each(name: str, kind: int, level: Column) -> DataFrame:
+        exploded = rows.select("conv_id", "turn", "message", F.explode_outer(name).alias("hash")).filter("hash is not null")
+        hashed = F.struct("hash.high", "hash.low").alias("hash")
+        return exploded.select("conv_id", "turn", "message", level.cast("int").alias("level"), hashed, F.lit(kind).alias("quotes"))
 
-    quoted = each("quoted", 1)
+    quoted = each("quoted", 1, F.col("hash.level"))
     wanted = quoted.select("conv_id", "hash").distinct()
-    written = each("written", 0).join(wanted, ["conv_id", "hash"], "left_semi").select(*quoted.columns)
+    written = each("written", 0, F.lit(0)).join(wanted, ["conv_id", "hash"], "left_semi").select(*quoted.columns)
     order = Window.partitionBy("conv_id", "hash").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
     source = F.max(F.when(F.col("quotes") == 0, F.col("turn"))).over(order)
     found = quoted.union(written).withColumn("source", source).filter("quotes = 1 and source is not null")
-    counts = found.groupBy("conv_id", "turn", "message", "source").agg(F.count("*").alias("n"))
-    best = F.max(F.struct("n", "source"))
-    return counts.groupBy("conv_id", "turn", "message").agg(best["source"].alias("reply_to"), F.sum("n").alias("n_linked"))
+    counts = found.groupBy("conv_id", "turn", "message", "level", "source").agg(F.count("*").alias("n"))
+    levels = counts.groupBy("conv_id", "turn", "message", "level").agg(
+        F.max(F.struct("n", "source")).alias("best"), F.sum("n").alias("n_linked")
+    )
+    first = F.min(F.struct("level", F.col("best.source").alias("source"), "n_linked"))
+    return levels.groupBy("conv_id", "turn", "message").agg(first.alias("first")).select(
+        "conv_id", "turn", "message", F.col("first.source").alias("reply_to"), F.col("first.n_linked").alias("n_linked")
+    )
 
 
 def reply_ordered(messages: DataFrame) -> DataFrame:
@@ -89,7 +108,8 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
 
     ``conv_id, root, depth, turn`` give the order to read a conversation in: ``root`` is the turn
     that began the thread, ``depth`` how many replies lie between. ``text`` is without
-    quotations; ``quoted`` counts paragraphs quoted at the first level, ``linked`` those found.
+    quotations; ``quoted`` counts paragraphs quoted at the first level, ``linked`` those found at
+    the level that decided.
     Rows that are equal in all four columns are one message; different messages may share a
     turn. Null texts are empty; messages without a conversation or a turn are threads of their own,
     with a null root if the turn is null. Extra columns are ignored.
@@ -119,6 +139,6 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
         "conv_id",
         F.coalesce("j_root", "reply_to", "turn").alias("root"),
         F.when(F.col("reply_to").isNull(), 0).otherwise(F.coalesce("j_hops", F.lit(0)) + 1).cast("long").alias("depth"),
-        "turn", "role", F.col("own").alias("text"), "reply_to", F.size("quoted").alias("quoted"),
+        "turn", "role", F.col("own").alias("text"), "reply_to", F.size(F.filter("quoted", lambda p: p["level"] == 1)).alias("quoted"),
         F.coalesce("n_linked", F.lit(0)).cast("long").alias("linked"), "deepest",
     )
