@@ -318,7 +318,8 @@ def _divided(fragments: DataFrame, block: int, length: int) -> tuple[DataFrame,
     core = F.substring("piece", (ahead + 1).cast("int"), F.lit(length + 1 - block))
     rows = rows.select("frag", F.xxhash64("key", "block", core).alias("key"), first.alias("shift"), (last - first + 1).alias("n"), (F.col("at") - first).alias("at"), "number", "piece")
     known = rows.groupBy("key").agg(F.sum("number").alias("times")).filter("times > 1").select(F.col("key").alias("of"))
-    rows = rows.join(known, F.col("key") == F.col("of"))
+    # Stored, so that the join is of two plain shuffles and Spark can divide a key that many rows share.
+    rows = rows.join(stored(known, "repeats-known"), F.col("key") == F.col("of"))
     part = F.substring("piece", (F.col("shift") + 1).cast("int"), (F.col("n") + length - 1).cast("int"))
     rows = rows.select(F.col("frag").alias("whole"), "shift", "key", "n", "at", "number", part.alias("piece"))
     rows = stored(rows.withColumn("frag", F.unhex(F.md5("piece"))), "repeats-divided")
