@@ -21,6 +21,7 @@ from tokenizers import Tokenizer
 
 from millrace.llm.shingles import mix
 from millrace.llm.tools import held, portions
+from millrace.session import scoped_session
 
 END_ID = 0
 _U = np.uint64
@@ -234,7 +235,11 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str | None = None
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    """``doc_id, start, n_tokens, ids`` of every stored document; filters on ``doc_id`` skip stripes."""
+    """``doc_id, start, n_tokens, ids`` of every stored document; filters on ``doc_id`` skip stripes.
+
+    Ids go to Python workers in batches of a few megabytes, not in Spark's larger ones.
+    """
+    spark = scoped_session(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)})
     tokens = spark.read.schema(_STORED).orc(f"{folder}/tokens")
     shards = spark.read.schema("shard int, base long").orc(f"{folder}/shards")
     # Broadcast: one row per file.
