@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
@@ -95,8 +98,14 @@ _HELD: dict = {}
 
 
 def held(name, build):
-    """What a worker process remembers from task to task: ``build()``, once, in place of what it held under another name."""
+    """What a worker process remembers from task to task: ``build()``, once, in place of what it held under another name.
+
+    The memory of what goes is given back to the system before the new is built.
+    """
     if name not in _HELD:
         _HELD.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        getattr(ctypes.CDLL(None), "malloc_trim", int)(0)  # glibc keeps freed memory otherwise; other libraries have no such call
         _HELD[name] = build()
     return _HELD[name]
