@@ -20,8 +20,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from millrace.llm.shingles import mix
-from millrace.llm.tools import held, portions
-from millrace.session import scoped_session
+from millrace.llm.tools import held, in_small_batches, portions
 
 END_ID = 0
 _U = np.uint64
@@ -211,7 +210,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, key: str
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     # The hash keeps many rows of one key divisible.
     ranged = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    return ranged.mapInArrow(encode, _STORED)
+    return in_small_batches(ranged).mapInArrow(encode, _STORED)
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str | None = None, end_id: int = END_ID) -> None:
@@ -235,11 +234,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str | None = None
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    """``doc_id, start, n_tokens, ids`` of every stored document; filters on ``doc_id`` skip stripes.
-
-    Ids go to Python workers in batches of a few megabytes, not in Spark's larger ones.
-    """
-    spark = scoped_session(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)})
+    """``doc_id, start, n_tokens, ids`` of every stored document; filters on ``doc_id`` skip stripes."""
     tokens = spark.read.schema(_STORED).orc(f"{folder}/tokens")
     shards = spark.read.schema("shard int, base long").orc(f"{folder}/shards")
     # Broadcast: one row per file.
@@ -261,5 +256,5 @@ def digests(tokens: DataFrame) -> DataFrame:
                 [*batch.columns[:3], pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"]
             )
 
-    rows = tokens.select("doc_id", "start", "n_tokens", "ids")
+    rows = in_small_batches(tokens.select("doc_id", "start", "n_tokens", "ids"))
     return rows.mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")

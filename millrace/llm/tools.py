@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import uuid
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import scratch_path
+from millrace.session import scoped_session, scratch_path
 
 #: A word is a run of other characters than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,6 +29,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_small_batches(df: DataFrame, limit: int = 8 << 20) -> DataFrame:
+    """``df`` with batches of about ``limit`` bytes for its Python workers, in place of Spark's larger ones.
+
+    The size is a setting of the session, so the same plan is taken into a sibling session.
+    """
+    spark, name = df.sparkSession, f"small_batches_{uuid.uuid4().hex}"
+    sibling = scoped_session(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": str(limit)})
+    df.createGlobalTempView(name)
+    try:
+        return sibling.table(f"global_temp.{name}")
+    finally:
+        spark.catalog.dropGlobalTempView(name)
+
+
 def raw_bytes(column: pa.Array) -> list:
     """UTF-8 bytes of a string column, None for null."""
     return column.cast(pa.binary()).to_pylist()
