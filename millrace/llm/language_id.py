@@ -23,7 +23,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tools import held, portions, stored, unit
+from millrace.llm.tools import held, in_small_batches, portions, stored, unit
 
 UNKNOWN = "und"
 #: Documents of each language that piece probabilities are learned from, about.
@@ -363,4 +363,4 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
                 found = pa.array(model.languages).take(pa.array(best)).cast(part.schema.field(lang).type)
                 yield part.set_column(lang, part.schema.field(lang), found).filter(pa.array(sums[:, -1] > 0))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return in_small_batches(docs).mapInArrow(keep, docs.schema)

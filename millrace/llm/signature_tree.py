@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.graph import components
 from millrace.llm.shingles import mix, shingle_sets
-from millrace.llm.tools import frequent, portions, stored, unit, whole_row
+from millrace.llm.tools import forgetting, frequent, in_small_batches, portions, stored, unit, whole_row
 from millrace.operators.joins import join_broadcasting
 
 PERCENT = 75
@@ -70,7 +70,7 @@ def set_sizes(docs: DataFrame, key: str = "doc_id") -> DataFrame:
                 )
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(describe, "doc_id long, n long, high long, low long")
+    return rows.mapInArrow(forgetting(describe), "doc_id long, n long, high long, low long")
 
 
 def routes(docs: DataFrame, last: np.ndarray, percent: int = PERCENT) -> DataFrame:
@@ -108,7 +108,7 @@ def routes(docs: DataFrame, last: np.ndarray, percent: int = PERCENT) -> DataFra
                     names=["token", "high", "low"],
                 )
 
-    return docs.select("text").filter("text is not null").mapInArrow(route, "token long, high long, low long")
+    return docs.select("text").filter("text is not null").mapInArrow(forgetting(route), "token long, high long, low long")
 
 
 def _frequent(docs: DataFrame, key: str, percent: int) -> np.ndarray:
@@ -147,7 +147,7 @@ def signatures(docs: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataF
                     names=["rep", "n", "bits", "wide"],
                 )
 
-    return _of_wanted(docs, wanted, key).mapInArrow(describe, "rep long, n long, bits binary, wide binary")
+    return _of_wanted(docs, wanted, key).mapInArrow(forgetting(describe), "rep long, n long, bits binary, wide binary")
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -159,7 +159,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataF
                 sets = [s.astype("<u8").tobytes() for s in shingle_sets(part.column(1))]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["rep", "tokens"])
 
-    return _of_wanted(docs, wanted, key).mapInArrow(describe, "rep long, tokens binary")
+    return _of_wanted(docs, wanted, key).mapInArrow(forgetting(describe), "rep long, tokens binary")
 
 
 def _bitmaps(column: pa.Array) -> np.ndarray:
@@ -278,7 +278,7 @@ def tree_candidates(lists: DataFrame, signed: DataFrame, percent: int = PERCENT)
             _, a, b = runs(held, True)
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    return placed.mapInArrow(traverse, "a long, b long").distinct()
+    return placed.mapInArrow(forgetting(traverse), "a long, b long").distinct()
 
 
 def left_by_bitmaps(pairs: DataFrame, signed: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -298,7 +298,7 @@ def left_by_bitmaps(pairs: DataFrame, signed: DataFrame, percent: int = PERCENT)
             use = pa.array(use, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(use), batch.column(1).filter(use)], names=["a", "b"])
 
-    return rows.select("a", "b", "a_n", "a_wide", "b_n", "b_wide").mapInArrow(by_bits, "a long, b long")
+    return rows.select("a", "b", "a_n", "a_wide", "b_n", "b_wide").mapInArrow(forgetting(by_bits), "a long, b long")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT, key: str = "doc_id") -> DataFrame:
@@ -319,7 +319,7 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT, key: str
                 use = pa.array(use, pa.bool_())
                 yield pa.RecordBatch.from_arrays([part.column(0).filter(use), part.column(1).filter(use)], names=["a", "b"])
 
-    return rows.select("a", "b", "a_tokens", "b_tokens").mapInArrow(by_sets, "a long, b long")
+    return rows.select("a", "b", "a_tokens", "b_tokens").mapInArrow(forgetting(by_sets), "a long, b long")
 
 
 def near_duplicate_groups(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id") -> DataFrame:
@@ -330,6 +330,7 @@ def near_duplicate_groups(docs: DataFrame, percent: int = PERCENT, key: str = "d
     with nothing. Rows that share an id are one document, linked by any of its texts; a null id
     links with nothing. Extra columns are ignored.
     """
+    docs = in_small_batches(docs.select(key, "text"))  # and with it all that is made of it here
     sizes = stored(set_sizes(docs, key), "tree-sizes")
     whole = sizes.filter("n > 0 and doc_id is not null")
     classes = stored(whole.groupBy("high", "low").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "tree-classes")

@@ -112,15 +112,30 @@ class Recent:
 _HELD: dict = {}
 
 
+def forget() -> None:
+    """Drop what this worker process remembers, and give all memory that it has freed back to the system."""
+    _HELD.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    getattr(ctypes.CDLL(None), "malloc_trim", int)(0)  # glibc keeps freed memory otherwise; other libraries have no such call
+
+
 def held(name, build):
     """What a worker process remembers from task to task: ``build()``, once, in place of what it held under another name.
 
     The memory of what goes is given back to the system before the new is built.
     """
     if name not in _HELD:
-        _HELD.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        getattr(ctypes.CDLL(None), "malloc_trim", int)(0)  # glibc keeps freed memory otherwise; other libraries have no such call
+        forget()
         _HELD[name] = build()
     return _HELD[name]
+
+
+def forgetting(run):
+    """``run``, for ``mapInArrow``, in tasks that leave nothing in the memory of their worker, which waits for the next ones."""
+
+    def whole(batches):
+        yield from run(batches)
+        forget()
+
+    return whole
