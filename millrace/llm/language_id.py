@@ -298,8 +298,9 @@ class _Scorer:
         owner = np.repeat(np.arange(len(runs)), [len(each) for each in runs])
         np.add.at(of_words, owner, self.rows[[place[run] for each in runs for run in each]])
         bounds = words.offsets.to_numpy() - words.offsets[0].as_py()
-        summed = np.concatenate((of_words[coded.indices.to_numpy()], np.zeros((1, self.rows.shape[1]))))
-        out = np.add.reduceat(summed, bounds[:-1], axis=0) if len(texts) else np.zeros((0, self.rows.shape[1]))
+        code, out = coded.indices.to_numpy(), np.zeros((len(texts), self.rows.shape[1]))
+        for k in range(out.shape[1] if len(texts) else 0):  # a column at a time, for the memory of all words
+            out[:, k] = np.add.reduceat(np.append(of_words[code, k], 0.0), bounds[:-1])
         out[np.diff(bounds) == 0] = 0
         return out
 

@@ -127,10 +127,13 @@ class Encoder:
         text_at = line_at[lines.offsets.to_numpy()]
         line_at, text_at = line_at - text_at[0], text_at - text_at[0]
         coded = pieces.flatten().dictionary_encode()
-        kind = np.zeros(text_at[-1], np.int64)
+        # A batch of less than 2**31 bytes has less than 2**31 / 3 different pieces.
+        code = coded.indices.to_numpy() * np.int32(3)
+        kind = np.zeros(len(code), np.int8)
         kind[line_at[:-1]] = 2
         kind[text_at[:-1]] = 1
-        code = coded.indices.to_numpy().astype(np.int64) * 3 + kind
+        code += kind
+        del lines, pieces, kind
         present = np.zeros(3 * len(coded.dictionary), bool)
         present[code] = True
         different = np.flatnonzero(present)
@@ -165,10 +168,13 @@ class Encoder:
             at += len(found)
         table = np.concatenate(table) if extra else table[0]
 
-        which = (np.cumsum(present) - 1)[code]
+        which = (np.cumsum(present, dtype=np.int32) - np.int32(1))[code]
         n = size[which]
         ends = np.cumsum(n)
-        values = table[np.repeat(start[which] - ends + n, n) + np.arange(ends[-1])].astype("<u4")
+        at = np.repeat(start[which] - ends + n, n)
+        at += np.arange(ends[-1])
+        values = table[at].astype("<u4")
+        del which, at
         joined = np.append(0, np.cumsum(n == 0))
         bounds = np.append(0, ends)[text_at]
         out, counts, end = [], np.diff(bounds) + 1, np.array([end_id], "<u4")

@@ -29,7 +29,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def in_small_batches(df: DataFrame, limit: int = 8 << 20) -> DataFrame:
+def in_small_batches(df: DataFrame, limit: int = 4 << 20) -> DataFrame:
     """``df`` with batches of about ``limit`` bytes for its Python workers, in place of Spark's larger ones.
 
     The size is a setting of the session, so the same plan is taken into a sibling session.
@@ -115,6 +115,10 @@ _HELD: dict = {}
 def forget() -> None:
     """Drop what this worker process remembers, and give all memory that it has freed back to the system."""
     _HELD.clear()
+    _give_back()
+
+
+def _give_back() -> None:
     gc.collect()
     pa.default_memory_pool().release_unused()
     getattr(ctypes.CDLL(None), "malloc_trim", int)(0)  # glibc keeps freed memory otherwise; other libraries have no such call
@@ -123,11 +127,12 @@ def forget() -> None:
 def held(name, build):
     """What a worker process remembers from task to task: ``build()``, once, in place of what it held under another name.
 
-    The memory of what goes is given back to the system before the new is built.
+    The memory of what goes is given back to the system before the new is built, and what building took, after it.
     """
     if name not in _HELD:
         forget()
         _HELD[name] = build()
+        _give_back()
     return _HELD[name]
 
 
