@@ -3,8 +3,8 @@
 A text is its words, ASCII letters in lower case, each followed by a space, and an end byte. A
 byte's context is what precedes it in its word, back to the boundary before the word. The
 boundary is one of six marks, the class of the text: a text's probability is the mixture of its
-probabilities under each class. Classes are found without labels, on a bounded sample of the
-training texts, by their pairs of bytes. Bytes are coded as eight binary decisions; every decision has a tree of contexts whose nodes hold
+probabilities under each class. Classes are found without labels, on all training texts, by their
+pairs of bytes: every pass over them is a Spark job that sums up by class. Bytes are coded as eight binary decisions; every decision has a tree of contexts whose nodes hold
 Krichevsky-Trofimov estimates, mixed over all depths by their weights (half for the node
 itself, half for its children). Counts come from all training texts. As all that a word's
 probability depends on is the word, counting and scoring are done once per distinct word, and
@@ -24,11 +24,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tools import frequent, portions, raw_bytes, stored, unit
+from millrace.llm.tools import frequent, portions, raw_bytes, stored
 
 DEPTH = 6
 #: Bytes of the contexts that stay together in a bucket, and grams of a bucket, about.
@@ -38,8 +39,13 @@ FREQUENT = 150_000
 _SPACE, _END = 0x20, 0x0A
 #: The marks before words: no byte that a word can have.
 _MARKS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
-#: Training texts that the classes are found on, about, and buckets of pairs of bytes.
-SAMPLE, _PAIRS = 3000, 512
+#: Buckets of pairs of bytes, and which one each pair is in.
+_PAIRS = 512
+_BUCKET_OF = (np.arange(1 << 16, dtype=np.int64) * 0x9E3779B1 >> 7) % _PAIRS
+#: Logarithms of classes are multiples of this, so that sums over up to 2**28 pairs are exact in any order.
+_GRAIN = 2.0**-20
+#: Texts whose pairs are looked at together, and pairs that a text has at least where a class starts.
+_TOGETHER, _LONG = 1000, 500
 #: Bytes of words that a task spreads out at once.
 _PORTION = 1 << 19
 _LOG10_2 = math.log10(2.0)
@@ -52,28 +58,99 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 def pair_counts(text: bytes | None) -> np.ndarray:
     """How often each bucket of pairs of bytes occurs in a text."""
-    data = np.frombuffer(b" " + (text or b"") + b" ", np.uint8).astype(np.int64)
-    return np.bincount(((data[:-1] * 256 + data[1:]) * 0x9E3779B1 >> 7) % _PAIRS, minlength=_PAIRS)
-
-
-def find_classes(counts: np.ndarray, rounds: int = 15) -> np.ndarray:
-    """Log-probabilities of the buckets in each class: a hard-assignment mixture of multinomials."""
-    if not len(counts):
-        return np.full((len(_MARKS), _PAIRS), -math.log(_PAIRS))
-    shares = np.sqrt(counts / counts.sum(axis=1, keepdims=True))
-    chosen = [int(counts.sum(axis=1).argmax())]
-    far = np.full(len(counts), np.inf)
-    for _ in range(len(_MARKS) - 1):  # texts far from those chosen before, among texts of some length
-        far = np.minimum(far, ((shares - shares[chosen[-1]]) ** 2).sum(axis=1))
-        chosen.append(int(np.where(counts.sum(axis=1) >= 500, far, -1).argmax()))
-    logs = np.log((counts[chosen] + 0.5) / (counts[chosen] + 0.5).sum(axis=1, keepdims=True))
+    data = np.frombuffer(b" " + (text or b"") + b" ", np.uint8)
+    return np.bincount(_BUCKET_OF[(data[:-1].astype(np.int32) << 8) | data[1:]], minlength=_PAIRS)
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts of a text in as few bytes each as the largest needs."""
+    return counts.astype(np.min_scalar_type(int(counts.max())).newbyteorder("<")).tobytes()
+
+
+def _unpacked(batches):
+    """Some rows of counts at a time, from batches of ``pairs``."""
+    for column in (batch.column(0).slice(i, _TOGETHER) for batch in batches for i in range(0, batch.num_rows, _TOGETHER)):
+        sizes = pc.binary_length(column)
+        for width in (1, 2, 4, 8):
+            rows = column.filter(pc.equal(sizes, width * _PAIRS)).to_pylist()
+            if rows:
+                yield np.frombuffer(b"".join(rows), f"<u{width}").reshape(-1, _PAIRS).astype(float)
+
+
+def _farthest(counts: np.ndarray, chosen: list[np.ndarray]) -> tuple[float, bytes]:
+    """How far the text farthest from those ``chosen`` is, and its counts; without any, the longest text.
+
+    Short texts come last. Of equally far ones the bytes of the counts decide.
+    """
+    value = total = counts.sum(axis=1)
+    if chosen:
+        shares = np.sqrt(counts / total[:, None])
+        far = [((shares - np.sqrt(one / one.sum())) ** 2).sum(axis=1) for one in chosen]
+        value = np.where(total >= _LONG, np.min(far, axis=0), -1.0)
+    most = value.max()
+    return float(most), min(row.astype("<i8").tobytes() for row in counts[value == most])
+
+
+def _sums(counts: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """Counts summed over the texts of each class, and in the last column how many texts it has."""
+    member = (counts @ logs.T).argmax(axis=1)
+    sums = [np.append(counts[member == k].sum(axis=0), (member == k).sum()) for k in range(len(logs))]
+    return np.stack(sums).astype(np.int64)
+
+
+def _farthest_of(texts: DataFrame, chosen: list[np.ndarray]) -> tuple[float, bytes] | None:
+    """``_farthest`` of a table of ``pairs``; None of an empty one."""
+
+    def search(batches):
+        found = [_farthest(counts, chosen) for counts in _unpacked(batches)]
+        value, pairs = zip(*found) if found else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(value, pa.float64()), pa.array(pairs, pa.binary())], names=["value", "pairs"])
+
+    row = texts.mapInArrow(search, "value double, pairs binary").orderBy(F.desc("value"), "pairs").first()
+    return (row["value"], bytes(row["pairs"])) if row else None
+
+
+def _sums_of(texts: DataFrame, logs: np.ndarray) -> np.ndarray:
+    """``_sums`` of a table of ``pairs``."""
+
+    def add(batches):
+        total = sum((_sums(counts, logs) for counts in _unpacked(batches)), np.zeros((len(logs), _PAIRS + 1), np.int64))
+        k, pair = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(pair.astype(np.int32)), pa.array(total[k, pair])], names=["k", "pair", "n"])
+
+    found = texts.mapInArrow(add, "k int, pair int, n long").groupBy("k", "pair").agg(F.sum("n").alias("n")).collect()  # classes times buckets at most
+    sums = np.zeros((len(logs), _PAIRS + 1), np.int64)
+    for row in found:
+        sums[row["k"], row["pair"]] = row["n"]
+    return sums
+
+
+def find_classes(texts: np.ndarray | DataFrame, rounds: int = 15) -> np.ndarray:
+    """Log-probabilities of the buckets in each class: a hard-assignment mixture of multinomials.
+
+    Found on the counts of all ``texts``, rows of an array or of a table of ``pairs``; rounds end when nothing changes.
+    """
+    whole = isinstance(texts, DataFrame)
+    farthest, sums = (_farthest_of, _sums_of) if whole else (_farthest, _sums)
+    chosen: list[np.ndarray] = []
+    for _ in _MARKS:  # texts far from those chosen before, among texts of some length
+        found = farthest(texts, chosen) if whole or len(texts) else None
+        if found is None:
+            return np.full((len(_MARKS), _PAIRS), -math.log(_PAIRS))
+        chosen.append(np.frombuffer(found[1], "<i8").astype(float))
+    logs = _class_logs(np.stack(chosen))
     for _ in range(rounds):
-        member = (counts @ logs.T).argmax(axis=1)
-        sums = np.stack([counts[member == k].sum(axis=0) for k in range(len(_MARKS))]) + 0.5
-        logs = np.log(sums / sums.sum(axis=1, keepdims=True))
+        before, logs = logs, _class_logs(sums(texts, logs)[:, :-1])
+        if (logs == before).all():
+            break
     return logs
 
 
+def _class_logs(sums: np.ndarray) -> np.ndarray:
+    logs = np.log((sums + 0.5) / (sums + 0.5).sum(axis=1, keepdims=True))
+    return np.round(logs / _GRAIN) * _GRAIN
+
+
 @dataclass
 class Positions:
     """Every coded byte of some words, with its context.
@@ -269,22 +346,18 @@ def count_words(docs: DataFrame, held_out: Column, classes: np.ndarray) -> DataF
     return rows.groupBy("word").agg(*sums)
 
 
-def _classes(docs: DataFrame, key: str, ends: int) -> tuple[np.ndarray, np.ndarray]:
-    """The classes of the training texts ``docs``, and their shares."""
+def _classes(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The classes of the training texts ``docs``, and how many of them are in each."""
 
     def count(batches):
         for batch in batches:
             for part in portions(batch, 0):
-                rows = [pair_counts(text).astype("<i4").tobytes() for text in raw_bytes(part.column(0))]
+                rows = [_packed(pair_counts(text)) for text in raw_bytes(part.column(0))]
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["pairs"])
 
-    chosen = docs.filter(unit(key, "text") < min(1.0, SAMPLE / max(ends, 1))).select("text")
-    rows = chosen.mapInArrow(count, "pairs binary").toArrow().column(0).to_pylist()  # SAMPLE rows, about
-    found = np.frombuffer(b"".join(sorted(rows)), "<i4").reshape(-1, _PAIRS).astype(float)
-    classes = find_classes(found)
-    member = (found @ classes.T).argmax(axis=1)
-    sizes = np.bincount(member, minlength=len(_MARKS)) + 0.5
-    return classes, sizes / sizes.sum()
+    texts = stored(docs.select("text").mapInArrow(count, "pairs binary"), "tree-pairs")
+    classes = find_classes(texts)
+    return classes, _sums_of(texts, classes)[:, -1]
 
 
 def _by_class(batch: pa.RecordBatch) -> np.ndarray:
@@ -442,16 +515,14 @@ def score_documents(docs: DataFrame, held_out: Column, key: str = "doc_id", most
     and every decision has probability one half.
     """
     spark = docs.sparkSession
-    train = docs.filter(~held_out)
-    ends = train.count()
-    classes, shares = _classes(train, key, ends)
+    classes, sizes = _classes(docs.filter(~held_out))
+    ends, shares = int(sizes.sum()), (sizes + 0.5) / (sizes + 0.5).sum()
     words = count_words(docs, held_out, classes).withColumn("id", F.monotonically_increasing_id())
     words = stored(words, "tree-words")
     total = sum(map(F.col, _counts()), F.lit(0))
     row = words.agg(F.coalesce(F.sum(total), F.lit(0)).alias("tokens"), F.count(F.when(total > 0, 1)).alias("distinct")).first()
     tokens, distinct = row["tokens"] + ends, row["distinct"] + (ends > 0)
-    # The share of a class is that of its sample; an end follows each text.
-    model = fit(words, [round(ends * share) for share in shares])
+    model = fit(words, sizes.tolist())  # an end follows each text
     whole = tokens + 0.1 * (distinct + 1)
 
     words = stored(model.words(words), "tree-scored-words")

@@ -207,6 +207,22 @@ def test_code_lengths_of_odd_rows(spark, odd_docs):
     assert context_tree.score_documents(odd_docs.limit(0), fold("doc_id", 10, 0)).collect() == []
 
 
+def test_classes_come_from_all_training_texts(spark):
+    """More texts than any sample of old, dealt in two ways: the classes and sizes of one pass after the other over all of them."""
+    rng = np.random.default_rng(9)
+    kinds = ["abcdefgh", "ijklmnop", "01234567", "éèêëàâ", "{}[]();"]
+    texts = [" ".join("".join(rng.choice(list(kinds[i % 5]), 5)) for _ in range(rng.integers(1, 120))) for i in range(4_000)]
+    texts += ["", None, "z" * 70_000, *["qu xy " * 100] * 3]
+    table = spark.createDataFrame([(text,) for text in texts], "text string")
+    counts = np.stack([context_tree.pair_counts(text.encode() if text else None) for text in texts]).astype(float)
+    classes = context_tree.find_classes(counts)
+    member = (counts @ classes.T).argmax(axis=1)
+    for parts in (3, 7):
+        found, sizes = context_tree._classes(table.repartition(parts))
+        assert (found == classes).all()
+        assert sizes.tolist() == np.bincount(member, minlength=6).tolist() and sizes.sum() == len(texts)
+
+
 def test_bytes_behind_a_context_share_at_most_one(spark):
     """All bytes that a word can have, and the space behind it; the white space left out has the little that is missing."""
     table = spark.createDataFrame([(i, t) for i, t in enumerate(["the cat the dog a cat", "a then thin the", "xyz the"])], "doc_id long, text string")
